@@ -64,7 +64,6 @@ def join_unique(
     key: str,
     spread_by: Sequence[str],
     how: str = "left",
-    heavy_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join rows to a table that has at most one row per key, splitting hot keys.
 
@@ -74,7 +73,7 @@ def join_unique(
     hash is a function of the row, so a retried task deals the same way.
     """
     spread = spread_of(many)
-    heavy = heavy_keys(many if heavy_from is None else heavy_from, key, spread)
+    heavy = heavy_keys(many, key, spread)
     dealt: Column = F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int")
     left = (
         many.join(F.broadcast(heavy), key, "left")

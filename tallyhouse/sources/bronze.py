@@ -44,7 +44,7 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType | None = None
     """All loads in one scan, prunable by load date.
 
     With a schema, columns a load does not have come back as null and no footers
-    are read on the driver. Without one, the schema of the newest Spark footer is used.
+    are read on the driver. Without one, Spark infers it from the files.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     return _zoned_load_time(reader.parquet(path))
