@@ -1,7 +1,7 @@
 """The thirteen data quality checks and their summary.
 
-Each table is scanned once: its checks are conditional counts of one aggregation.
-Every aggregation yields a single row of counts, turned into (check, count) rows,
+The checks of a table are conditional counts of one aggregation, apart from
+uniqueness, which has to bring equal keys together. Every aggregation yields a single row of counts, turned into (check, count) rows,
 and a check fed by several tables is the sum of its contributions.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES, QUALITY_CHECKS
-from tallyhouse.functions.money import exact
+from tallyhouse.functions.money import units
 from tallyhouse.operators.skew import join_unique
 
 _FOUND = "__found"
@@ -24,14 +24,17 @@ def as_rows(counts: DataFrame, name: str = "name", value: str = "metric_value")
     return counts.unpivot([], counts.columns, name, value)
 
 
-def surplus_rows(key: str) -> Column:
-    """Rows beyond the first of each key; all rows without a key count as one key."""
-    keyless = F.max(F.col(key).isNull().cast("int"))
-    return F.count(F.lit(1)) - F.count_distinct(key) - F.coalesce(keyless, F.lit(0))
+def surplus_rows(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows beyond the first of each key; all rows without a key count as one key.
+
+    An aggregation of its own: only keys and their counts are shuffled.
+    """
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(name))
 
 
 def uniqueness(df: DataFrame, entity: str) -> DataFrame:
-    return df.agg(surplus_rows(ENTITY_KEYS[entity][1]).alias(f"{entity}_uniqueness"))
+    return surplus_rows(df, ENTITY_KEYS[entity][1], f"{entity}_uniqueness")
 
 
 def with_transaction(df: DataFrame, entity: str, transactions: DataFrame) -> DataFrame:
@@ -66,19 +69,16 @@ def violations(df: DataFrame, entity: str, transactions: DataFrame, rule: str) -
 
 def over_refunded() -> Column:
     """Refunds plus chargebacks exceed the transaction; the sum is exact."""
-    given_back = sum(
-        (F.coalesce(exact(name), F.lit(0).cast("decimal(24,6)")) for name in ("refund_amount", "chargeback_amount")),
-        F.lit(0),
-    )
-    return given_back > exact("txn_amount")
+    refunded, charged_back = (F.coalesce(units(name), F.lit(0)) for name in ("refund_amount", "chargeback_amount"))
+    return refunded + charged_back > units("txn_amount")
 
 
 def _measured(transactions: DataFrame, refunds: DataFrame, chargebacks: DataFrame, base: DataFrame) -> list[DataFrame]:
     amount = F.col("amount")
     size_gap = "reconciliation_row_count_integrity"
     found = [
+        uniqueness(transactions, "transactions"),
         transactions.agg(
-            surplus_rows("transaction_id").alias("transactions_uniqueness"),
             F.count_if(amount.isNull()).alias("transaction_amount_not_null"),
             F.count_if(amount.isNull() | (amount <= 0)).alias("positive_amounts_rule"),
             (-F.count(F.lit(1))).alias(size_gap),

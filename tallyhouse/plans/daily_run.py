@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.quality import require
 from tallyhouse.plans.bronze_load import BronzeLoader, Source
-from tallyhouse.plans.warehouse import DIMENSIONS, FACTS, Warehouse
+from tallyhouse.plans.warehouse import DIMENSIONS, FACTS, Warehouse, together
 from tallyhouse.sources.audit import loaded_records, write_metrics, write_quality
 from tallyhouse.sources.gold import publish, write_dimension, write_fact
 from tallyhouse.sources.storage import TableStore
@@ -27,9 +27,8 @@ class RunResult:
 
 def clean_layer(warehouse: Warehouse, reports: str, fail_on: tuple[str, ...] = ()) -> DataFrame:
     """Silver tables, matched base, quality report and rejected rows; returns the stored report."""
-    warehouse.stored_match  # builds the three entities on the way
-    for entity in warehouse.bronze:
-        warehouse.rejected_rows[entity]
+    steps = [lambda entity=entity: warehouse.rejected_rows[entity] for entity in warehouse.bronze]
+    together(warehouse.spark, [*steps, lambda: warehouse.stored_match])
     write_quality(warehouse.quality_report(), reports)
     report = warehouse.spark.read.json(f"{reports}/dq_report")
     require(report, fail_on)
@@ -38,9 +37,16 @@ def clean_layer(warehouse: Warehouse, reports: str, fail_on: tuple[str, ...] = (
 
 def star_layer(warehouse: Warehouse, folder: str) -> dict[str, int]:
     """Write all gold tables under `folder`; returns their row counts."""
-    rows = {name: write_dimension(warehouse.gold(name), f"{folder}/{name}") for name in DIMENSIONS}
-    rows.update((name, write_fact(warehouse.gold(name), name, f"{folder}/{name}")) for name in FACTS)
-    return rows
+    warehouse.build_gold()
+    rows: dict[str, int] = {}
+
+    def write(name: str) -> None:
+        path = f"{folder}/{name}"
+        table = warehouse.gold(name)
+        rows[name] = write_fact(table, name, path) if name in FACTS else write_dimension(table, path)
+
+    together(warehouse.spark, (lambda name=name: write(name) for name in DIMENSIONS + FACTS))
+    return {name: rows[name] for name in DIMENSIONS + FACTS}
 
 
 def publish_all(warehouse: Warehouse, database: str) -> dict[str, int]:

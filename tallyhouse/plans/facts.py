@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES, UNKNOWN_CURRENCY_KEY
 from tallyhouse.functions.calendar import date_key
 from tallyhouse.functions.labels import risk_category
-from tallyhouse.functions.money import exact
+from tallyhouse.functions.money import amount_of, units
 from tallyhouse.operators.lookup import BROADCAST_ROWS, lookup_key
 from tallyhouse.operators.standardize import ensure_column
 from tallyhouse.sources.storage import Stored
@@ -20,10 +20,10 @@ def fact_transaction(matched: DataFrame, dims: dict[str, Stored], broadcast_rows
     `date_key` is computed from the date: the date dimension covers every day that
     occurs, so looking it up would return the same number.
     """
-    zero = F.lit(0).cast("decimal(24,6)")
-    gross = F.coalesce(exact("amount"), zero)
-    refunded = F.coalesce(exact("refund_amount"), zero)
-    charged_back = F.coalesce(exact("chargeback_amount"), zero)
+    nothing = F.lit(0).cast("bigint")
+    gross, refunded, charged_back = (
+        F.coalesce(units(name), nothing) for name in ("amount", "refund_amount", "chargeback_amount")
+    )
     risk = risk_category(F.col("amount"), gross, refunded, charged_back, F.col("status"))
     rows = matched.select(
         "transaction_id",
@@ -35,7 +35,7 @@ def fact_transaction(matched: DataFrame, dims: dict[str, Stored], broadcast_rows
         F.coalesce("amount", F.lit(0.0)).alias("gross_amount"),
         F.coalesce("refund_amount", F.lit(0.0)).alias("refund_amount"),
         F.coalesce("chargeback_amount", F.lit(0.0)).alias("chargeback_amount"),
-        (gross - refunded - charged_back).cast("double").alias("net_amount"),
+        amount_of(gross - refunded - charged_back).alias("net_amount"),
         F.coalesce("refund_count", F.lit(0)).cast("int").alias("refund_count"),
         F.coalesce("chargeback_count", F.lit(0)).cast("int").alias("chargeback_count"),
         (refunded > 0).cast("int").alias("has_refund"),
@@ -135,6 +135,13 @@ def fact_chargeback(
     )
 
 
+# Fact -> dimensions whose keys it carries; its date key needs no lookup.
+FACT_DIMENSIONS = {
+    "fact_transaction": ("dim_merchant", "dim_currency", "dim_transaction_status"),
+    "fact_refund": ("dim_merchant", "dim_currency", "dim_refund_reason"),
+    "fact_chargeback": ("dim_merchant", "dim_currency", "dim_chargeback_reason"),
+}
+
 # Fact -> (key of the source rows, surrogate key).
 FACT_KEYS = {
     "fact_transaction": ("transaction_id", "transaction_key"),

@@ -7,8 +7,11 @@ needs.
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.fixed_values import ENTITY_KEYS, GOLD_TABLES
@@ -24,15 +27,34 @@ DIMENSIONS = tuple(name for name in GOLD_TABLES if name.startswith("dim_"))
 FACTS = tuple(name for name in GOLD_TABLES if name.startswith("fact_"))
 
 
+def together(spark: SparkSession, steps: Iterable[Callable[[], object]]) -> None:
+    """Run independent steps side by side, so that the tail of one job leaves no executor idle."""
+    steps = list(steps)
+    if len(steps) < 2:
+        for step in steps:
+            step()
+        return
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        for result in running:
+            result.result()
+
+
 class _Tables(dict):
-    """Looks tables up by name and builds a missing one."""
+    """Looks tables up by name and builds a missing one, once even if two threads ask for it."""
 
     def __init__(self, build):
         self._build = build
+        self._guard = Lock()
+        self._building: dict[str, Lock] = {}
 
     def __missing__(self, name):
-        self[name] = self._build(name)
-        return self[name]
+        with self._guard:
+            lock = self._building.setdefault(name, Lock())
+        with lock:
+            if name not in self:
+                self[name] = self._build(name)
+            return self[name]
 
 
 class Warehouse:
@@ -54,6 +76,7 @@ class Warehouse:
         self.scratch = scratch or self.store
         self.stored_silver: dict[str, Stored] = _Tables(self._build_silver)
         self.silver: dict[str, DataFrame] = _Tables(lambda name: self.stored_silver[name].df)
+        self._matched: dict[str, Stored] = _Tables(self._build_match)
         self.dims: dict[str, Stored] = _Tables(self._build_dimension)
         self.stored_facts: dict[str, Stored] = _Tables(self._build_fact)
         self.rejected_rows: dict[str, int] = _Tables(self._keep_rejects)
@@ -72,10 +95,18 @@ class Warehouse:
     def _keep_rejects(self, entity: str) -> int:
         return self.store.save(self.rejects(entity), f"silver/rejected_{entity}").rows
 
-    @cached_property
-    def stored_match(self) -> Stored:
+    def build_silver(self) -> None:
+        """All entities, side by side."""
+        together(self.spark, (lambda name=name: self.stored_silver[name] for name in ENTITY_KEYS))
+
+    def _build_match(self, name: str) -> Stored:
+        self.build_silver()
         matched = match(self.silver["transactions"], self.silver["refunds"], self.silver["chargebacks"])
-        return self.store.save(matched, "silver/matched")
+        return self.store.save(matched, f"silver/{name}")
+
+    @property
+    def stored_match(self) -> Stored:
+        return self._matched["matched"]
 
     @property
     def reconciliation_base(self) -> DataFrame:
@@ -83,9 +114,8 @@ class Warehouse:
 
     def quality_report(self) -> DataFrame:
         """The checks; the base is counted as matched from stored tables."""
-        return quality_report(
-            self.silver["transactions"], self.silver["refunds"], self.silver["chargebacks"], self.reconciliation_base
-        )
+        base = self.reconciliation_base
+        return quality_report(*(self.silver[entity] for entity in ENTITY_KEYS), base)
 
     # Gold -----------------------------------------------------------------
 
@@ -105,16 +135,36 @@ class Warehouse:
         raise KeyError(name)
 
     def _build_fact(self, name: str) -> Stored:
+        self._build_needs(name)
         order, key = facts.FACT_KEYS[name]
         return with_dense_key(self.fact_rows(name), order, key, self.scratch, f"keys/{name}")
 
+    def _build_needs(self, name: str) -> None:
+        """What a fact is made of, in two rounds: cleaned entities, then dimensions and the match."""
+        entities = {"fact_refund": ("transactions", "refunds"), "fact_chargeback": ("transactions", "chargebacks")}
+        needed = entities.get(name, ENTITY_KEYS)
+        together(self.spark, (lambda entity=entity: self.stored_silver[entity] for entity in needed))
+        steps = [lambda dimension=dimension: self.dims[dimension] for dimension in facts.FACT_DIMENSIONS[name]]
+        if name == "fact_transaction":
+            steps.append(lambda: self.stored_match)
+        together(self.spark, steps)
+
+    def build_gold(self) -> None:
+        """All dimensions and facts; tables that do not depend on each other side by side."""
+        self.build_silver()
+        steps = [lambda name=name: self.dims[name] for name in DIMENSIONS]
+        together(self.spark, [*steps, lambda: self.stored_match])
+        together(self.spark, (lambda name=name: self.stored_facts[name] for name in FACTS))
+
     def gold(self, name: str) -> DataFrame:
         """A published table by name."""
         return self.dims[name].df if name in DIMENSIONS else self.stored_facts[name].df
 
     def gold_tables(self) -> dict[str, DataFrame]:
+        self.build_gold()
         return {name: self.gold(name) for name in GOLD_TABLES}
 
     def gold_rows(self) -> dict[str, int]:
         """Row counts, known from writing the tables."""
+        self.build_gold()
         return {name: (self.dims if name in DIMENSIONS else self.stored_facts)[name].rows for name in GOLD_TABLES}

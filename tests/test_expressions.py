@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import calendar_columns, date_key
 from tallyhouse.functions.labels import currency_name, reason_category, risk_category, status_category, words
-from tallyhouse.functions.money import exact, rate_pct, total
+from tallyhouse.functions.money import amount_of, rate_pct, total, units
 from tests.conftest import rows
 
 
@@ -53,8 +55,8 @@ def test_risk_goes_to_the_strongest_category(spark):
         ],
         "name string, amount double, refunded double, charged double, status string",
     )
-    gross = F.coalesce(exact("amount"), F.lit(0).cast("decimal(24,6)"))
-    risk = risk_category(F.col("amount"), gross, exact("refunded"), exact("charged"), F.col("status"))
+    gross = F.coalesce(units("amount"), F.lit(0))
+    risk = risk_category(F.col("amount"), gross, units("refunded"), units("charged"), F.col("status"))
     assert dict(rows(df.select("name", risk))) == {
         "half": "NORMAL",
         "more": "HIGH_REFUND",
@@ -89,14 +91,29 @@ def test_names_of_a_day(spark):
 
 
 def test_sums_do_not_depend_on_order(spark):
-    df = spark.createDataFrame([(0.1,)] * 10 + [(1e15,), (-1e15,)], "x double")
-    assert rows(df.agg(total("x"))) == [(1.0,)]
+    df = spark.createDataFrame([(0.1,)] * 10 + [(4e14,), (-4e14,), (-0.0003,)], "x double")
+    assert rows(df.agg(total("x"))) == [(0.9997,)]
     assert rows(df.where("1 = 0").agg(total("x"))) == [(None,)]
 
 
 def test_amounts_that_are_no_money_become_null(spark):
     df = spark.sql("SELECT explode(array(double('NaN'), double('Infinity'), 1e30, 2.5)) AS x")
-    assert [str(value) for (value,) in rows(df.select(exact("x"))) if value is not None] == ["2.500000"]
+    assert [value for (value,) in rows(df.select(units("x"))) if value is not None] == [25_000]
+
+
+def test_sums_do_not_overflow(spark):
+    """The sum of these amounts in ten-thousandths is far beyond 64 bits."""
+    df = spark.range(0, 200_000, 1, 4).select(F.lit(900_000_000_000_000.0).alias("x"))
+    assert rows(df.agg(total("x"))) == [(1.8e20,)]
+    assert rows(df.agg(total(-F.col("x")))) == [(-1.8e20,)]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-10**11, 10**11), min_size=1, max_size=30))
+def test_sums_of_cents_are_exact(spark, cents):
+    df = spark.createDataFrame([(value / 100,) for value in cents], "x double")
+    assert rows(df.agg(total("x"))) == [(sum(cents) / 100,)]
+    assert rows(df.select(amount_of(units("x")))) == sorted(((value / 100,) for value in cents), key=repr)
 
 
 def test_rate_of_nothing_is_null(spark):
