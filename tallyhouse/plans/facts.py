@@ -1,7 +1,12 @@
-"""The three fact tables, before their surrogate key is dealt."""
+"""The three fact tables, before their surrogate key is dealt.
+
+Columns named in `keep` pass through, so that rows can carry their place.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +19,24 @@ from tallyhouse.operators.standardize import ensure_column
 from tallyhouse.sources.storage import Stored
 
 
-def fact_transaction(matched: DataFrame, dims: dict[str, Stored], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+# What the transaction fact needs of a transaction besides its rollups.
+TRANSACTION_COLUMNS = (
+    "transaction_id",
+    "transaction_date",
+    "amount",
+    "merchant_id",
+    "currency",
+    "status",
+    "source_system",
+)
+
+
+def fact_transaction(
+    matched: DataFrame,
+    dims: dict[str, Stored],
+    broadcast_rows: int = BROADCAST_ROWS,
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Measures, flags and risk of every transaction.
 
     `date_key` is computed from the date: the date dimension covers every day that
@@ -42,6 +64,7 @@ def fact_transaction(matched: DataFrame, dims: dict[str, Stored], broadcast_rows
         (charged_back > 0).cast("int").alias("has_chargeback"),
         risk.alias("risk_category"),
         "source_system",
+        *keep,
     )
     for dimension, code, dimension_code, key in (
         ("dim_merchant", "merchant_id", "merchant_id", "merchant_key"),
@@ -66,6 +89,7 @@ def fact_transaction(matched: DataFrame, dims: dict[str, Stored], broadcast_rows
         "has_chargeback",
         "risk_category",
         "source_system",
+        *keep,
     )
 
 
@@ -78,10 +102,13 @@ def _detail_fact(
     reason_key: str,
     default_currency_key: int | None,
     broadcast_rows: int,
+    keep: Sequence[str],
 ) -> DataFrame:
     own_key = ENTITY_KEYS[entity][1]
     day, amount = ENTITY_MEASURES[entity]
-    rows = ensure_column(df, "currency", "string")
+    rows = ensure_column(df, "currency", "string").select(
+        own_key, "transaction_id", "merchant_id", "currency", day, amount, reason, "source_system", *keep
+    )
     for dimension, code, dimension_code, key in (
         ("dim_merchant", "merchant_id", "merchant_id", "merchant_key"),
         ("dim_currency", "currency", "currency_code", "currency_key"),
@@ -100,6 +127,7 @@ def _detail_fact(
         amount,
         reason,
         "source_system",
+        *keep,
     )
 
 
@@ -108,10 +136,19 @@ def fact_refund(
     dims: dict[str, Stored],
     default_currency_key: int | None = UNKNOWN_CURRENCY_KEY,
     broadcast_rows: int = BROADCAST_ROWS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Every refund with its keys; an unknown currency gets the default key."""
     rows = _detail_fact(
-        refunds, "refunds", dims, "reason", "dim_refund_reason", "refund_reason_key", default_currency_key, broadcast_rows
+        refunds,
+        "refunds",
+        dims,
+        "reason",
+        "dim_refund_reason",
+        "refund_reason_key",
+        default_currency_key,
+        broadcast_rows,
+        keep,
     )
     return rows.withColumnRenamed("reason", "refund_reason_raw")
 
@@ -121,6 +158,7 @@ def fact_chargeback(
     dims: dict[str, Stored],
     default_currency_key: int | None = UNKNOWN_CURRENCY_KEY,
     broadcast_rows: int = BROADCAST_ROWS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Every chargeback with its keys; an unknown currency gets the default key."""
     return _detail_fact(
@@ -132,6 +170,7 @@ def fact_chargeback(
         "chargeback_reason_key",
         default_currency_key,
         broadcast_rows,
+        keep,
     )
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.fixed_values import ENTITY_KEYS, GOLD_TABLES
 from tallyhouse.operators.dedup import deduplicate, without_key
-from tallyhouse.operators.dense_key import with_dense_key
+from tallyhouse.operators.dense_key import PLACE, numbered, placed
+from tallyhouse.operators.lookup import BROADCAST_ROWS
 from tallyhouse.operators.quality import quality_report
 from tallyhouse.operators.reconcile import match, reconciliation_base
 from tallyhouse.operators.standardize import standardize
@@ -60,7 +61,8 @@ class _Tables(dict):
 class Warehouse:
     """Layers over `bronze` (entity name -> raw DataFrame), stored under `store`.
 
-    `scratch` holds tables that only cut lineage; it defaults to `store`.
+    `scratch` holds tables that only cut lineage; it defaults to `store`. Dimensions
+    of more than `broadcast_rows` rows are joined by shuffle.
     """
 
     def __init__(
@@ -69,11 +71,13 @@ class Warehouse:
         bronze: dict[str, DataFrame],
         store: TableStore | None = None,
         scratch: TableStore | None = None,
+        broadcast_rows: int = BROADCAST_ROWS,
     ):
         self.spark = spark
         self.bronze = bronze
         self.store = store or TableStore(spark)
         self.scratch = scratch or self.store
+        self.broadcast_rows = broadcast_rows
         self.stored_silver: dict[str, Stored] = _Tables(self._build_silver)
         self.silver: dict[str, DataFrame] = _Tables(lambda name: self.stored_silver[name].df)
         self._matched: dict[str, Stored] = _Tables(self._build_match)
@@ -101,7 +105,8 @@ class Warehouse:
 
     def _build_match(self, name: str) -> Stored:
         self.build_silver()
-        matched = match(self.silver["transactions"], self.silver["refunds"], self.silver["chargebacks"])
+        transactions = self.silver["transactions"].select(*facts.TRANSACTION_COLUMNS)
+        matched = match(transactions, self.silver["refunds"], self.silver["chargebacks"])
         return self.store.save(matched, f"silver/{name}")
 
     @property
@@ -124,20 +129,24 @@ class Warehouse:
             return self.scratch.save(dimensions.dim_date(self.silver), "keys/dim_date")
         return dimensions.coded_dimension(name, self.silver, self.scratch)
 
+    def _fact_source(self, name: str) -> DataFrame:
+        """The stored rows a fact has one row for each of."""
+        entity = {"fact_refund": "refunds", "fact_chargeback": "chargebacks"}.get(name)
+        return self.stored_match.df if entity is None else self.silver[entity]
+
     def fact_rows(self, name: str) -> DataFrame:
-        """Rows of a fact without its surrogate key."""
-        if name == "fact_transaction":
-            return facts.fact_transaction(self.stored_match.df, self.dims)
-        if name == "fact_refund":
-            return facts.fact_refund(self.silver["refunds"], self.dims)
-        if name == "fact_chargeback":
-            return facts.fact_chargeback(self.silver["chargebacks"], self.dims)
-        raise KeyError(name)
+        """Rows of a fact, each with its place in the order of its id."""
+        self._build_needs(name)
+        rows = placed(self._fact_source(name), facts.FACT_KEYS[name][0])
+        build = {
+            "fact_transaction": facts.fact_transaction,
+            "fact_refund": facts.fact_refund,
+            "fact_chargeback": facts.fact_chargeback,
+        }[name]
+        return build(rows, self.dims, broadcast_rows=self.broadcast_rows, keep=(PLACE,))
 
     def _build_fact(self, name: str) -> Stored:
-        self._build_needs(name)
-        order, key = facts.FACT_KEYS[name]
-        return with_dense_key(self.fact_rows(name), order, key, self.scratch, f"keys/{name}")
+        return numbered(self.fact_rows(name), facts.FACT_KEYS[name][1], self.scratch, f"keys/{name}")
 
     def _build_needs(self, name: str) -> None:
         """What a fact is made of, in two rounds: cleaned entities, then dimensions and the match."""
