@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import GOLD_TABLES, MONEY_DIGITS, PUBLISHED_NAMES, Field
-from tallyhouse.operators.quality import as_rows, surplus_rows
+from tallyhouse.operators.quality import as_rows
 
 
 class ContractError(ValueError):
@@ -48,11 +48,16 @@ def _whole(column: Column, given: str, wanted: str) -> Column:
     return F.coalesce(column.try_cast(wanted), rounded) if given == "string" else rounded
 
 
-def _own_rules(table: str) -> dict[tuple[str, str], Column]:
-    """(rule, column) -> count of rows that break it, computable from the table alone."""
+_RULE = ("table_name", "rule", "column_name")
+
+
+def _column_rules(table: str) -> dict[tuple[str, str], Column]:
+    """(rule, column) -> count of rows that break it, for rules a single row can break."""
     fields = GOLD_TABLES[table]
     limit = float(10 ** (MONEY_DIGITS[0] - MONEY_DIGITS[1]))
-    rules: dict[tuple[str, str], Column] = {}
+    # Rules counted elsewhere start at zero here, so that they are listed for empty tables too.
+    elsewhere = F.lit(0).cast("bigint")
+    rules: dict[tuple[str, str], Column] = {("primary_key", fields[0].name): elsewhere}
     for field in fields:
         column = F.col(field.name)
         if field.required:
@@ -60,72 +65,73 @@ def _own_rules(table: str) -> dict[tuple[str, str], Column]:
         if field.length is not None:
             rules["max_length", field.name] = F.count_if(F.length(column) > field.length)
         if field.references:
-            # A start of zero, so that the rule is listed for an empty table as well.
-            rules["foreign_key", field.name] = F.lit(0).cast("bigint")
+            rules["foreign_key", field.name] = elsewhere
         if field.kind == "double":
             rules["precision", field.name] = F.count_if(F.abs(F.round(column, MONEY_DIGITS[1])) >= limit)
     return rules
 
 
-def _named(rows: DataFrame, table: str) -> DataFrame:
+def column_violations(df: DataFrame, table: str) -> DataFrame:
+    """Not null, text length and money precision, from one scan."""
+    counts = df.agg(*(count.alias(f"{rule}:{name}") for (rule, name), count in _column_rules(table).items()))
     parts = F.split("check", ":")
-    return rows.select(
+    return as_rows(counts, "check", "violations").select(
         F.lit(table).alias("table_name"), parts[0].alias("rule"), parts[1].alias("column_name"), "violations"
     )
 
 
-def own_violations(df: DataFrame, table: str) -> DataFrame:
-    """Not null, text length and money precision from one aggregation, unique key from another."""
-    counts = df.agg(*(count.alias(f"{rule}:{name}") for (rule, name), count in _own_rules(table).items()))
-    key = GOLD_TABLES[table][0].name
-    repeated = surplus_rows(df, key, f"primary_key:{key}")
-    found = (as_rows(wide, "check", "violations") for wide in (counts, repeated))
-    return _named(reduce(DataFrame.unionByName, found), table)
+def _keys(df: DataFrame, table: str, names: list[str]) -> DataFrame:
+    """One row per row and key column: table_name, column_name, key."""
+    longs = df.select(*(F.col(name).cast("bigint") for name in names))
+    return longs.unpivot([], names, "column_name", "key").select(F.lit(table).alias("table_name"), "column_name", "key")
+
+
+def _counted(keys: list[DataFrame]) -> DataFrame:
+    """Rows per table, column and key, added up inside the map tasks first."""
+    return reduce(DataFrame.unionByName, keys).groupBy("table_name", "column_name", "key").agg(F.count(F.lit(1)).alias("n"))
+
 
+def primary_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows beyond the first of each primary key, for all tables in one aggregation."""
+    counted = _counted([_keys(df, table, [GOLD_TABLES[table][0].name]) for table, df in tables.items()])
+    found = counted.groupBy("table_name", "column_name").agg(F.sum(F.col("n") - 1).alias("violations"))
+    return found.withColumn("rule", F.lit("primary_key"))
 
-def foreign_key_violations(df: DataFrame, table: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows whose key is missing from the dimension, for all foreign keys in one scan.
 
-    Fact rows are first counted per (column, key), inside the map tasks; only those
-    counts meet the dimensions, so no fact row is shuffled and hot keys weigh one row.
+def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows whose key is missing from the dimension, for all links of all facts in one join.
+
+    Only counts per (table, column, key) meet the dimensions, so no fact row is
+    joined and a hot key weighs as much as any other.
     """
-    links = [field for field in GOLD_TABLES[table] if field.references]
-    counted = (
-        df.select(*(F.col(field.name).cast("long") for field in links))
-        .unpivot([], [field.name for field in links], "column_name", "key")
-        .groupBy("column_name", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    links = {
+        table: {field.name: field.references for field in GOLD_TABLES[table] if field.references} for table in tables
+    }
+    links = {table: columns for table, columns in links.items() if columns}
+    counted = _counted([_keys(tables[table], table, list(columns)) for table, columns in links.items()])
+    targets = {column: dimension for columns in links.values() for column, dimension in columns.items()}
     known = reduce(
         DataFrame.unionByName,
         (
-            tables[field.references].select(
-                F.lit(field.name).alias("column_name"),
-                F.col(GOLD_TABLES[field.references][0].name).cast("long").alias("key"),
+            tables[dimension].select(
+                F.lit(column).alias("column_name"),
+                F.col(GOLD_TABLES[dimension][0].name).cast("bigint").alias("key"),
                 F.lit(True).alias("known"),
             )
-            for field in links
+            for column, dimension in targets.items()
         ),
-    )
+    ).distinct()
     missing = F.col("key").isNotNull() & F.col("known").isNull()
     found = (
         counted.join(known, ["column_name", "key"], "left")
-        .groupBy("column_name")
+        .groupBy("table_name", "column_name")
         .agg(F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("violations"))
     )
-    return found.select(F.lit(table).alias("table_name"), F.lit("foreign_key").alias("rule"), "column_name", "violations")
+    return found.withColumn("rule", F.lit("foreign_key"))
 
 
 def contract_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table, rule and column with the number of rows that break it, zeros included."""
-    found = [own_violations(df, table) for table, df in tables.items()]
-    found += [
-        foreign_key_violations(df, table, tables)
-        for table, df in tables.items()
-        if any(field.references for field in GOLD_TABLES[table])
-    ]
-    return (
-        reduce(DataFrame.unionByName, found)
-        .groupBy("table_name", "rule", "column_name")
-        .agg(F.sum("violations").alias("violations"))
-    )
+    found = [column_violations(df, table) for table, df in tables.items()]
+    found += [primary_key_violations(tables), foreign_key_violations(tables)]
+    return reduce(DataFrame.unionByName, found).groupBy(*_RULE).agg(F.sum("violations").alias("violations"))
