@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyhouse import fixed_values as fixed
+from tallyhouse.functions.money import difference
 
 
 def first_match(rules: Sequence[tuple[str, Column]], default: str) -> Column:
@@ -59,7 +60,7 @@ def risk_category(amount: Column, gross: Column, refunded: Column, charged_back:
     tests = {
         "INVALID_AMOUNT": amount.isNull(),
         "CHARGEBACK": charged_back > 0,
-        "HIGH_REFUND": refunded * 2 > gross,
+        "HIGH_REFUND": difference(gross, refunded, refunded) < 0,
         "FAILED": status.isin(*fixed.FAILURE_STATUSES),
     }
     *ranked, default = fixed.RISK_CATEGORIES

@@ -18,10 +18,13 @@ GRID = 10_000
 _LOW_BITS = 20
 
 
+def _column(amount: Column | str) -> Column:
+    return F.col(amount) if isinstance(amount, str) else amount
+
+
 def units(amount: Column | str) -> Column:
-    """Amount in ten-thousandths; null when it is no number or beyond 9e14."""
-    column = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(column * GRID).try_cast("bigint")
+    """Amount in ten-thousandths; null off the grid: no number, infinite, or beyond 9e14."""
+    return F.rint(_column(amount) * GRID).try_cast("bigint")
 
 
 def amount_of(whole: Column) -> Column:
@@ -29,13 +32,26 @@ def amount_of(whole: Column) -> Column:
     return whole.cast("double") / F.lit(float(GRID))
 
 
+def difference(first: Column | str, *others: Column | str) -> Column:
+    """`first` minus the others, exact on the grid and in doubles off it; null if one is null."""
+    whole, rest = units(first), _column(first)
+    for other in others:
+        whole, rest = whole - units(other), rest - _column(other)
+    return F.coalesce(amount_of(whole), rest)
+
+
 def total(amount: Column | str) -> Column:
-    """Exact, order-independent sum as a double; null when nothing was added."""
+    """Order-independent sum as a double; null when nothing was added.
+
+    Amounts off the grid, too large to have cents in a double, are added as doubles.
+    """
     whole = units(amount)
     high = F.sum(F.shiftright(whole, _LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
     step = F.lit(1 << _LOW_BITS).cast("decimal(7,0)")
-    return ((high * step + low) * F.lit("0.0001").cast("decimal(4,4)")).cast("double")
+    on_grid = ((high * step + low) * F.lit("0.0001").cast("decimal(4,4)")).cast("double")
+    off_grid = F.sum(F.when(whole.isNull(), _column(amount)))
+    return F.coalesce(on_grid + off_grid, on_grid, off_grid)
 
 
 def rate_pct(part: Column, whole: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES, QUALITY_CHECKS
-from tallyhouse.functions.money import units
+from tallyhouse.functions.money import difference
 from tallyhouse.operators.skew import join_unique
 
 _FOUND = "__found"
@@ -69,8 +69,8 @@ def violations(df: DataFrame, entity: str, transactions: DataFrame, rule: str) -
 
 def over_refunded() -> Column:
     """Refunds plus chargebacks exceed the transaction; the sum is exact."""
-    refunded, charged_back = (F.coalesce(units(name), F.lit(0)) for name in ("refund_amount", "chargeback_amount"))
-    return refunded + charged_back > units("txn_amount")
+    given_back = (F.coalesce(name, F.lit(0.0)) for name in ("refund_amount", "chargeback_amount"))
+    return difference("txn_amount", *given_back) < 0
 
 
 def _measured(transactions: DataFrame, refunds: DataFrame, chargebacks: DataFrame, base: DataFrame) -> list[DataFrame]:

@@ -64,21 +64,24 @@ def run(
 ) -> RunResult:
     """Bring the lake under `lake` up to date from `source` (entity name -> DataFrame).
 
-    Metrics are written for failed runs too. `loading` is passed to the loader
-    (incremental, lookback, run_id, specs).
+    Metrics are written for failed runs too, and intermediate tables are dropped
+    either way. `loading` is passed to the loader (incremental, lookback, run_id,
+    specs).
     """
     started = datetime.now(UTC)
     reports = f"{lake}/reports"
     loader = BronzeLoader(spark, f"{lake}/bronze", source, source_system, **loading)
     status = "FAILED"
+    scratch = TableStore(spark)
     try:
         loaded = loader.load_all(reports)
         bronze = {entity: loader.bronze(entity) for entity in loader.specs}
-        warehouse = Warehouse(spark, bronze, TableStore(spark, lake), TableStore(spark))
+        warehouse = Warehouse(spark, bronze, TableStore(spark, lake), scratch)
         clean_layer(warehouse, reports, fail_on)
         gold_rows = star_layer(warehouse, f"{lake}/gold")
         status = "SUCCESS"
     finally:
+        scratch.drop()
         records = loaded_records(loader.audit()).first()["total_records"] if loader.audit_rows else 0
         write_metrics(spark, reports, started, datetime.now(UTC), records, status)
     return RunResult(loader.run_id, loaded, dict(warehouse.rejected_rows), gold_rows)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES, UNKNOWN_CURRENCY_KEY
 from tallyhouse.functions.calendar import date_key
 from tallyhouse.functions.labels import risk_category
-from tallyhouse.functions.money import amount_of, units
+from tallyhouse.functions.money import difference
 from tallyhouse.operators.lookup import BROADCAST_ROWS, lookup_key
 from tallyhouse.operators.standardize import ensure_column
 from tallyhouse.sources.storage import Stored
@@ -42,9 +42,8 @@ def fact_transaction(
     `date_key` is computed from the date: the date dimension covers every day that
     occurs, so looking it up would return the same number.
     """
-    nothing = F.lit(0).cast("bigint")
     gross, refunded, charged_back = (
-        F.coalesce(units(name), nothing) for name in ("amount", "refund_amount", "chargeback_amount")
+        F.coalesce(name, F.lit(0.0)) for name in ("amount", "refund_amount", "chargeback_amount")
     )
     risk = risk_category(F.col("amount"), gross, refunded, charged_back, F.col("status"))
     rows = matched.select(
@@ -54,10 +53,10 @@ def fact_transaction(
         "currency",
         "status",
         "transaction_date",
-        F.coalesce("amount", F.lit(0.0)).alias("gross_amount"),
-        F.coalesce("refund_amount", F.lit(0.0)).alias("refund_amount"),
-        F.coalesce("chargeback_amount", F.lit(0.0)).alias("chargeback_amount"),
-        amount_of(gross - refunded - charged_back).alias("net_amount"),
+        gross.alias("gross_amount"),
+        refunded.alias("refund_amount"),
+        charged_back.alias("chargeback_amount"),
+        difference(gross, refunded, charged_back).alias("net_amount"),
         F.coalesce("refund_count", F.lit(0)).cast("int").alias("refund_count"),
         F.coalesce("chargeback_count", F.lit(0)).cast("int").alias("chargeback_count"),
         (refunded > 0).cast("int").alias("has_refund"),

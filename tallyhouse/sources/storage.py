@@ -59,10 +59,11 @@ def observed_write(df: DataFrame, write: Callable[[DataFrame], None], **metrics:
 
 
 class TableStore:
-    """Parquet tables under one root folder."""
+    """Parquet tables under one root folder; without a root, under a new folder of the shared one."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
+        self.temporary = root is None
         self.root = (root or f"{shared_folder(spark)}/tallyhouse-{uuid.uuid4().hex}").rstrip("/")
 
     def path(self, name: str) -> str:
@@ -80,3 +81,10 @@ class TableStore:
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
+
+    def drop(self) -> None:
+        """Delete a temporary store once nothing reads from it any more."""
+        if not self.temporary:
+            raise ValueError(f"{self.root} was given from outside and is not dropped")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

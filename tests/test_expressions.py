@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.calendar import calendar_columns, date_key
 from tallyhouse.functions.labels import currency_name, reason_category, risk_category, status_category, words
-from tallyhouse.functions.money import amount_of, rate_pct, total, units
+from tallyhouse.functions.money import amount_of, difference, rate_pct, total, units
 from tests.conftest import rows
 
 
@@ -55,8 +55,8 @@ def test_risk_goes_to_the_strongest_category(spark):
         ],
         "name string, amount double, refunded double, charged double, status string",
     )
-    gross = F.coalesce(units("amount"), F.lit(0))
-    risk = risk_category(F.col("amount"), gross, units("refunded"), units("charged"), F.col("status"))
+    gross = F.coalesce("amount", F.lit(0.0))
+    risk = risk_category(F.col("amount"), gross, F.col("refunded"), F.col("charged"), F.col("status"))
     assert dict(rows(df.select("name", risk))) == {
         "half": "NORMAL",
         "more": "HIGH_REFUND",
@@ -96,7 +96,19 @@ def test_sums_do_not_depend_on_order(spark):
     assert rows(df.where("1 = 0").agg(total("x"))) == [(None,)]
 
 
-def test_amounts_that_are_no_money_become_null(spark):
+def test_amounts_off_the_grid_are_added_as_doubles(spark):
+    df = spark.createDataFrame([(1e16,), (0.25,), (-3e15,), (0.5,)], "x double")
+    assert rows(df.agg(total("x"))) == [(7_000_000_000_000_000.75,)]
+    assert rows(df.where("x > 1e15").agg(total("x"))) == [(1e16,)]
+    assert rows(spark.sql("SELECT double('Infinity') AS x UNION ALL SELECT 1").agg(total("x"))) == [(float("inf"),)]
+
+
+def test_differences_are_exact_on_the_grid(spark):
+    df = spark.createDataFrame([(0.3, 0.1), (1e16, 1.0), (None, 1.0), (5.0, None)], "a double, b double")
+    assert rows(df.select(difference("a", "b"))) == [(0.2,), (1e16 - 1,), (None,), (None,)]
+
+
+def test_amounts_that_are_no_money_are_off_the_grid(spark):
     df = spark.sql("SELECT explode(array(double('NaN'), double('Infinity'), 1e30, 2.5)) AS x")
     assert [value for (value,) in rows(df.select(units("x"))) if value is not None] == [25_000]
 

@@ -202,6 +202,15 @@ def test_storage_helpers(spark, store):
     assert named is None or shared_folder(spark) == named.rstrip("/")
 
 
+def test_only_temporary_stores_can_be_dropped(spark, store):
+    scratch = TableStore(spark)
+    path = scratch.save(spark.range(3), "x").path
+    scratch.drop()
+    assert if_present(lambda: spark.read.parquet(path)) is None
+    with pytest.raises(ValueError, match="not dropped"):
+        store.drop()
+
+
 def test_full_run(spark, store):
     lake = store.path("lake")
 
