@@ -20,6 +20,12 @@ def first_match(rules: Sequence[tuple[str, Column]], default: str) -> Column:
     )
 
 
+def mapped(column: str, values: dict) -> Column:
+    """Value a small fixed dictionary has for a column, null where it has none."""
+    pairs = (F.lit(item) for pair in values.items() for item in pair)
+    return F.create_map(*pairs)[F.col(column)]
+
+
 def words(code: Column) -> Column:
     """`item_not_received` -> `Item Not Received`."""
     spaced = F.initcap(F.translate(code, "_", " "))

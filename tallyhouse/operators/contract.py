@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import GOLD_TABLES, MONEY_DIGITS, PUBLISHED_NAMES, Field
+from tallyhouse.functions.labels import mapped
 from tallyhouse.operators.quality import as_rows
 
 
@@ -80,54 +81,66 @@ def column_violations(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _keys(df: DataFrame, table: str, names: list[str]) -> DataFrame:
-    """One row per row and key column: table_name, column_name, key."""
-    longs = df.select(*(F.col(name).cast("bigint") for name in names))
-    return longs.unpivot([], names, "column_name", "key").select(F.lit(table).alias("table_name"), "column_name", "key")
+def _counted(tables: dict[str, DataFrame], links: list[tuple[str, str]]) -> DataFrame:
+    """Rows per link (a table and one of its key columns, by number) and key.
 
-
-def _counted(keys: list[DataFrame]) -> DataFrame:
-    """Rows per table, column and key, added up inside the map tasks first."""
-    return reduce(DataFrame.unionByName, keys).groupBy("table_name", "column_name", "key").agg(F.count(F.lit(1)).alias("n"))
+    Links are numbers rather than names because they are shuffled with every key.
+    """
+    per_table: dict[str, list[Column]] = {}
+    for number, (table, column) in enumerate(links):
+        per_table.setdefault(table, []).extend((F.lit(number), F.col(column).cast("bigint")))
+    keys = (
+        tables[table].select(F.stack(F.lit(len(pairs) // 2), *pairs).alias("link", "key"))
+        for table, pairs in per_table.items()
+    )
+    return reduce(DataFrame.unionByName, keys).groupBy("link", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _per_link(found: DataFrame, links: list[tuple[str, str]], rule: str, count: Column) -> DataFrame:
+    tables = {number: table for number, (table, _) in enumerate(links)}
+    columns = {number: column for number, (_, column) in enumerate(links)}
+    return (
+        found.groupBy("link")
+        .agg(count.alias("violations"))
+        .select(
+            mapped("link", tables).alias("table_name"),
+            F.lit(rule).alias("rule"),
+            mapped("link", columns).alias("column_name"),
+            "violations",
+        )
+    )
 
 
 def primary_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows beyond the first of each primary key, for all tables in one aggregation."""
-    counted = _counted([_keys(df, table, [GOLD_TABLES[table][0].name]) for table, df in tables.items()])
-    found = counted.groupBy("table_name", "column_name").agg(F.sum(F.col("n") - 1).alias("violations"))
-    return found.withColumn("rule", F.lit("primary_key"))
+    links = [(table, GOLD_TABLES[table][0].name) for table in tables]
+    return _per_link(_counted(tables, links), links, "primary_key", F.sum(F.col("n") - 1))
 
 
 def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows whose key is missing from the dimension, for all links of all facts in one join.
 
-    Only counts per (table, column, key) meet the dimensions, so no fact row is
-    joined and a hot key weighs as much as any other.
+    Only counts per link and key meet the dimensions, so no fact row is joined and a
+    hot key weighs as much as any other.
     """
-    links = {
-        table: {field.name: field.references for field in GOLD_TABLES[table] if field.references} for table in tables
+    targets = {
+        (table, field.name): field.references for table in tables for field in GOLD_TABLES[table] if field.references
     }
-    links = {table: columns for table, columns in links.items() if columns}
-    counted = _counted([_keys(tables[table], table, list(columns)) for table, columns in links.items()])
-    targets = {column: dimension for columns in links.values() for column, dimension in columns.items()}
+    links = list(targets)
     known = reduce(
         DataFrame.unionByName,
         (
             tables[dimension].select(
-                F.lit(column).alias("column_name"),
+                F.lit(number).alias("link"),
                 F.col(GOLD_TABLES[dimension][0].name).cast("bigint").alias("key"),
                 F.lit(True).alias("known"),
             )
-            for column, dimension in targets.items()
+            for number, dimension in enumerate(targets.values())
         ),
     ).distinct()
+    found = _counted(tables, links).join(known, ["link", "key"], "left")
     missing = F.col("key").isNotNull() & F.col("known").isNull()
-    found = (
-        counted.join(known, ["column_name", "key"], "left")
-        .groupBy("table_name", "column_name")
-        .agg(F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("violations"))
-    )
-    return found.withColumn("rule", F.lit("foreign_key"))
+    return _per_link(found, links, "foreign_key", F.sum(F.when(missing, F.col("n")).otherwise(0)))
 
 
 def contract_violations(tables: dict[str, DataFrame]) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES, QUALITY_CHECKS
+from tallyhouse.functions.labels import mapped
 from tallyhouse.functions.money import difference
 from tallyhouse.operators.skew import join_unique
 
@@ -108,22 +109,17 @@ def quality_report(
     found = [as_rows(counts) for counts in _measured(transactions, refunds, chargebacks, base)]
     metric = F.abs(F.sum("metric_value"))
     position = {name: number for number, name in enumerate(QUALITY_CHECKS)}
-    described = reduce(
-        lambda rest, item: F.when(F.col("name") == item[0], F.lit(item[1])).otherwise(rest),
-        QUALITY_CHECKS.items(),
-        F.lit(None).cast("string"),
-    )
-    ranked = reduce(
-        lambda rest, item: F.when(F.col("name") == item[0], F.lit(item[1])).otherwise(rest),
-        position.items(),
-        F.lit(len(position)),
-    )
     return (
         reduce(DataFrame.unionByName, found)
         .groupBy("name")
         .agg(metric.alias("metric_value"))
-        .orderBy(ranked)
-        .select("name", described.alias("description"), "metric_value", verdict(F.col("metric_value")).alias("status"))
+        .orderBy(mapped("name", position))
+        .select(
+            "name",
+            mapped("name", QUALITY_CHECKS).alias("description"),
+            "metric_value",
+            verdict(F.col("metric_value")).alias("status"),
+        )
     )
 
 
@@ -156,22 +152,3 @@ def require(report: DataFrame, names: tuple[str, ...]) -> None:
     failed = [row["name"] for row in report.collect() if row["status"] == "FAIL" and row["name"] in names]
     if failed:
         raise QualityError(f"failed checks: {', '.join(failed)}")
-
-
-def profile(df: DataFrame) -> DataFrame:
-    """Rows, and nulls per column, with the column's position and type."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *(F.count_if(F.col(name).isNull()).alias(name) for name in df.columns),
-    )
-    kinds = dict(df.dtypes)
-    long = counts.unpivot(["row_count"], df.columns, "column_name", "null_count")
-    about = F.create_map(*(F.lit(item) for pair in kinds.items() for item in pair))
-    place = F.create_map(*(F.lit(item) for name in df.columns for item in (name, df.columns.index(name) + 1)))
-    return long.select(
-        place[F.col("column_name")].alias("position"),
-        "column_name",
-        about[F.col("column_name")].alias("data_type"),
-        "row_count",
-        "null_count",
-    )

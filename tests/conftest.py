@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,12 @@ def spark() -> SparkSession:
     session = get_session(
         "tallyhouse-tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g"},
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "6g",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tallyhouse-tests-"),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -9,7 +9,7 @@ from tallyhouse.operators.incremental import Checkpoint, EntitySpec, checkpoint_
 from tallyhouse.plans.bronze_load import BronzeLoader
 from tallyhouse.plans.daily_run import run
 from tallyhouse.sources.audit import audit_frame, audit_row, loaded_records
-from tallyhouse.sources.bronze import read_bronze, read_parts, union_by_name
+from tallyhouse.sources.bronze import add_audit_columns, read_bronze, read_parts, union_by_name
 from tallyhouse.sources.jdbc import jdbc_options
 from tallyhouse.sources.sample_tables import ENTITIES
 from tallyhouse.sources.state import LoadState
@@ -44,6 +44,8 @@ def test_slice_is_pushed_into_the_scan(spark):
     spec = EntitySpec("orders", "o_orderdate", "o_orderkey")
     text = plan(newer_rows(df, spec, Checkpoint(dt.datetime(1998, 6, 15), 700)))
     assert "GreaterThanOrEqual(o_orderdate,1998-06-15" in text
+    audited = newer_rows(add_audit_columns(df, "run", "S"), spec, Checkpoint(dt.datetime(1998, 6, 15), 700))
+    assert "GreaterThanOrEqual(o_orderdate,1998-06-15" in plan(audited)
 
 
 def test_keys_are_compared_in_their_own_type(spark):

@@ -13,7 +13,8 @@ from tallyhouse.operators.contract import (
     prepare,
     primary_key_violations,
 )
-from tallyhouse.operators.quality import QualityError, profile, quality_report, raw_uniqueness, require, summarize, violations
+from tallyhouse.operators.inspect import preview, profile
+from tallyhouse.operators.quality import QualityError, quality_report, raw_uniqueness, require, summarize, violations
 from tallyhouse.operators.reconcile import match, reconciliation_base
 from tests.conftest import rows
 
@@ -123,6 +124,8 @@ def test_raw_uniqueness_counts_before_deduplication(entities):
 def test_profile_counts_nulls_per_column(spark):
     df = spark.createDataFrame([("a", None), (None, None), ("b", 1)], "x string, y int")
     assert rows(profile(df)) == [(1, "x", "string", 3, 1), (2, "y", "int", 3, 2)]
+    assert preview(spark.range(250)).count() == 100
+    assert preview(df, 2).count() == 2
 
 
 def refund_fact(spark, *data):

@@ -17,8 +17,9 @@ from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES, GOLD_TABLES
 from tallyhouse.operators.contract import contract_violations, prepare
 from tallyhouse.operators.dense_key import with_dense_key
 from tallyhouse.operators.incremental import Checkpoint, EntitySpec, checkpoint_of, newer_rows
+from tallyhouse.operators.inspect import profile
 from tallyhouse.operators.lookup import lookup_key
-from tallyhouse.operators.quality import over_refunded, profile, raw_uniqueness, summarize, violations
+from tallyhouse.operators.quality import over_refunded, raw_uniqueness, summarize, violations
 from tallyhouse.operators.reconcile import rollup
 from tallyhouse.operators.standardize import standardize
 from tallyhouse.plans import reports
