@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "__salt"
 _COPIES = "__copies"
-_HASH = "__hash"
-
 
 # Keys above this share of the rows are split by hand; AQE splits what is left.
 _MAX_HEAVY = 1_000
@@ -71,24 +69,22 @@ def join_unique(
     that tell the rows apart), and its single partner row is repeated once per
     task. Rows with a null key have no partner and are dealt over all tasks. The
     hash is a function of the row, so a retried task deals the same way.
+
+    The hot keys are fetched first: a sketch may come out a little different each
+    time it is computed, and both sides must deal by the same one.
     """
     spread = spread_of(many)
     heavy = heavy_keys(many, key, spread)
-    dealt: Column = F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int")
-    left = (
-        many.join(F.broadcast(heavy), key, "left")
-        .withColumn(_HASH, dealt)
-        .withColumn(
-            _SALT,
-            F.when(F.col(key).isNull(), F.col(_HASH)).otherwise(
-                F.pmod(F.col(_HASH), F.coalesce(F.col(_COPIES), F.lit(1)))
-            ),
-        )
-        .select(*many.columns, _SALT)
-    )
-    right = (
-        one.join(F.broadcast(heavy), key, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_COPIES), F.lit(1)) - 1)))
-        .drop(_COPIES)
-    )
+    found = heavy.collect()  # at most _MAX_HEAVY rows
+    dealt = F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int")
+    if found:
+        fixed = F.broadcast(many.sparkSession.createDataFrame(found, heavy.schema))
+        copies = F.coalesce(F.col(_COPIES), F.lit(1))
+        left, right = many.join(fixed, key, "left"), one.join(fixed, key, "left")
+    else:
+        copies, left, right = F.lit(1), many, one
+    salt = F.when(F.col(key).isNull(), dealt).otherwise(F.pmod(dealt, copies))
+    repeats = F.explode(F.sequence(F.lit(0), copies - 1)) if found else F.lit(0)
+    left = left.withColumn(_SALT, salt).select(*many.columns, _SALT)
+    right = right.withColumn(_SALT, repeats).select(*one.columns, _SALT)
     return left.join(right, [key, _SALT], how).drop(_SALT)

@@ -135,15 +135,23 @@ class Warehouse:
         return self.stored_match.df if entity is None else self.silver[entity]
 
     def fact_rows(self, name: str) -> DataFrame:
-        """Rows of a fact, each with its place in the order of its id."""
+        """Rows of a fact, each with its place in the order of its id.
+
+        Places come first, on a plain scan, when all lookups are broadcasts. A lookup
+        by shuffle would have to run the ranging again to find its hot keys, so then
+        they come last.
+        """
         self._build_needs(name)
-        rows = placed(self._fact_source(name), facts.FACT_KEYS[name][0])
+        source, order = self._fact_source(name), facts.FACT_KEYS[name][0]
+        shuffled = any(self.dims[dim].rows > self.broadcast_rows for dim in facts.FACT_DIMENSIONS[name])
         build = {
             "fact_transaction": facts.fact_transaction,
             "fact_refund": facts.fact_refund,
             "fact_chargeback": facts.fact_chargeback,
         }[name]
-        return build(rows, self.dims, broadcast_rows=self.broadcast_rows, keep=(PLACE,))
+        if shuffled:
+            return placed(build(source, self.dims, broadcast_rows=self.broadcast_rows), order)
+        return build(placed(source, order), self.dims, keep=(PLACE,))
 
     def _build_fact(self, name: str) -> Stored:
         return numbered(self.fact_rows(name), facts.FACT_KEYS[name][1], self.scratch, f"keys/{name}")

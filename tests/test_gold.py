@@ -98,6 +98,13 @@ def test_large_dimensions_give_the_same_facts(tiny):
     assert rows(small) == rows(large)
 
 
+def test_a_warehouse_without_broadcasts_builds_the_same_facts(spark, store):
+    usual = warehouse(spark, SMALL)
+    shuffled = Warehouse(spark, usual.bronze, store, broadcast_rows=0)
+    for name in FACTS:
+        assert rows(shuffled.gold(name)) == rows(usual.gold(name))
+
+
 def test_rejected_rows_are_counted(spark, tiny):
     keyless = spark.createDataFrame([(None, "1", "m1", DAY, 1.0, "x", "USD")], tiny.bronze["refunds"].drop("load_timestamp", "pipeline_run_id", "source_system").schema)
     tiny.bronze["refunds"] = tiny.bronze["refunds"].unionByName(add_audit_columns(keyless, "run", "CARDS"))
