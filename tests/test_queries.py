@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as contract
 from tests.conftest import rows
 from verification.compare import connect, differences
-from verification.queries import warehouse
+from verification.oracle import ORACLE
+from verification.queries import QUERIES, warehouse
 
 SMALL = "/root/testdata/sf0.001"
 FOLDER = os.environ.get("TEST_SF_DIR", SMALL)
@@ -19,11 +20,11 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
-    assert len(contract.queries()) == 62
+    assert set(QUERIES) == set(ORACLE) <= set(contract.oracle_sql())
+    assert len(QUERIES) >= 62
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_matches_sql(spark, database, name):
     result = contract.queries()[name](spark, FOLDER)
     assert differences(result, database, contract.oracle_sql()[name]) == []
