@@ -129,7 +129,7 @@ def write_archives(pages: DataFrame, level: int = 3) -> Archives:
         def begin() -> tuple[pa.NativeFile, zstandard.ZstdCompressor]:
             files, root = _open(folder)
             files.create_dir(root, recursive=True)
-            stream, dictionary = files.open_output_stream(f"{root}/{name}"), _train(sample)
+            stream, dictionary = files.open_output_stream(f"{root}/{name}", compression=None), _train(sample)
             if dictionary is None:
                 return stream, zstandard.ZstdCompressor(level=level)
             data = dictionary.as_bytes()
