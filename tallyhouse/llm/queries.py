@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyhouse.llm._shared import ship_package
 from tallyhouse.llm.backtracking_bpe import round_trip
 from tallyhouse.llm.best_fit_packing import pack_documents
+from tallyhouse.llm.license_scan import license_scan_sql, scan_licenses
+from tallyhouse.llm.line_templates import line_dedup_sql, line_report
 from tallyhouse.llm.quality_rules import quality_report
 from tallyhouse.llm.token_files import read_token_files, write_token_files
 from tallyhouse.llm.warc import read_archives, write_archives
@@ -30,10 +31,18 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, folder, "documents")))
 
 
+def op4_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return line_report(table(spark, folder, "documents"))
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return read_archives(write_archives(table(spark, folder, "pages")))
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"))
 
@@ -45,12 +54,16 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_token_files": op3_token_files,
+    "op4_line_templates": op4_line_templates,
     "op5_warc": op5_warc,
+    "op6_license_scan": op6_license_scan,
     "op7_quality_rules": op7_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_line_templates": line_dedup_sql(),
+    "op6_license_scan": license_scan_sql(),
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
