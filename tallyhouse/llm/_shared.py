@@ -54,15 +54,17 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that `column` holds about `limit` bytes in each."""
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES, rows: int = 1 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that `column` holds about `limit` bytes in each, in at most `rows` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for at, size in enumerate(sizes):
-            if total + size > limit and at > start:
+            if (total + size > limit or at - start == rows) and at > start:
                 yield batch.slice(start, at - start)
                 start, total = at, 0
             total += size

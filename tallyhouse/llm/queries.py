@@ -11,6 +11,7 @@ from tallyhouse.llm.backtracking_bpe import round_trip
 from tallyhouse.llm.best_fit_packing import pack_documents
 from tallyhouse.llm.license_scan import license_scan_sql, scan_licenses
 from tallyhouse.llm.line_templates import line_dedup_sql, line_report
+from tallyhouse.llm.ngram_join import ngram_components
 from tallyhouse.llm.quality_rules import quality_report
 from tallyhouse.llm.token_files import read_token_files, write_token_files
 from tallyhouse.llm.warc import read_archives, write_archives
@@ -23,6 +24,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_components(table(spark, folder, "documents"))
+
+
 def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(table(spark, folder, "documents"))
 
@@ -52,6 +57,7 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_token_files": op3_token_files,
     "op4_line_templates": op4_line_templates,
