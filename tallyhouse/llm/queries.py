@@ -13,6 +13,7 @@ from tallyhouse.llm.license_scan import license_scan_sql, scan_licenses
 from tallyhouse.llm.line_templates import line_dedup_sql, line_report
 from tallyhouse.llm.ngram_join import ngram_components
 from tallyhouse.llm.quality_rules import quality_report
+from tallyhouse.llm.suffix_dedup import suffix_dedup
 from tallyhouse.llm.token_files import read_token_files, write_token_files
 from tallyhouse.llm.warc import read_archives, write_archives
 
@@ -52,6 +53,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(spark, folder, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"))
 
@@ -64,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op5_warc": op5_warc,
     "op6_license_scan": op6_license_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
