@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.llm._shared import ship_package
 from tallyhouse.llm.backtracking_bpe import round_trip
 from tallyhouse.llm.best_fit_packing import pack_documents
+from tallyhouse.llm.flat_graph import near_duplicates
 from tallyhouse.llm.license_scan import license_scan_sql, scan_licenses
 from tallyhouse.llm.line_templates import line_dedup_sql, line_report
 from tallyhouse.llm.ngram_join import ngram_components
@@ -62,6 +63,10 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"))
 
 
+def op10_flat_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_flat_graph": op10_flat_graph,
 }
 
 ORACLE: dict[str, str] = {
