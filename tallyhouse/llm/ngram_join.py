@@ -39,9 +39,11 @@ from tallyhouse.llm.components import components
 
 #: Elements, over all its sets, of a family that one task holds in a trie (some 100 MB at work).
 BLOCK = 2_000_000
+#: Most document numbers (16 MB) that are broadcast.
+BROADCAST = 2_000_000
 _U = np.uint64
 _FILED = "bucket int, keys binary, places binary, docs binary, facts binary"
-_FOUND = "kind string, a long, b long, c long, d long"
+_FOUND = "kind string, bucket int, packed binary"
 
 
 class Similarity(NamedTuple):
@@ -180,16 +182,15 @@ class Union:
         return True
 
 
-def _meet(filed: DataFrame) -> DataFrame:
-    """Per bucket: which documents met, as edges to one of them; facts are passed on."""
+def _meet(filed: DataFrame, buckets: int) -> DataFrame:
+    """Per bucket: which documents met, as packed edges to one of them by bucket of the document; facts are passed on."""
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes = [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["facts"]:
-                    facts = np.frombuffer(row["facts"], "<i8").reshape(-1, 4)
-                    yield _rows("doc", *facts.T)
+                    yield _rows(["facts"], [0], [row["facts"]])
                     continue
                 keys.append(np.frombuffer(row["keys"], "<u8"))
                 nodes.append(np.frombuffer(row["docs"], "<i8")[np.frombuffer(row["places"], "<u2")])
@@ -202,112 +203,176 @@ def _meet(filed: DataFrame) -> DataFrame:
         same = keys_[1:] == keys_[:-1]
         left, right = nodes_[:-1][same], nodes_[1:][same]
         apart = left != right
-        pairs = np.unique(np.stack([left[apart], right[apart]], axis=1), axis=0)
-        if not len(pairs):
+        left, right = left[apart], right[apart]
+        if not len(left):
             return
-        ids, local = np.unique(pairs, return_inverse=True)
+        ids, local = np.unique(np.concatenate([left, right]), return_inverse=True)
+        pairs = np.unique(local[: len(left)] * len(ids) + local[len(left) :])
         union = Union(len(ids))
-        for a, b in local.reshape(-1, 2).tolist():
+        for a, b in zip((pairs // len(ids)).tolist(), (pairs % len(ids)).tolist()):
             union.join(a, b)
         roots = np.array([union.root(a) for a in range(len(ids))])
-        moved = roots != np.arange(len(ids))
-        yield _rows("meet", ids[moved], ids[roots[moved]], *[np.zeros(int(moved.sum()), np.int64)] * 2)
-
-    def _rows(kind: str, *columns: np.ndarray) -> pa.RecordBatch:
-        first = pa.array([kind] * len(columns[0]), pa.string())
-        return pa.RecordBatch.from_arrays([first, *[pa.array(c, pa.int64()) for c in columns]], ["kind", "a", "b", "c", "d"])
+        moved = np.flatnonzero(roots != np.arange(len(ids)))
+        edges = np.stack([ids[moved], ids[roots[moved]]], axis=1).astype("<i8")
+        bucket = (mix(edges[:, 0].view(_U)) % _U(buckets)).astype(np.int64)
+        edges = edges[np.argsort(bucket, kind="stable")]
+        cuts = np.searchsorted(np.sort(bucket), np.arange(buckets + 1))
+        some = np.flatnonzero(np.diff(cuts)).tolist()
+        yield _rows(["edges"] * len(some), some, [edges[cuts[b] : cuts[b + 1]].tobytes() for b in some])
+
+    def _rows(kinds: list, buckets_: list, packed: list) -> pa.RecordBatch:
+        columns = [pa.array(kinds, pa.string()), pa.array(buckets_, pa.int32()), pa.array(packed, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "packed"])
 
     return filed.mapInArrow(meet, _FOUND)
 
 
-class _Node:
-    """A branch of the trie: a run of elements, then further branches or sets ending here."""
-
-    __slots__ = ("run", "last", "depth", "least", "most", "ends", "branches", "settled")
-
-    def __init__(self, run: np.ndarray, depth: int):
-        self.run, self.depth = run, depth  # depth: elements from the root to the end of the run
-        self.last = int(run[-1]) if len(run) else -1
-        self.ends: list[int] = []
-        self.branches: list[_Node] = []
-        self.least = self.most = 0
-        self.settled = -1  # a set of the component that all sets below belong to, if known
-
-
-def _build(sets: list[np.ndarray], order: list[int], low: int, high: int, depth: int) -> _Node:
-    """The trie below `depth` for the sets order[low:high], which agree up to there. Iterative."""
-    root = _Node(np.zeros(0, np.int64), 0)
-    stack = [(root, low, high, depth)]
-    made = [root]
-    while stack:
-        node, low, high, depth = stack.pop()
-        while low < high and len(sets[order[low]]) == depth:
-            node.ends.append(order[low])
-            low += 1
-        while low < high:
-            head = sets[order[low]][depth]
-            end = low + 1
-            while end < high and sets[order[end]][depth] == head:
-                end += 1
-            one, other = sets[order[low]], sets[order[end - 1]]  # sorted, so these two agree least
-            most = min(len(one), len(other))
-            unlike = np.flatnonzero(one[depth:most] != other[depth:most])
-            reach = depth + int(unlike[0]) if len(unlike) else most
-            child = _Node(one[depth:reach], reach)
-            node.branches.append(child)
-            made.append(child)
-            stack.append((child, low, end, reach))
-            low = end
-    for node in reversed(made):
-        sizes = [len(sets[s]) for s in node.ends] + [b.least for b in node.branches]
-        node.least = min(sizes, default=0)
-        node.most = max([len(sets[s]) for s in node.ends] + [b.most for b in node.branches], default=0)
-    return root
-
-
-def trie_links(elements: list[np.ndarray], percent: int, ask: range | None = None) -> list[tuple[int, int]]:
-    """Links that join all linked sets to components (distinct, non-empty sets; `ask` names the walkers)."""
+def _unpacked(packed: DataFrame, width: int) -> DataFrame:
+    """Rows of `width` numbers from packed ones, each different row of a task once."""
+    names = "abcd"[:width]
+
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in batches:
+            found = [np.frombuffer(data, "<i8").reshape(-1, width) for data in batch.column("packed").to_pylist()]
+            if width > 2:  # facts: a row for each document, repeated ones too
+                for part in found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in part.T.copy()], list(names))
+            else:
+                parts += found
+        if parts:
+            edges = np.concatenate(parts)
+            edges = edges[np.lexsort((edges[:, 1], edges[:, 0]))]
+            edges = edges[np.concatenate([[True], (edges[1:] != edges[:-1]).any(axis=1)])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in edges.T.copy()], list(names))
+
+    return packed.select("packed").mapInArrow(unpack, ", ".join(f"{name} long" for name in names))
+
+
+class Trie(NamedTuple):
+    """A prefix tree in flat arrays, level by level: the branches of a node stand side by side.
+
+    A node is a run of elements. `order` names the sets as they stand below the nodes;
+    node i holds order[low[i]:high[i]], of which the first `ends[i]` end with its run.
+    """
+
+    elements: np.ndarray  # the runs of all nodes, one after the other
+    begin: np.ndarray  # of each node's run in `elements`
+    length: np.ndarray
+    depth: np.ndarray  # elements from the root to the end of the run
+    last: np.ndarray  # last element of the run
+    least: np.ndarray  # smallest and largest set below
+    most: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    ends: np.ndarray
+    child: np.ndarray  # first branch, and how many
+    children: np.ndarray
+    order: np.ndarray
+
+
+def build_trie(sets: list[np.ndarray]) -> Trie:
+    """The trie of distinct non-empty ascending sets."""
+    order = sorted(range(len(sets)), key=lambda s: sets[s].astype(">u4").tobytes())
+    ranked = [sets[s] for s in order]
+    sizes = np.array([len(s) for s in ranked])
+    runs, rows = [], []
+    level = [(0, len(order), 0, 0)]  # sets low:high agree up to `start`, and the run begins at `above`
+    while level:
+        following = []
+        for low, high, above, start in level:
+            runs.append(ranked[low][above:start])
+            inner, ends = low, 0
+            while inner < high and sizes[inner] == start:
+                inner, ends = inner + 1, ends + 1
+            branches = 0
+            while inner < high:
+                head, end = ranked[inner][start], inner + 1
+                while end < high and ranked[end][start] == head:
+                    end += 1
+                one, other = ranked[inner], ranked[end - 1]  # they stand in order, so these two agree least
+                most = min(len(one), len(other))
+                unlike = np.flatnonzero(one[start:most] != other[start:most])
+                following.append((inner, end, start, start + int(unlike[0]) if len(unlike) else most))
+                inner, branches = end, branches + 1
+            rows.append((len(runs[-1]), start, runs[-1][-1] if len(runs[-1]) else -1, low, high, ends, branches))
+        level = following
+    length, depth, last, low, high, ends, children = np.array(rows, np.int64).T
+    bounds = np.stack([low, high], 1).ravel()
+    padded = np.concatenate([sizes, [0]])
+    return Trie(
+        np.concatenate(runs).astype(np.int64),
+        np.cumsum(length) - length,
+        length,
+        depth,
+        last,
+        np.minimum.reduceat(padded, bounds)[::2],
+        np.maximum.reduceat(padded, bounds)[::2],
+        low,
+        high,
+        ends,
+        1 + np.cumsum(children) - children,
+        children,
+        np.array(order, np.int64),
+    )
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All places begin .. begin + length - 1, one range after the other."""
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - length), length)
+
+
+def trie_links(elements: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that join all linked sets to components (sets distinct and not empty)."""
     names, local = np.unique(np.concatenate(elements), return_inverse=True)
     counts = np.bincount(local, minlength=len(names))
     rank = np.empty(len(names), np.int64)
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(names))
     bounds = np.cumsum([0, *map(len, elements)])
     sets = [np.sort(rank[local[a:b]]) for a, b in zip(bounds[:-1], bounds[1:])]
-    order = sorted(range(len(sets)), key=lambda s: sets[s].astype(">u4").tobytes())
-    root = _build(sets, order, 0, len(order), 0)
-    union, links = Union(len(sets)), []
+    sizes = np.diff(bounds)
+    trie = build_trie(sets)
+    label = np.arange(len(sets))  # component of each set
+    span = np.stack([trie.low, trie.high], 1).ravel()
+    settled = np.full(len(trie.low), -1)  # component of all sets below a node, -1 for several
+    settled[trie.high - trie.low == 1] = trie.order[trie.low[trie.high - trie.low == 1]]
     held = np.zeros(len(names), bool)
-    for walker in ask or range(len(sets)):
-        own = sets[walker]
-        size = len(own)
-        if root.settled >= 0 and union.root(root.settled) == union.root(walker):
-            continue
+    links: list[tuple[int, int]] = []
+    for walker in range(len(sets)):
+        own, size = sets[walker], len(sets[walker])
+        if settled[0] == label[walker]:
+            break  # everything is one component
         held[own] = True
-        stack = [(root, 0, False)]
-        while stack:
-            node, overlap, left = stack.pop()
-            if left:  # all below has been seen: is it one component now?
-                below = [union.root(s) for s in node.ends] + [union.root(b.settled) if b.settled >= 0 else -1 for b in node.branches]
-                if below and below[0] >= 0 and all(r == below[0] for r in below):
-                    node.settled = below[0]
-                continue
-            if node.settled >= 0 and union.root(node.settled) == union.root(walker):
-                continue
-            if node.most * 100 < size * percent or size * 100 < node.least * percent:
-                continue
-            overlap += int(held[node.run].sum())
-            could = overlap + min(size - int(own.searchsorted(node.last, "right")), node.most - node.depth)
-            least = max(node.least, -(-size * percent // 100))
-            if could * (100 + percent) < percent * (size + least):
-                continue
-            for other in node.ends:
-                shared = overlap
-                if other != walker and shared * (100 + percent) >= percent * (size + len(sets[other])) and union.join(walker, other):
+        nodes, overlap, joined = np.zeros(1, np.int64), np.zeros(1, np.int64), False
+        while len(nodes):
+            fits = (settled[nodes] != label[walker]) & (trie.most[nodes] * 100 >= size * percent) & (size * 100 >= trie.least[nodes] * percent)
+            nodes, overlap = nodes[fits], overlap[fits]
+            if not len(nodes):
+                break
+            length = trie.length[nodes]
+            shared = np.concatenate([[0], np.cumsum(held[trie.elements[_ranges(trie.begin[nodes], length)]])])
+            ends = np.cumsum(length)
+            overlap = overlap + shared[ends] - shared[ends - length]
+            could = overlap + np.minimum(size - own.searchsorted(trie.last[nodes], "right"), trie.most[nodes] - trie.depth[nodes])
+            least = np.maximum(trie.least[nodes], -(-size * percent // 100))
+            fits = could * (100 + percent) >= percent * (size + least)
+            nodes, overlap = nodes[fits], overlap[fits]
+            ends = trie.ends[nodes]
+            others = trie.order[_ranges(trie.low[nodes], ends)]
+            linked = np.repeat(overlap, ends) * (100 + percent) >= percent * (size + sizes[others])
+            for other in others[linked].tolist():
+                if label[other] != label[walker]:
                     links.append((walker, other))
-            if node.settled < 0:
-                stack.append((node, 0, True))
-            stack.extend((branch, overlap, False) for branch in node.branches)
+                    label[label == max(label[other], label[walker])] = min(label[other], label[walker])
+                    joined = True
+            overlap = np.repeat(overlap, trie.children[nodes])
+            nodes = _ranges(trie.child[nodes], trie.children[nodes])
         held[own] = False
+        if joined:
+            below = np.concatenate([label[trie.order], [0]])
+            least, most = np.minimum.reduceat(below, span)[::2], np.maximum.reduceat(below, span)[::2]
+            settled = np.where(least == most, least, -1)
     return links
 
 
@@ -326,6 +391,8 @@ def _family_links(families: DataFrame, docs: DataFrame, like: Similarity) -> Dat
         ).alias("pair"),
     )
     wanted = families.select("doc_id")
+    # One number per set that met another: sent to all tasks while that is small, else joined by a shuffle of texts.
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST else wanted
     texts = docs.join(wanted, "doc_id").select("doc_id", "text")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,9 +421,10 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFr
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     named = docs.where("doc_id is not null")
     buckets = 4 * shuffle_width(docs)
-    found = staged(_meet(_file(named, like, buckets).repartition(buckets // 4, "bucket")), "ngram-filing")
+    filed = _file(named, like, buckets).repartition(buckets // 4, "bucket")
+    found = staged(_meet(filed, buckets), "ngram-filing")
 
-    facts = found.where("kind = 'doc'").selectExpr("a doc_id", "b n_shingles", "c x", "d y")
+    facts = staged(_unpacked(found.where("kind = 'facts'"), 4), "ngram-facts").selectExpr("a doc_id", "b n_shingles", "c x", "d y")
     # One class per set: all its documents hang on the smallest.
     classes = staged(
         facts.where("n_shingles > 0").groupBy("n_shingles", "x", "y").agg(F.min("doc_id").alias("first")), "ngram-classes"
@@ -364,7 +432,7 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFr
     equal = staged(
         facts.join(classes, ["n_shingles", "x", "y"]).where("doc_id <> first").selectExpr("doc_id a", "first b"), "ngram-equal"
     )
-    met = found.where("kind = 'meet'").select("a", "b")
+    met = _unpacked(found.where("kind = 'edges'").repartition(buckets // 4, "bucket"), 2)
     family = components(met.union(equal)).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "family")
     heads = classes.groupBy(F.col("first").alias("doc_id")).agg(F.sum("n_shingles").alias("size"), F.count(F.lit(1)).alias("sets"))
     members = family.join(heads, "doc_id")
