@@ -184,7 +184,7 @@ def line_dedup_sql(limits: Limits = Limits()) -> str:
         shared AS (SELECT leaf, template FROM described GROUP BY leaf, template HAVING sum(n_docs) >= {limits.min_docs}),
         found AS (SELECT m.r, m.id, m.pos, m.leaf, d.template FROM members m JOIN described d USING (leaf, tokens)
                   JOIN shared s ON s.leaf = m.leaf AND s.template = d.template),
-        later AS (SELECT r, pos FROM (SELECT r, pos, row_number() OVER (PARTITION BY leaf, template ORDER BY id, pos) AS n FROM found)
+        later AS (SELECT r, pos FROM (SELECT r, pos, row_number() OVER (PARTITION BY leaf, template ORDER BY id NULLS FIRST, pos) AS n FROM found)
                   WHERE n > 1),
         kept AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE x.pos IS NULL) AS text,
                         count(*) AS n_lines, count(x.pos) AS n_dropped
