@@ -1,21 +1,25 @@
 """Exact money arithmetic.
 
 Amounts travel as doubles. A sum of doubles depends on the order of addition, so
-it changes from run to run on a cluster. Amounts are therefore put on a grid of
-ten-thousandths as whole numbers, which add exactly in any order, and turned back
-into doubles at the end. Whole numbers stay inside generated code and are about
-ten times as fast to add as decimals.
+it changes from run to run on a cluster. An amount that is a whole number of
+ten-thousandths is therefore added as that number, which is exact in any order and
+stays inside generated code, about ten times as fast as decimals. Any other amount
+(finer, or so large that its number does not fit) is added as a decimal with ten
+places, which does not depend on order either. No amount is rounded to the grid.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 GRID = 10_000
-# A sum is kept in two halves so that it cannot overflow: the low 20 bits of every
-# amount and the rest. That is good for 8 trillion rows per group.
-_LOW_BITS = 20
+# A whole number is added in three parts of 21 bits (the highest with its sign), so that
+# no part overflows before 2**42 rows, some 4 trillion in one group, at any amount.
+_BITS = 21
+_DECIMAL = "decimal(38,10)"
 
 
 def _column(amount: Column | str) -> Column:
@@ -23,8 +27,10 @@ def _column(amount: Column | str) -> Column:
 
 
 def units(amount: Column | str) -> Column:
-    """Amount in ten-thousandths; null off the grid: no number, infinite, or beyond 9e14."""
-    return F.rint(_column(amount) * GRID).try_cast("bigint")
+    """Amount in ten-thousandths; null if it is no whole number of them, or none that fits 64 bits."""
+    value = _column(amount).cast("double")
+    whole = F.rint(value * GRID).try_cast("bigint")
+    return F.when(amount_of(whole) == value, whole)
 
 
 def amount_of(whole: Column) -> Column:
@@ -33,25 +39,38 @@ def amount_of(whole: Column) -> Column:
 
 
 def difference(first: Column | str, *others: Column | str) -> Column:
-    """`first` minus the others, exact on the grid and in doubles off it; null if one is null."""
-    whole, rest = units(first), _column(first)
-    for other in others:
-        whole, rest = whole - units(other), rest - _column(other)
-    return F.coalesce(amount_of(whole), rest)
+    """`first` minus the others: exact as whole numbers or as decimals, in doubles beyond both; null if one is null."""
+    ways = (units, lambda amount: _column(amount).try_cast(_DECIMAL), lambda amount: _column(amount).cast("double"))
+    whole, decimal, plain = (
+        reduce(lambda rest, other: F.try_subtract(rest, other), [way(amount) for amount in (first, *others)]) for way in ways
+    )
+    return F.coalesce(amount_of(whole), decimal.cast("double"), plain)
+
+
+def _whole_sum(whole: Column) -> Column:
+    mask = F.lit((1 << _BITS) - 1)
+    parts = [F.shiftright(whole, 2 * _BITS), F.shiftright(whole, _BITS).bitwiseAND(mask), whole.bitwiseAND(mask)]
+    scaled = [
+        F.sum(part).cast("decimal(20,0)") * F.lit(1 << shift).cast(f"decimal({len(str(1 << shift))},0)")
+        for part, shift in zip(parts, (2 * _BITS, _BITS, 0), strict=True)
+    ]
+    return ((scaled[0] + scaled[1] + scaled[2]) * F.lit("0.0001").cast("decimal(4,4)")).cast("double")
 
 
 def total(amount: Column | str) -> Column:
     """Order-independent sum as a double; null when nothing was added.
 
-    Amounts off the grid, too large to have cents in a double, are added as doubles.
+    Amounts of 1e28 and more, sums of decimals that large, NaN and infinities are left to
+    doubles: NaN if one is NaN or if infinities of both signs meet, else the infinity.
     """
+    value = _column(amount).cast("double")
     whole = units(amount)
-    high = F.sum(F.shiftright(whole, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
-    step = F.lit(1 << _LOW_BITS).cast("decimal(7,0)")
-    on_grid = ((high * step + low) * F.lit("0.0001").cast("decimal(4,4)")).cast("double")
-    off_grid = F.sum(F.when(whole.isNull(), _column(amount)))
-    return F.coalesce(on_grid + off_grid, on_grid, off_grid)
+    decimal = F.when(whole.isNull(), value.try_cast(_DECIMAL))
+    fine = F.coalesce(F.try_sum(decimal).cast("double"), F.sum(F.when(decimal.isNotNull(), value)))
+    beyond = F.sum(F.when(whole.isNull() & decimal.isNull(), value))
+    sums = (_whole_sum(whole), fine, beyond)
+    nothing = reduce(lambda all_null, part: all_null & part.isNull(), sums, F.lit(True))
+    return F.when(~nothing, reduce(lambda left, right: left + right, (F.coalesce(part, F.lit(0.0)) for part in sums)))
 
 
 def rate_pct(part: Column, whole: Column) -> Column:
