@@ -6,20 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES
+from tallyhouse.sources.bronze import LOADED_AT
 
 _RANK = "__rank"
 _UNORDERED = ("map", "variant")
 
 
 def survivor_order(df: DataFrame, entity: str) -> list[Column]:
-    """Latest date, then largest amount, then transaction id, then every other column.
+    """Latest load where there is a load time, then latest date, largest amount, transaction id, every other column.
 
-    With every column in the order, two rows can only tie by being equal, so the
-    survivor does not depend on how rows were distributed.
+    A row loaded again is a correction of what was loaded before. With every column in
+    the order, two rows can only tie by being equal, so the survivor does not depend on
+    how rows were distributed.
     """
     date_column, amount = ENTITY_MEASURES[entity]
     first = [F.desc(date_column), F.desc(amount), F.asc("transaction_id")]
-    ranked = {date_column, amount, "transaction_id", ENTITY_KEYS[entity][1]}
+    if LOADED_AT in df.columns:
+        first.insert(0, F.desc_nulls_last(LOADED_AT))
+    ranked = {LOADED_AT, date_column, amount, "transaction_id", ENTITY_KEYS[entity][1]}
     rest = [name for name, kind in df.dtypes if name not in ranked and not kind.startswith(_UNORDERED)]
     return first + [F.asc(name) for name in rest]
 

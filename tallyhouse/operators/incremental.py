@@ -46,24 +46,39 @@ def _literal(df: DataFrame, column: str, value: Any) -> Column:
 
 
 def newer_rows(
-    df: DataFrame, spec: EntitySpec, checkpoint: Checkpoint | None, lookback: timedelta | None = None
+    df: DataFrame, spec: EntitySpec, checkpoint: Checkpoint | None, lookback: timedelta | float | None = None
 ) -> DataFrame:
-    """Rows after the checkpoint: a later watermark, or the same one with a larger key.
+    """Rows after the checkpoint: a later watermark, the same one with a larger key, or none at all.
 
-    `lookback` rereads that much before the watermark to catch late rows; rows read
-    twice are removed by deduplication. Without a checkpoint everything is new. The
-    predicate is a plain comparison, so it reaches the Parquet or JDBC scan.
+    A row without a watermark cannot be told to be old, so it comes with every load;
+    deduplication removes what was read twice, and nothing is lost. `lookback` rereads
+    that much before the watermark (a timedelta, or a number for numeric watermarks) to
+    catch late rows. Without a checkpoint everything is new. The predicates are plain
+    comparisons, so they reach the Parquet or JDBC scan.
     """
     if checkpoint is None:
         return df
     watermark = F.col(spec.watermark_column)
     reached = _literal(df, spec.watermark_column, checkpoint.watermark)
     if lookback is not None:
-        return df.where(watermark >= _literal(df, spec.watermark_column, checkpoint.watermark - lookback))
-    if checkpoint.key is None:
-        return df.where(watermark > reached)
-    past_key = F.col(spec.primary_key) > _literal(df, spec.primary_key, checkpoint.key)
-    return df.where((watermark >= reached) & ((watermark > reached) | past_key))
+        newer = watermark >= _literal(df, spec.watermark_column, _before(checkpoint.watermark, lookback))
+    elif checkpoint.key is None:
+        newer = watermark > reached
+    else:
+        past_key = F.col(spec.primary_key) > _literal(df, spec.primary_key, checkpoint.key)
+        newer = (watermark >= reached) & ((watermark > reached) | past_key)
+    return df.where(newer | watermark.isNull())
+
+
+def _before(watermark: Any, lookback: timedelta | float) -> Any:
+    """The watermark that much earlier; kinds that do not go together are refused by name."""
+    is_time, is_span = isinstance(watermark, date), isinstance(lookback, timedelta)
+    if is_time != is_span or isinstance(watermark, str):
+        raise ValueError(
+            f"a lookback of {lookback!r} does not fit the watermark {watermark!r}:"
+            " time needs a timedelta, numbers need a number, and text has no distance"
+        )
+    return watermark - lookback
 
 
 def furthest(spec: EntitySpec) -> Column:

@@ -12,7 +12,14 @@ from pyspark.sql.types import StructType
 
 from tallyhouse.operators.incremental import Checkpoint, EntitySpec, checkpoint_of, entity_specs, furthest, newer_rows
 from tallyhouse.sources.audit import audit_frame, audit_row, write_audit
-from tallyhouse.sources.bronze import add_audit_columns, append_bronze, read_bronze
+from tallyhouse.sources.bronze import (
+    add_audit_columns,
+    append_bronze,
+    known_schemas,
+    read_bronze,
+    read_loads,
+    remember_schema,
+)
 from tallyhouse.sources.state import LoadState
 from tallyhouse.sources.storage import if_present, observed_write
 
@@ -29,24 +36,27 @@ class BronzeLoader:
     source_system: str
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     incremental: bool = True
-    lookback: timedelta | None = None
+    lookback: timedelta | float | None = None
     specs: dict[str, EntitySpec] = field(default_factory=entity_specs)
 
     def __post_init__(self) -> None:
         self.state = LoadState(self.spark, f"{self.root}/_state")
         self.audit_rows: list[tuple] = []
-        self.schemas: dict[str, StructType] = {}
 
     def path(self, entity: str) -> str:
         return f"{self.root}/{entity}"
 
+    def _schemas(self, entity: str) -> str:
+        return f"{self.root}/_schemas/{entity}"
+
     def bronze(self, entity: str) -> DataFrame:
-        """Everything loaded so far."""
-        return read_bronze(self.spark, self.path(entity), self.schemas.get(entity))
+        """Everything loaded so far, also where columns or types have changed between loads."""
+        schemas = known_schemas(self.spark, self._schemas(entity))
+        return read_loads(self.spark, self.path(entity), schemas) if schemas else read_bronze(self.spark, self.path(entity))
 
     def _rebuilt_checkpoint(self, spec: EntitySpec, schema: StructType) -> Checkpoint | None:
         """Progress read off the loaded data, for when the state was lost."""
-        loaded = if_present(lambda: read_bronze(self.spark, self.path(spec.name), schema))
+        loaded = if_present(lambda: self.bronze(spec.name))
         if loaded is None:
             return None
         found = checkpoint_of(loaded, spec)
@@ -71,7 +81,7 @@ class BronzeLoader:
         rows = 0
         try:
             audited = add_audit_columns(self.source(entity), self.run_id, self.source_system)
-            self.schemas[entity] = audited.schema
+            remember_schema(self.spark, self._schemas(entity), audited.schema)
             new = newer_rows(audited, spec, self.checkpoint(spec, audited.schema), self.lookback)
             today = datetime.now(UTC).date()
             reached = furthest(spec)

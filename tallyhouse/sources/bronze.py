@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType, TimestampNTZType, TimestampType
+
+from tallyhouse.sources.storage import if_present
 
 LOADED_AT = "load_timestamp"
 PARTITION = "load_date"
+# Second level of the folders: loads of unlike columns or types never share one.
+SCHEMA_PARTITION = "load_schema"
 
 
 def add_audit_columns(df: DataFrame, run_id: str, source_system: str, loaded_at: Column | None = None) -> DataFrame:
@@ -28,13 +34,58 @@ def add_audit_columns(df: DataFrame, run_id: str, source_system: str, loaded_at:
 def append_bronze(df: DataFrame, path: str, load_date: date) -> None:
     """Append one load as a partition; an empty load leaves no partition behind."""
     (
-        df.withColumn(PARTITION, F.lit(load_date.isoformat()))
+        df.withColumns({PARTITION: F.lit(load_date.isoformat()), SCHEMA_PARTITION: F.lit(schema_name(df.schema))})
         .write.mode("append")
-        .partitionBy(PARTITION)
+        .partitionBy(PARTITION, SCHEMA_PARTITION)
         .parquet(path)
     )
 
 
+def schema_name(schema: StructType) -> str:
+    """A short name for the columns and types of a load; nullability does not count."""
+    columns = ",".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+    return f"s{hashlib.sha256(columns.encode()).hexdigest()[:16]}"
+
+
+def remember_schema(spark: SparkSession, folder: str, schema: StructType) -> None:
+    """Append a schema to the list kept in `folder`, unless it is there."""
+    if schema_name(schema) not in known_schemas(spark, folder):
+        row = spark.createDataFrame([(schema_name(schema), schema.json())], "name string, columns string")
+        row.coalesce(1).write.mode("append").parquet(folder)
+
+
+def known_schemas(spark: SparkSession, folder: str) -> dict[str, StructType]:
+    """All schemas loads have had so far, by name; as many rows as the source has changed."""
+    kept = if_present(lambda: spark.read.schema("name string, columns string").parquet(folder))
+    if kept is None:
+        return {}
+    return {row["name"]: StructType.fromJson(json.loads(row["columns"])) for row in kept.distinct().collect()}
+
+
+def read_loads(spark: SparkSession, path: str, schemas: Mapping[str, StructType]) -> DataFrame:
+    """All loads, whatever columns each had: one scan per schema, prunable by load date.
+
+    A column that a load lacks is null there. Where loads disagree on a type, times come
+    as zoned timestamps and all else as text, which cleaning casts to the published type.
+    """
+    kinds: dict[str, set] = {}
+    for schema in schemas.values():
+        for field in schema:
+            kinds.setdefault(field.name, set()).add(field.dataType)
+
+    def agreed(name: str) -> Column:
+        times = {TimestampType(), TimestampNTZType()}
+        if len(kinds[name]) == 1:
+            return F.col(name)
+        return F.col(name).cast("timestamp" if kinds[name] <= times else StringType())
+
+    parts = []
+    for name, schema in sorted(schemas.items()):
+        rows = spark.read.schema(schema).parquet(path).where(F.col(SCHEMA_PARTITION) == name)
+        parts.append(_zoned_load_time(rows.select(*(agreed(f.name).alias(f.name) for f in schema), PARTITION)))
+    return union_by_name(parts)
+
+
 def _zoned_load_time(df: DataFrame) -> DataFrame:
     """Loads written by different tools disagree on whether the load time carries a zone."""
     return df.withColumn(LOADED_AT, F.col(LOADED_AT).cast("timestamp")) if LOADED_AT in df.columns else df

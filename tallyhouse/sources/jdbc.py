@@ -34,5 +34,23 @@ def jdbc_options(
     }
 
 
+def bounds_query(table: str, split_column: str) -> str:
+    """One aggregate for the source to answer: the smallest and largest value to split by."""
+    return f"SELECT MIN({split_column}) AS low, MAX({split_column}) AS high FROM {table}"
+
+
+def read_jdbc_in_splits(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str], split_column: str, splits: int
+) -> DataFrame:
+    """Scan a table as `splits` range queries, with bounds asked of the source; an empty table is one query."""
+    asked = {"url": url, "query": bounds_query(table, split_column), **properties}
+    found = spark.read.format("jdbc").options(**asked).load().toDF("low", "high").first()
+    if found is None or found["low"] is None:
+        return read_jdbc(spark, url, table, properties)
+    return read_jdbc(
+        spark, url, table, properties, split_column=split_column, bounds=(found["low"], found["high"]), splits=splits
+    )
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str], **split) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(url, table, properties, **split)).load()

@@ -5,18 +5,20 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.dedup import deduplicate
 from tallyhouse.operators.incremental import Checkpoint, EntitySpec, checkpoint_of, entity_specs, newer_rows
+from tallyhouse.operators.standardize import standardize
 from tallyhouse.plans.bronze_load import BronzeLoader
 from tallyhouse.plans.daily_run import run
 from tallyhouse.sources.audit import audit_frame, audit_row, loaded_records
 from tallyhouse.sources.bronze import add_audit_columns, read_bronze, read_parts, union_by_name
-from tallyhouse.sources.jdbc import jdbc_options
+from tallyhouse.sources.jdbc import bounds_query, jdbc_options
 from tallyhouse.sources.sample_tables import ENTITIES
 from tallyhouse.sources.state import LoadState
 from tallyhouse.sources.storage import TableStore, if_present, observed_write, shared_folder
 from tallyhouse.streaming.file_ingest import append_available, drop_repeats, file_stream
 from tests.conftest import plan, rows
-from verification.queries import warehouse
+from verification.queries import QUERIES, warehouse
 
 SMALL = "/root/testdata/sf0.001"
 SPEC = EntitySpec("items", "date", "id")
@@ -34,9 +36,55 @@ def ids(df):
 def test_slice_takes_later_rows_and_larger_keys_at_the_watermark(spark):
     df = items(spark, (8, D[1]), (9, D[1]), (10, D[1]), (1, D[2]), (99, D[0]), (5, None))
     assert ids(newer_rows(df, SPEC, None)) == [1, 5, 8, 9, 10, 99]
-    assert ids(newer_rows(df, SPEC, Checkpoint(D[1], 9))) == [1, 10]
-    assert ids(newer_rows(df, SPEC, Checkpoint(D[1]))) == [1]
-    assert ids(newer_rows(df, SPEC, Checkpoint(D[1], 9), dt.timedelta(days=1))) == [1, 8, 9, 10, 99]
+    # The row without a watermark comes every time.
+    assert ids(newer_rows(df, SPEC, Checkpoint(D[1], 9))) == [1, 5, 10]
+    assert ids(newer_rows(df, SPEC, Checkpoint(D[1]))) == [1, 5]
+    assert ids(newer_rows(df, SPEC, Checkpoint(D[1], 9), dt.timedelta(days=1))) == [1, 5, 8, 9, 10, 99]
+
+
+def test_lookback_fits_the_kind_of_watermark(spark):
+    numbers = spark.createDataFrame([(1, 5), (2, 8), (3, 9), (4, None)], "id int, n int")
+    spec = EntitySpec("numbers", "n", "id")
+    assert ids(newer_rows(numbers, spec, Checkpoint(9, 3), 1)) == [2, 3, 4]
+    with pytest.raises(ValueError, match="does not fit"):
+        newer_rows(numbers, spec, Checkpoint(9, 3), dt.timedelta(days=1))
+    with pytest.raises(ValueError, match="text has no distance"):
+        newer_rows(numbers.withColumn("n", F.col("n").cast("string")), spec, Checkpoint("9", 3), 1)
+
+
+def test_a_correction_loaded_later_wins(spark, store):
+    """Through the real loader: the same transaction comes again by lookback, settled and with a lower amount."""
+    for status, amount, day in (("pending", 100.0, 2), ("settled", 90.0, 3)):
+        source = spark.createDataFrame([("t1", "m", D[2], amount, "USD", status)], "transaction_id string, merchant_id string, date date, amount double, currency string, status string")
+        rest = source.select(F.concat(F.lit("x"), F.lit(day)).alias("transaction_id"), "merchant_id", F.lit(D[day]).alias("date"), "amount", "currency", "status")
+        load = loader(spark, store, lambda entity, df=source.union(rest): df, lookback=dt.timedelta(days=2))
+        load.load("transactions")
+    cleaned = deduplicate(standardize(load.bronze("transactions"), "transactions"), "transactions")
+    assert rows(cleaned.where("transaction_id = 't1'").select("status", "amount")) == [("settled", 90.0)]
+
+
+def test_loads_of_unlike_columns_and_types_are_all_read(spark, store):
+    """A column gone, a column new, text to double, and a time with and without zone, on one day of loading."""
+    first = "SELECT 'a' refund_id, 't1' transaction_id, 'm' merchant_id, timestamp_ntz'2024-01-01 10:00:00' date, '7.5' refund_amount, 'r' reason, 'EUR' currency"
+    second = "SELECT 'b' refund_id, 't2' transaction_id, 'm' merchant_id, timestamp'2024-01-02 10:00:00' date, 2.5D refund_amount, 'r' reason, 1 extra"
+    for sql in (first, second, second.replace("'b'", "'c'").replace("01-02", "01-03")):
+        load = loader(spark, store, lambda entity, sql=sql: spark.sql(sql))
+        load.state = LoadState(spark, store.path(f"state_{len(sql)}"))
+        load.load("refunds")
+    everything = load.bronze("refunds")
+    assert rows(everything.select("refund_id", "refund_amount", "currency", "extra")) == [
+        ("a", "7.5", "EUR", None), ("b", "2.5", None, 1), ("c", "2.5", None, 1)
+    ]
+    assert plan(everything).count("FileScan") == 2
+    assert "PartitionFilters" in plan(everything.where("load_date = '2024-01-02'"))
+    typed = standardize(everything, "refunds")
+    assert rows(typed.select("refund_id", "refund_amount", F.col("refund_date").cast("string"))) == [
+        ("a", 7.5, "2024-01-01"), ("b", 2.5, "2024-01-02"), ("c", 2.5, "2024-01-03")
+    ]
+
+
+def test_bounds_are_asked_of_the_source():
+    assert bounds_query("refunds", "id") == "SELECT MIN(id) AS low, MAX(id) AS high FROM refunds"
 
 
 def test_slice_is_pushed_into_the_scan(spark):
@@ -270,3 +318,10 @@ def test_stream_drops_repeats_within_the_bound(spark, store):
     result = spark.read.parquet(store.path("out"))
     assert result.count() == events.count()
     assert dict(result.dtypes)["ts"] == "timestamp"
+
+
+def test_registered_streams_take_a_folder_of_part_files(spark, store):
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    events.repartition(3).write.parquet(store.path("events.parquet"))
+    for name in ("stream_events_ingest", "stream_events_dedup"):
+        assert rows(QUERIES[name](spark, store.root)) == rows(events)
