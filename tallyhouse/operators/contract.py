@@ -16,11 +16,13 @@ class ContractError(ValueError):
     """A table lacks a published column."""
 
 
-def prepare(df: DataFrame, table: str, upper_names: bool = True) -> DataFrame:
+def prepare(df: DataFrame, table: str, upper_names: bool = True, decimal_money: bool = False) -> DataFrame:
     """Rename, select in order, fill required measures, coerce whole numbers, upper-case names.
 
     A key or count that is no whole number becomes null; a missing measure (null or
-    not a number) becomes the contract's default.
+    not a number) becomes the contract's default. With `decimal_money`, amounts have the
+    contract's digits, rounded half up; one that does not fit becomes null, as the
+    contract's own checks report.
     """
     df = df.withColumnsRenamed(PUBLISHED_NAMES.get(table, {}))
     fields = GOLD_TABLES[table]
@@ -35,6 +37,8 @@ def prepare(df: DataFrame, table: str, upper_names: bool = True) -> DataFrame:
             column = _whole(column, kinds[field.name], field.kind)
         if field.filled_with is not None:
             column = F.coalesce(F.when(~F.isnan(column), column), F.lit(field.filled_with))
+        if decimal_money and field.kind == "double":
+            column = column.try_cast("decimal({},{})".format(*MONEY_DIGITS))
         return column.alias(field.name.upper() if upper_names else field.name)
 
     return df.select(*(shaped(field) for field in fields))

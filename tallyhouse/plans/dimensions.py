@@ -23,12 +23,37 @@ def date_bounds(silver: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, per_entity).agg(F.min("min_d").alias("min_d"), F.max("max_d").alias("max_d"))
 
 
-def dim_date(silver: dict[str, DataFrame]) -> DataFrame:
-    """One row per day between the bounds; no rows when no entity has a date."""
-    days = date_bounds(silver).select(F.explode(F.sequence("min_d", "max_d")).alias("full_date"))
+#: Days a calendar may span: ten thousand years. Longer ones come from a broken date.
+MAX_DAYS = 3_660_000
+
+
+def dim_date(silver: dict[str, DataFrame], max_days: int = MAX_DAYS) -> DataFrame:
+    """One row per day between the bounds; no rows when no entity has a date.
+
+    The bounds are two numbers, and the days between them a range that Spark deals over
+    tasks. A span beyond `max_days` is refused by name, with the bounds to look for.
+    """
+    bounds = date_bounds(silver).select(F.unix_date("min_d").alias("low"), F.unix_date("max_d").alias("high")).first()
+    spark = next(iter(silver.values())).sparkSession
+    low, high = (0, -1) if bounds["low"] is None else (bounds["low"], bounds["high"])
+    if high - low >= max_days:
+        raise ValueError(
+            f"the calendar would span {high - low + 1} days, from day {low} to day {high} of 1970:"
+            " see implausible_dates for the rows that cause it"
+        )
+    days = spark.range(low, high + 1).select(F.date_from_unix_date(F.col("id").cast("int")).alias("full_date"))
     return days.select(*(column.alias(name) for name, column in calendar_columns("full_date").items()))
 
 
+def implausible_dates(silver: dict[str, DataFrame], first: str = "1900-01-01", last: str = "2100-12-31") -> DataFrame:
+    """Per entity, the number of rows dated outside a plausible span; none is cut."""
+    counts = []
+    for name, measures in ENTITY_MEASURES.items():
+        outside = (F.col(measures[0]) < F.lit(first).cast("date")) | (F.col(measures[0]) > F.lit(last).cast("date"))
+        counts.append(silver[name].agg(F.count_if(outside).alias("metric_value")).select(F.lit(name).alias("entity"), "metric_value"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 # Dimension -> (entity, source column, natural key, surrogate key, attributes of the natural key).
 _CODED: dict[str, tuple[str, str, str, str, dict[str, Column]]] = {}
 

@@ -53,35 +53,33 @@ def write_fact(df: DataFrame, table: str, path: str, only_months_present: bool =
 def publish(df: DataFrame, table: str, database: str, table_format: str = "parquet") -> int:
     """Load one table into a catalog database in the contract's shape; returns its rows.
 
-    A fact goes to a staging table first and replaces the target from there, so a
-    failure while it is computed leaves the published table untouched. Dimensions
-    are small and overwritten in place.
+    A table goes to a staging table first and replaces the target from there, so a
+    failure while it is computed leaves the published table untouched. The first
+    publish renames the staging table. Amounts are decimals with the contract's digits.
     """
     spark: SparkSession = df.sparkSession
     target = f"{database}.{table}"
     stage = f"{database}._{table}_load"
-    shaped = prepare(df, table)
-    first = stage if table in CLUSTERING else target
+    shaped = prepare(df, table, decimal_money=True)
 
     def write(rows: DataFrame) -> None:
-        rows.write.mode("overwrite").format(table_format).saveAsTable(first)
-
-    rows = observed_write(shaped, write)["rows"]
-    if first == stage:
-        try:
-            if spark.catalog.tableExists(target):
-                names = ", ".join(shaped.columns)
-                spark.sql(f"INSERT OVERWRITE TABLE {target} ({names}) SELECT {names} FROM {stage}")
-            else:
-                spark.table(stage).write.format(table_format).saveAsTable(target)
-        finally:
-            spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        rows.write.mode("overwrite").format(table_format).saveAsTable(stage)
+
+    try:
+        rows = observed_write(shaped, write)["rows"]
+        if spark.catalog.tableExists(target):
+            names = ", ".join(shaped.columns)
+            spark.sql(f"INSERT OVERWRITE TABLE {target} ({names}) SELECT {names} FROM {stage}")
+        else:
+            spark.sql(f"ALTER TABLE {stage} RENAME TO {target}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")
     return rows
 
 
 def publish_external(df: DataFrame, table: str, connector: str, options: dict[str, str]) -> int:
     """Load one table through a warehouse connector, replacing what is there; returns its rows."""
-    shaped = prepare(df, table)
+    shaped = prepare(df, table, decimal_money=True)
     with_target = {"dbtable": table.upper(), **options}
 
     def write(rows: DataFrame) -> None:

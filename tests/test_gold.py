@@ -1,11 +1,14 @@
 """Star-schema details, writing, publishing and reports on hand-made rows."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.fixed_values import ENTITY_MEASURES
 from tallyhouse.plans import reports
+from tallyhouse.plans.dimensions import dim_date, implausible_dates
 from tallyhouse.plans.facts import fact_refund
 from tallyhouse.plans.warehouse import FACTS, Warehouse
 from tallyhouse.sources.bronze import add_audit_columns
@@ -77,6 +80,20 @@ def test_dates_cover_all_entities_without_gaps(tiny):
     assert rows(tiny.gold("dim_date").select("date_key")) == [(20240130,), (20240131,), (20240201,), (20240202,)]
 
 
+def test_long_calendars_are_dealt_over_tasks_and_absurd_ones_refused(spark):
+    def days(*dates):
+        df = spark.createDataFrame([(d,) for d in dates], "d string").select(F.col("d").cast("date").alias("day"))
+        return {entity: df.withColumnRenamed("day", measures[0]) for entity, measures in ENTITY_MEASURES.items()}
+
+    long = dim_date(days("1995-01-01", "9999-12-31"))
+    assert long.count() == 2_923_766 and long.rdd.getNumPartitions() > 1
+    with pytest.raises(ValueError, match="implausible_dates"):
+        dim_date(days("1995-01-01", "+500000-01-01"))
+    assert rows(implausible_dates(days("1995-01-01", "9999-12-31", "1812-05-05"))) == [
+        ("chargebacks", 2), ("refunds", 2), ("transactions", 2)
+    ]
+
+
 def test_no_dates_give_no_days(spark, store):
     empty = {
         "transactions": "transaction_id string, merchant_id string, date date, amount double, currency string, status string",
@@ -151,7 +168,8 @@ def test_publishing_replaces_the_target_through_a_stage(spark, tiny):
         assert publish(tiny.gold("dim_merchant"), "dim_merchant", "gold_test") == 2
         published = spark.table("gold_test.fact_refund")
         assert published.columns[:2] == ["REFUND_KEY", "REFUND_ID"]
-        assert rows(published.select("REFUND_ID", "REFUND_AMOUNT")) == [("r2", 0.0), ("r3", 0.0)]
+        assert rows(published.select("REFUND_ID", "REFUND_AMOUNT")) == [("r2", Decimal("0.00")), ("r3", Decimal("0.00"))]
+        assert dict(published.dtypes)["REFUND_AMOUNT"] == "decimal(18,2)"
         assert {table.name for table in spark.catalog.listTables("gold_test")} == {"fact_refund", "dim_merchant"}
     finally:
         spark.sql("DROP DATABASE gold_test CASCADE")
@@ -165,6 +183,11 @@ def test_failed_publish_leaves_the_target(spark, tiny):
         with pytest.raises(Exception, match="boom"):
             publish(failing, "fact_refund", "gold_test")
         assert spark.table("gold_test.fact_refund").count() == 3
+        publish(tiny.gold("dim_merchant"), "dim_merchant", "gold_test")
+        broken = tiny.gold("dim_merchant").withColumn("merchant_id", F.raise_error(F.lit("boom")).cast("string"))
+        with pytest.raises(Exception, match="boom"):
+            publish(broken, "dim_merchant", "gold_test")
+        assert spark.table("gold_test.dim_merchant").count() == 2
     finally:
         spark.sql("DROP DATABASE gold_test CASCADE")
 

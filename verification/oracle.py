@@ -289,6 +289,9 @@ ORACLE: dict[str, str] = {
     " OR (o_orderdate = TIMESTAMP '1998-06-15' AND o_orderkey > 7000)",
     "incremental_slice_events": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-16 12:00:00'"
     " OR (ts = TIMESTAMP '2024-01-16 12:00:00' AND event_id > 5000)",
+    "incremental_slice_null_watermarks": "SELECT * REPLACE (CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate END AS o_orderdate)"
+    " FROM orders WHERE o_orderkey % 50 = 0 OR o_orderdate > TIMESTAMP '1998-06-15'"
+    " OR (o_orderdate = TIMESTAMP '1998-06-15' AND o_orderkey > 7000)",
     "checkpoint_orders": "SELECT 'orders' AS entity, 'o_orderdate' AS watermark_column, 'o_orderkey' AS primary_key,"
     " o_orderdate AS last_watermark, o_orderkey AS last_key FROM orders WHERE o_orderdate IS NOT NULL"
     " ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1",
@@ -298,10 +301,17 @@ ORACLE: dict[str, str] = {
         "SELECT CAST((SELECT count(*) FROM tx_raw) + (SELECT count(*) FROM rf_raw) AS BIGINT) AS total_records"
     ),
     "stream_events_ingest": "SELECT * FROM events",
+    "stream_events_dedup": "SELECT * FROM events",
     "standardize_transactions": _raw('SELECT *, "date" AS transaction_date FROM tx_raw'),
     "standardize_refunds": _raw('SELECT *, "date" AS refund_date FROM rf_raw'),
     "standardize_chargebacks": _raw('SELECT *, "date" AS chargeback_date FROM cb_raw'),
     "dedup_transactions": _silver("SELECT * FROM tx"),
+    "dedup_updated_transactions": _raw(
+        "SELECT transaction_id, merchant_id, \"date\", currency, \"date\" AS transaction_date,"
+        " CASE WHEN CAST(transaction_id AS BIGINT) % 7 = 0 THEN CAST(floor(amount / 2) AS DOUBLE) ELSE amount END AS amount,"
+        " CASE WHEN CAST(transaction_id AS BIGINT) % 7 = 0 THEN 'settled' ELSE status END AS status,"
+        " CASE WHEN CAST(transaction_id AS BIGINT) % 7 = 0 THEN 'run-0002' ELSE 'run-0001' END AS pipeline_run_id FROM tx_raw"
+    ),
     "dedup_refunds": _silver("SELECT * FROM rf"),
     "dedup_chargebacks": _silver("SELECT * FROM cb"),
     "refund_agg": _silver("SELECT transaction_id, refund_amount, refund_date FROM rf_sum"),
@@ -333,6 +343,17 @@ ORACLE: dict[str, str] = {
         "SELECT * FROM base WHERE CAST(coalesce(refund_amount, 0) AS DECIMAL(18,2))"
         " + CAST(coalesce(chargeback_amount, 0) AS DECIMAL(18,2)) > CAST(txn_amount AS DECIMAL(18,2))"
     ),
+    "implausible_dates": _silver(
+        "\nUNION ALL ".join(
+            f"SELECT '{entity}' AS entity, count(*) FILTER (WHERE {day} < DATE '1900-01-01' OR {day} > DATE '2001-06-30') AS metric_value"
+            f" FROM {table}"
+            for entity, day, table in (
+                ("transactions", "transaction_date", "tx"),
+                ("refunds", "refund_date", "rf"),
+                ("chargebacks", "chargeback_date", "cb"),
+            )
+        )
+    ),
     "date_bounds": _gold("SELECT * FROM bounds"),
     **{name: _gold(f"SELECT * FROM {name}") for name in GOLD_TABLES},
     "surrogate_key_orders": "SELECT row_number() OVER (ORDER BY CAST(o_orderkey AS VARCHAR)) AS order_key,"
@@ -349,6 +370,14 @@ ORACLE: dict[str, str] = {
     "contract_fact_transaction": _gold(
         "SELECT " + ", ".join(f"{f.name} AS {f.name.upper()}" for f in GOLD_TABLES["fact_transaction"]) + " FROM fact_transaction"
     ),
+    "contract_fact_transaction_decimal": _gold(
+        "SELECT "
+        + ", ".join(
+            f"CAST({f.name} AS DECIMAL(18,2)) AS {f.name.upper()}" if f.kind == "double" else f"{f.name} AS {f.name.upper()}"
+            for f in GOLD_TABLES["fact_transaction"]
+        )
+        + " FROM fact_transaction"
+    ),
     "contract_violations": _gold(_violation_sql()),
     "row_counts": _gold(
         " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in GOLD_TABLES)

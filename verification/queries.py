@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES, GOLD_TABLES
 from tallyhouse.operators.contract import contract_violations, prepare
+from tallyhouse.operators.dedup import deduplicate
 from tallyhouse.operators.dense_key import with_dense_key
 from tallyhouse.operators.incremental import Checkpoint, EntitySpec, checkpoint_of, newer_rows
 from tallyhouse.operators.inspect import profile
@@ -23,13 +24,13 @@ from tallyhouse.operators.quality import over_refunded, raw_uniqueness, summariz
 from tallyhouse.operators.reconcile import rollup
 from tallyhouse.operators.standardize import standardize
 from tallyhouse.plans import reports
-from tallyhouse.plans.dimensions import date_bounds
+from tallyhouse.plans.dimensions import date_bounds, implausible_dates
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources import sample_tables
 from tallyhouse.sources.audit import audit_frame, audit_row, loaded_records
 from tallyhouse.sources.bronze import add_audit_columns, union_by_name
 from tallyhouse.sources.storage import TableStore, observed_write
-from tallyhouse.streaming.file_ingest import append_available, file_stream
+from tallyhouse.streaming.file_ingest import append_available, drop_repeats, file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,8 +129,8 @@ def _audit_columns(spark: SparkSession, folder: str) -> DataFrame:
     return _bronze(spark, folder, "transactions").withColumn("load_timestamp", F.col("load_timestamp").cast("timestamp_ntz"))
 
 
-def _contract(table: str) -> Query:
-    return lambda spark, folder: prepare(warehouse(spark, folder).gold(table), table)
+def _contract(table: str, **options) -> Query:
+    return lambda spark, folder: prepare(warehouse(spark, folder).gold(table), table, **options)
 
 
 def _slice(spec: EntitySpec, at: Checkpoint) -> Query:
@@ -173,14 +174,49 @@ def _audit_total_records(spark: SparkSession, folder: str) -> DataFrame:
     return loaded_records(audit_frame(spark, rows))
 
 
+def _events_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table as a stream, whether it is one file or a folder of part files."""
+    events = sample_tables.table(spark, folder, "events")
+    if events.inputFiles()[0].endswith("/events.parquet"):
+        return file_stream(spark, folder, events.schema, only="events.parquet")
+    return file_stream(spark, f"{folder}/events.parquet", events.schema)
+
+
 def _stream_events_ingest(spark: SparkSession, folder: str) -> DataFrame:
     store = TableStore(spark)
-    schema = sample_tables.table(spark, folder, "events").schema
-    stream = file_stream(spark, folder, schema, only="events.parquet")
-    append_available(stream, store.path("events"), store.path("events_checkpoint"))
+    append_available(_events_stream(spark, folder), store.path("events"), store.path("events_checkpoint"))
     return store.read("events")
 
 
+def _stream_events_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event arrives twice and is let through once; the bound is wider than the data, so nothing is late."""
+    store = TableStore(spark)
+    twice = _events_stream(spark, folder).unionByName(_events_stream(spark, folder))
+    once = drop_repeats(twice, "event_id", "ts", "60 days")
+    append_available(once, store.path("events"), store.path("events_checkpoint"))
+    return store.read("events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _dedup_updated_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of all transactions; the second, later one corrects every seventh: settled, and a lower amount."""
+    rows = _raw(spark, folder, "transactions")
+    corrected = rows.where(F.col("transaction_id").cast("long") % 7 == 0).withColumns(
+        {"status": F.lit("settled"), "amount": F.floor(F.col("amount") / 2)}
+    )
+    loads = [
+        add_audit_columns(part, run, SOURCE_SYSTEM, F.lit(at).cast("timestamp"))
+        for part, run, at in ((rows, RUN_ID, LOADED_AT), (corrected, "run-0002", "2024-02-02 06:30:00"))
+    ]
+    kept = deduplicate(standardize(union_by_name(loads), "transactions"), "transactions")
+    return kept.drop("load_timestamp", "source_system")
+
+
+def _slice_null_watermarks(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which every fiftieth has no date: those come with every load."""
+    undated = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderdate"))
+    return newer_rows(sample_tables.table(spark, folder, "orders").withColumn("o_orderdate", undated), ORDERS, ORDERS_AT)
+
+
 QUERIES: dict[str, Query] = {
     # Sources and raw layer
     "scan_transactions": lambda spark, folder: _raw(spark, folder, "transactions"),
@@ -188,15 +224,18 @@ QUERIES: dict[str, Query] = {
     "audit_columns": _audit_columns,
     "incremental_slice_orders": _slice(ORDERS, ORDERS_AT),
     "incremental_slice_events": _slice(EVENTS, EVENTS_AT),
+    "incremental_slice_null_watermarks": _slice_null_watermarks,
     "checkpoint_orders": _checkpoint(ORDERS),
     "checkpoint_events": _checkpoint(EVENTS),
     "audit_total_records": _audit_total_records,
     "stream_events_ingest": _stream_events_ingest,
+    "stream_events_dedup": _stream_events_dedup,
     # Cleaning and matching
     "standardize_transactions": _standardized("transactions"),
     "standardize_refunds": _standardized("refunds"),
     "standardize_chargebacks": _standardized("chargebacks"),
     "dedup_transactions": _survivors("transactions"),
+    "dedup_updated_transactions": _dedup_updated_transactions,
     "dedup_refunds": _survivors("refunds"),
     "dedup_chargebacks": _survivors("chargebacks"),
     "refund_agg": _rollup("refunds", "transaction_id", "refund_amount", "refund_date"),
@@ -217,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "rule_chargeback_date": _broken("chargebacks", "chargeback_date_rule"),
     "rule_reconciled_total": _reconciled_total,
     # Star schema
+    "implausible_dates": lambda spark, folder: implausible_dates(warehouse(spark, folder).silver, last="2001-06-30"),
     "date_bounds": lambda spark, folder: date_bounds(warehouse(spark, folder).silver),
     **{name: _gold(name) for name in GOLD_TABLES},
     "surrogate_key_orders": _surrogate_key_orders,
@@ -224,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "lookup_date_key": _lookup_date_key,
     "contract_fact_refund": _contract("fact_refund"),
     "contract_fact_transaction": _contract("fact_transaction"),
+    "contract_fact_transaction_decimal": _contract("fact_transaction", decimal_money=True),
     "contract_violations": lambda spark, folder: contract_violations(warehouse(spark, folder).gold_tables()),
     "row_counts": _report(reports.row_counts, tables=tuple(GOLD_TABLES)),
     # Reports
