@@ -7,12 +7,32 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.fixed_values import ENTITY_KEYS
 from tallyhouse.operators.quality import require
 from tallyhouse.plans.bronze_load import BronzeLoader, Source
 from tallyhouse.plans.warehouse import DIMENSIONS, FACTS, Warehouse, together
 from tallyhouse.sources.audit import loaded_records, write_metrics, write_quality
 from tallyhouse.sources.gold import publish, write_dimension, write_fact
-from tallyhouse.sources.storage import TableStore
+from tallyhouse.sources.storage import Stored, TableStore
+
+
+def gold_from_silver(spark: SparkSession, lake: str) -> dict[str, int]:
+    """Build the star schema from the cleaned tables a run has stored, without touching the raw layer."""
+    scratch = TableStore(spark)
+    try:
+        warehouse = Warehouse(spark, {}, TableStore(spark, lake), scratch)
+        for entity in ENTITY_KEYS:
+            path = warehouse.store.path(f"silver/{entity}")
+            silver = spark.read.parquet(path)
+            warehouse.stored_silver[entity] = Stored(silver, silver.count(), path)
+        return star_layer(warehouse, f"{lake}/gold")
+    finally:
+        scratch.drop()
+
+
+def publish_stored(spark: SparkSession, lake: str, database: str) -> dict[str, int]:
+    """Load the star schema a run has stored into a catalog database, dimensions first."""
+    return {name: publish(spark.read.parquet(f"{lake}/gold/{name}"), name, database) for name in DIMENSIONS + FACTS}
 
 
 @dataclass

@@ -9,7 +9,7 @@ from tallyhouse.operators.dedup import deduplicate
 from tallyhouse.operators.incremental import Checkpoint, EntitySpec, checkpoint_of, entity_specs, newer_rows
 from tallyhouse.operators.standardize import standardize
 from tallyhouse.plans.bronze_load import BronzeLoader
-from tallyhouse.plans.daily_run import run
+from tallyhouse.plans.daily_run import gold_from_silver, publish_stored, run
 from tallyhouse.sources.audit import audit_frame, audit_row, loaded_records
 from tallyhouse.sources.bronze import add_audit_columns, read_bronze, read_parts, union_by_name
 from tallyhouse.sources.jdbc import bounds_query, jdbc_options
@@ -283,6 +283,16 @@ def test_full_run(spark, store):
     metrics = spark.read.option("header", True).csv(f"{lake}/reports/pipeline_metrics")
     assert rows(metrics.select("records_processed", "status")) == [("0", "SUCCESS"), ("4445", "SUCCESS")]
 
+    # Single layers from what is stored: the raw layer is not needed for either.
+    before = rows(spark.read.parquet(f"{lake}/gold/fact_refund").drop("refund_key"))
+    assert gold_from_silver(spark, lake) == result.gold_rows
+    assert rows(spark.read.parquet(f"{lake}/gold/fact_refund").drop("refund_key")) == before
+    spark.sql("CREATE DATABASE IF NOT EXISTS stored_gold_test")
+    try:
+        assert publish_stored(spark, lake, "stored_gold_test") == result.gold_rows
+    finally:
+        spark.sql("DROP DATABASE stored_gold_test CASCADE")
+
 
 def test_failed_run_leaves_metrics(spark, store):
     lake = store.path("lake")
