@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import GOLD_TABLES, MONEY_DIGITS, PUBLISHED_NAMES, Field
 from tallyhouse.functions.labels import mapped
-from tallyhouse.operators.quality import as_rows
 
 
 class ContractError(ValueError):
@@ -53,102 +53,120 @@ def _whole(column: Column, given: str, wanted: str) -> Column:
     return F.coalesce(column.try_cast(wanted), rounded) if given == "string" else rounded
 
 
-_RULE = ("table_name", "rule", "column_name")
+class Check(NamedTuple):
+    """One rule on one column of one table."""
 
+    table_name: str
+    rule: str
+    column_name: str
 
-def _column_rules(table: str) -> dict[tuple[str, str], Column]:
-    """(rule, column) -> count of rows that break it, for rules a single row can break."""
-    fields = GOLD_TABLES[table]
-    limit = float(10 ** (MONEY_DIGITS[0] - MONEY_DIGITS[1]))
-    # Rules counted elsewhere start at zero here, so that they are listed for empty tables too.
-    elsewhere = F.lit(0).cast("bigint")
-    rules: dict[tuple[str, str], Column] = {("primary_key", fields[0].name): elsewhere}
-    for field in fields:
-        column = F.col(field.name)
-        if field.required:
-            rules["not_null", field.name] = F.count_if(column.isNull())
-        if field.length is not None:
-            rules["max_length", field.name] = F.count_if(F.length(column) > field.length)
-        if field.references:
-            rules["foreign_key", field.name] = elsewhere
-        if field.kind == "double":
-            rules["precision", field.name] = F.count_if(F.abs(F.round(column, MONEY_DIGITS[1])) >= limit)
-    return rules
 
+_KEYED = ("primary_key", "foreign_key")
 
-def column_violations(df: DataFrame, table: str) -> DataFrame:
-    """Not null, text length and money precision, from one scan."""
-    counts = df.agg(*(count.alias(f"{rule}:{name}") for (rule, name), count in _column_rules(table).items()))
-    parts = F.split("check", ":")
-    return as_rows(counts, "check", "violations").select(
-        F.lit(table).alias("table_name"), parts[0].alias("rule"), parts[1].alias("column_name"), "violations"
-    )
 
-
-def _counted(tables: dict[str, DataFrame], links: list[tuple[str, str]]) -> DataFrame:
-    """Rows per link (a table and one of its key columns, by number) and key.
-
-    Links are numbers rather than names because they are shuffled with every key.
+def _checks(table: str) -> list[Check]:
+    """All rules of a table."""
+    fields = GOLD_TABLES[table]
+    found = [Check(table, "primary_key", fields[0].name)]
+    for field in fields:
+        applies = {
+            "not_null": field.required,
+            "max_length": field.length is not None,
+            "foreign_key": field.references is not None,
+            "precision": field.kind == "double",
+        }
+        found += [Check(table, rule, field.name) for rule, holds in applies.items() if holds]
+    return found
+
+
+def _breaks(check: Check) -> Column:
+    """Whether a row breaks a rule that a single row can break."""
+    column = F.col(check.column_name)
+    field = next(field for field in GOLD_TABLES[check.table_name] if field.name == check.column_name)
+    limit = float(10 ** (MONEY_DIGITS[0] - MONEY_DIGITS[1]))
+    return {
+        "not_null": column.isNull,
+        "max_length": lambda: F.length(column) > field.length,
+        "precision": lambda: F.abs(F.round(column, MONEY_DIGITS[1])) >= limit,
+    }[check.rule]()
+
+
+def _entries(df: DataFrame, numbers: dict[Check, int], table: str) -> DataFrame:
+    """(check, key, n) from one scan of a table: its keys, each row once per key, and the rules its rows break."""
+    keyed = [check for check in numbers if check.table_name == table and check.rule in _KEYED]
+    plain = [check for check in numbers if check.table_name == table and check.rule not in _KEYED]
+    none = F.lit(None).cast("bigint")
+    found = [
+        F.struct(F.lit(numbers[check]).alias("check"), F.col(check.column_name).cast("bigint").alias("key")) for check in keyed
+    ] + [F.when(_breaks(check), F.struct(F.lit(numbers[check]).alias("check"), none.alias("key"))) for check in plain]
+    return df.select(F.explode(F.array_compact(F.array(*found))).alias("found")).select("found.check", "found.key")
+
+
+def _violations(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """One row per check with the number of rows that break it, zeros included.
+
+    Every table is scanned once. Keys are counted first, inside the map tasks, so a hot
+    key weighs as much as any other; the counts of a dimension's own keys tell which keys
+    of the facts are known, so neither facts nor dimensions are joined.
     """
-    per_table: dict[str, list[Column]] = {}
-    for number, (table, column) in enumerate(links):
-        per_table.setdefault(table, []).extend((F.lit(number), F.col(column).cast("bigint")))
-    keys = (
-        tables[table].select(F.stack(F.lit(len(pairs) // 2), *pairs).alias("link", "key"))
-        for table, pairs in per_table.items()
+    owner = {check: Check(target, "primary_key", GOLD_TABLES[target][0].name) for check in checks for target in [_target(check)] if target}
+    everything = list(dict.fromkeys([*checks, *owner.values()]))
+    numbers = {check: number for number, check in enumerate(everything)}
+    targets = {numbers[check]: numbers[owner.get(check, check)] for check in everything}
+    names = list(dict.fromkeys(check.table_name for check in everything))
+    counted = (
+        reduce(DataFrame.unionByName, (_entries(tables[name], numbers, name) for name in names))
+        .groupBy("check", "key")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return reduce(DataFrame.unionByName, keys).groupBy("link", "key").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _per_link(found: DataFrame, links: list[tuple[str, str]], rule: str, count: Column) -> DataFrame:
-    tables = {number: table for number, (table, _) in enumerate(links)}
-    columns = {number: column for number, (_, column) in enumerate(links)}
+    own = F.col("check") == F.col("target")
+    per_key = (
+        counted.withColumn("target", mapped("check", targets))
+        .groupBy("target", "key")
+        .agg(F.bool_or(own).alias("known"), F.collect_list(F.struct("check", "n")).alias("counts"))
+        .select("target", "key", "known", F.explode("counts").alias("one"))
+        .select("target", "key", "known", "one.check", "one.n")
+    )
+    rules = {number: check.rule for check, number in numbers.items()}
+    missing = F.col("key").isNotNull() & ~F.col("known")
+    broken = (
+        F.when(mapped("check", rules) == "primary_key", F.col("n") - 1)
+        .when(mapped("check", rules) == "foreign_key", F.when(missing, F.col("n")).otherwise(0))
+        .otherwise(F.col("n"))
+    )
+    spark = tables[names[0]].sparkSession
+    listed = [numbers[check] for check in checks]
+    zeros = spark.range(1).select(F.explode(F.array(*map(F.lit, listed))).alias("check"), F.lit(0).cast("bigint").alias("broken"))
+    total = per_key.select("check", broken.alias("broken")).union(zeros).where(F.col("check").isin(listed))
     return (
-        found.groupBy("link")
-        .agg(count.alias("violations"))
-        .select(
-            mapped("link", tables).alias("table_name"),
-            F.lit(rule).alias("rule"),
-            mapped("link", columns).alias("column_name"),
-            "violations",
-        )
+        total.groupBy("check")
+        .agg(F.sum("broken").alias("violations"))
+        .select(*(mapped("check", {numbers[c]: c[at] for c in checks}).alias(name) for at, name in enumerate(Check._fields)), "violations")
     )
 
 
+def _target(check: Check) -> str | None:
+    """The dimension a foreign key points to."""
+    if check.rule != "foreign_key":
+        return None
+    return next(field.references for field in GOLD_TABLES[check.table_name] if field.name == check.column_name)
+
+
+def column_violations(df: DataFrame, table: str) -> DataFrame:
+    """Not null, text length and money precision of one table."""
+    return _violations({table: df}, [check for check in _checks(table) if check.rule not in _KEYED])
+
+
 def primary_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows beyond the first of each primary key, for all tables in one aggregation."""
-    links = [(table, GOLD_TABLES[table][0].name) for table in tables]
-    return _per_link(_counted(tables, links), links, "primary_key", F.sum(F.col("n") - 1))
+    """Rows beyond the first of each primary key."""
+    return _violations(tables, [check for table in tables for check in _checks(table) if check.rule == "primary_key"])
 
 
 def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows whose key is missing from the dimension, for all links of all facts in one join.
-
-    Only counts per link and key meet the dimensions, so no fact row is joined and a
-    hot key weighs as much as any other.
-    """
-    targets = {
-        (table, field.name): field.references for table in tables for field in GOLD_TABLES[table] if field.references
-    }
-    links = list(targets)
-    known = reduce(
-        DataFrame.unionByName,
-        (
-            tables[dimension].select(
-                F.lit(number).alias("link"),
-                F.col(GOLD_TABLES[dimension][0].name).cast("bigint").alias("key"),
-                F.lit(True).alias("known"),
-            )
-            for number, dimension in enumerate(targets.values())
-        ),
-    ).distinct()
-    found = _counted(tables, links).join(known, ["link", "key"], "left")
-    missing = F.col("key").isNotNull() & F.col("known").isNull()
-    return _per_link(found, links, "foreign_key", F.sum(F.when(missing, F.col("n")).otherwise(0)))
+    """Rows whose key is missing from the dimension."""
+    return _violations(tables, [check for table in tables for check in _checks(table) if check.rule == "foreign_key"])
 
 
 def contract_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table, rule and column with the number of rows that break it, zeros included."""
-    found = [column_violations(df, table) for table, df in tables.items()]
-    found += [primary_key_violations(tables), foreign_key_violations(tables)]
-    return reduce(DataFrame.unionByName, found).groupBy(*_RULE).agg(F.sum("violations").alias("violations"))
+    return _violations(tables, [check for table in tables for check in _checks(table)])

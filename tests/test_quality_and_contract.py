@@ -16,7 +16,8 @@ from tallyhouse.operators.contract import (
 from tallyhouse.operators.inspect import preview, profile
 from tallyhouse.operators.quality import QualityError, quality_report, raw_uniqueness, require, summarize, violations
 from tallyhouse.operators.reconcile import match, reconciliation_base
-from tests.conftest import rows
+from tests.conftest import plan, rows
+from verification.queries import warehouse
 
 DAY, NEXT = dt.date(2024, 1, 5), dt.date(2024, 1, 6)
 
@@ -204,3 +205,8 @@ def test_rules_of_empty_tables_are_listed(spark):
     )
     assert len(found) == expected
     assert {row["violations"] for row in found} == {0}
+
+
+def test_contract_scans_each_table_once(spark):
+    tables = warehouse(spark, "/root/testdata/sf0.001").gold_tables()
+    assert plan(contract_violations(tables)).count("FileScan") == len(GOLD_TABLES)
