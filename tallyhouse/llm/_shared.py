@@ -43,11 +43,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+#: Whether Spark removes the shuffle files of a query when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back, which cuts its lineage."""
-    path = scratch(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write `df` to the shared folder and read it back, which cuts its lineage.
+
+    The shuffle files of the write are of no use afterwards and are removed at once, so a
+    chain of stages never holds more than one stage's shuffles on disk.
+    """
+    spark = df.sparkSession
+    path, before = scratch(spark, name), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(df: DataFrame) -> int:
