@@ -8,8 +8,9 @@ template met in enough documents is boilerplate: its first line, by `doc_id` and
 stays and every other one is dropped.
 
 Hot lines are harmless: lines are counted per leaf and document with partial
-aggregation, leaves go on with one row per distinct line, and the join that finds the
-lines to drop is a plain sort-merge join, which adaptive execution splits.
+aggregation, leaves go on with one row per distinct line, and tables to join with are
+broadcast while their counted rows are few; beyond that a plain sort-merge join is left,
+which adaptive execution splits.
 
 Defined results: null and empty texts have no lines to drop and stay as they are; lines
 of fewer than `min_tokens` tokens always stay; equal rows are treated alike, and the one
@@ -39,39 +40,71 @@ class Limits(NamedTuple):
     min_constant: float = 0.6
 
 
-def _text_lines(docs: DataFrame) -> DataFrame:
-    """(id, key, pos, line): `key` tells rows of one `doc_id` apart by their text."""
-    return docs.select(
+#: Rows (of some 16 to 64 bytes) that are broadcast at most; more are joined by a shuffle.
+BROADCAST = 500_000
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast when it is small enough by count."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST else rows
+
+
+def _tidy(line: Column) -> Column:
+    """Tokens with one blank between them; most lines are so already."""
+    odd = line.contains("\t") | line.contains("\r") | line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    return F.when(odd, F.trim(F.regexp_replace(line, "[ \t\r]+", " "))).otherwise(line)
+
+
+def _count(text: Column, letter: str) -> Column:
+    """How often an ASCII letter occurs."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(letter), F.lit("")))
+
+
+def _masked(text: Column) -> Column:
+    """Tokens with a digit as variable fields."""
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, "[^ ]*[0-9][^ ]*", VARIABLE)).otherwise(text)
+
+
+def _places(docs: DataFrame, limits: Limits, *more: str) -> DataFrame:
+    """(id, key, pos, leaf) of every line that is long enough; `key` tells rows of one `doc_id` apart by their text.
+
+    Tokens are counted by their blanks and only the leading ones are cut out, so lines that
+    end here are never taken apart.
+    """
+    lines = docs.select(
         F.col("doc_id").cast("long").alias("id"),
         F.xxhash64("text").alias("key"),
-        F.posexplode(F.split("text", "\n")).alias("pos", "line"),
+        F.posexplode(F.split("text", "\n")).alias("pos", "raw"),
+    ).where(F.octet_length("raw") >= 2 * limits.min_tokens - 1)
+    counted = lines.select("id", "key", "pos", _tidy(F.col("raw")).alias("line")).select(
+        "id", "key", "pos", (_count(F.col("line"), " ") + 1).alias("n"), _masked(F.substring_index("line", " ", DEPTH)).alias("leading"), *more
     )
+    return counted.where(F.col("n") >= limits.min_tokens).select("id", "key", "pos", F.xxhash64("n", "leading").alias("leaf"), *more)
 
 
-def _in_tree(lines: DataFrame, limits: Limits) -> DataFrame:
-    """(id, key, pos, tokens, leaf, line_hash) of every line that is long enough."""
-    masked = F.regexp_replace(F.trim(F.regexp_replace("line", "[ \t\r]+", " ")), "[^ ]*[0-9][^ ]*", VARIABLE)
-    tokens = lines.select("id", "key", "pos", F.split(masked, " ").alias("tokens")).where(
-        F.size("tokens") >= limits.min_tokens
-    )
-    leading = [F.get("tokens", F.lit(at)) for at in range(DEPTH)]
-    return tokens.select(
-        "*", F.xxhash64(F.size("tokens"), *leading).alias("leaf"), F.xxhash64("tokens").alias("line_hash")
-    )
+def _same(docs: DataFrame, table: DataFrame) -> Column:
+    """Whether a row of a table (`__id`, `__text_key`) belongs to a document with its `__key`."""
+    return docs["doc_id"].cast("long").eqNullSafe(table["__id"]) & (docs["__key"] == table["__text_key"])
 
 
 def recurring_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(id, key, pos, template, template_text) of every line whose template is boilerplate."""
-    lines = _in_tree(_text_lines(docs), limits)
-    leaves = (
-        lines.groupBy("leaf").agg(F.count_distinct("id", "key").alias("n")).where(F.col("n") >= limits.min_docs).select("leaf")
+    places = staged(_places(docs, limits), "line-places")
+    leaves = staged(
+        places.groupBy("leaf").agg(F.count_distinct("id", "key").alias("n")).where(F.col("n") >= limits.min_docs).select("leaf"),
+        "line-leaves",
     )
-    members = staged(lines.join(leaves, "leaf"), "line-members")
+    # Only documents with a line in a recurring leaf are cut up again.
+    asked = staged(places.join(_small(leaves), "leaf").select(F.col("id").alias("__id"), F.col("key").alias("__text_key")).distinct(), "line-asked")
+    here = docs.select("doc_id", "text", F.xxhash64("text").alias("__key"))
+    lines = _places(here.join(_small(asked), _same(here, asked), "left_semi"), limits, "line")
+    members = lines.join(_small(leaves), "leaf").withColumn("line", _masked(F.col("line")))
+    members = staged(members.withColumn("line_hash", F.xxhash64("line")), "line-members")
 
     distinct = (
         members.groupBy("leaf", "line_hash")
-        .agg(F.count_distinct("id", "key").alias("n_docs"), F.first("tokens").alias("tokens"))
-        .select("leaf", "line_hash", "n_docs", "tokens")
+        .agg(F.count_distinct("id", "key").alias("n_docs"), F.min("line").alias("line"))
+        .select("leaf", "line_hash", "n_docs", F.split("line", " ").alias("tokens"))
     )
     fields = distinct.select("leaf", "line_hash", "n_docs", F.posexplode("tokens").alias("at", "token"))
     constant = (
@@ -100,6 +133,7 @@ def recurring_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     boilerplate = described.join(shared, ["leaf", "template_text"]).select(
         "leaf", "line_hash", "template_text", F.xxhash64("leaf", "template_text").alias("template")
     )
+    boilerplate = _small(staged(boilerplate, "line-boilerplate"))
     return members.select("leaf", "line_hash", "id", "key", "pos").join(boilerplate, ["leaf", "line_hash"]).select(
         "id", "key", "pos", "template", "template_text"
     )
@@ -122,21 +156,18 @@ def dropped_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(id, key, dropped): places of the lines to drop, ascending."""
     found = staged(recurring_lines(docs, limits), "line-occurrences")
     place = F.struct("id", "key", "pos")
-    first = found.groupBy("template").agg(F.min(place).alias("first"))
-    later = found.join(first, "template").where(~F.col("first").eqNullSafe(place))
-    return later.groupBy("id", "key").agg(F.sort_array(F.collect_list("pos")).alias("dropped"))
+    first = staged(found.groupBy("template").agg(F.min(place).alias("first")), "line-first")
+    later = found.join(_small(first), "template").where(~F.col("first").eqNullSafe(place))
+    return later.groupBy("id", "key").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
 
 
 def dedup_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """`docs` with the kept lines as `text`, plus `__n_lines` and `__n_dropped`."""
     dropped = dropped_lines(docs, limits)
+    dropped = staged(dropped.toDF("__id", "__text_key", "__dropped"), "line-dropped")
     here = docs.withColumn("__key", F.xxhash64("text"))
-    joined = here.join(
-        dropped.withColumnRenamed("dropped", "__dropped"),
-        here["doc_id"].cast("long").eqNullSafe(dropped["id"]) & (here["__key"] == dropped["key"]),
-        "left",
-    )
-    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
+    joined = here.join(_small(dropped), _same(here, dropped), "left")
+    lines = F.when(F.col("text").isNull(), 0).otherwise(_count(F.col("text"), "\n") + 1)
     counted = joined.withColumns({"__n_lines": lines, "__n_dropped": F.coalesce(F.size("__dropped"), F.lit(0))})
     text = F.when(F.col("__n_dropped") > 0, _kept_text(F.col("text"), F.col("__dropped"))).otherwise(F.col("text"))
     return counted.withColumn("text", text).select(*docs.columns, "__n_lines", "__n_dropped")
@@ -162,9 +193,10 @@ def without_boilerplate(docs: DataFrame, limits: Limits = Limits()) -> DataFrame
 
 def line_dedup_sql(limits: Limits = Limits()) -> str:
     """The same report as DuckDB SQL over `documents`."""
-    leading = ", ".join(f"coalesce(tokens[{at + 1}], '')" for at in range(DEPTH))
+    leading = f"array_to_string(tokens[1:{DEPTH}], ' ')"
     return f"""
-        WITH docs AS (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS id, coalesce(text, '') AS text FROM documents),
+        WITH docs AS (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS id, coalesce(text, '') AS text,
+                        text IS NULL AS is_null FROM documents),
         lines AS (SELECT r, id, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
                          unnest(string_split(text, chr(10))) AS line FROM docs),
         masked AS (SELECT r, id, pos, string_split(regexp_replace(trim(regexp_replace(line, '[ \t\r]+', ' ', 'g'), ' '),
@@ -189,6 +221,6 @@ def line_dedup_sql(limits: Limits = Limits()) -> str:
         kept AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE x.pos IS NULL) AS text,
                         count(*) AS n_lines, count(x.pos) AS n_dropped
                  FROM lines l LEFT JOIN later x ON x.r = l.r AND x.pos = l.pos GROUP BY l.r)
-        SELECT d.id AS doc_id, k.n_lines, k.n_dropped, sha256(coalesce(k.text, '')) AS kept_sha256
+        SELECT d.id AS doc_id, CASE WHEN d.is_null THEN 0 ELSE k.n_lines END AS n_lines, k.n_dropped, sha256(coalesce(k.text, '')) AS kept_sha256
         FROM docs d JOIN kept k USING (r)
     """
