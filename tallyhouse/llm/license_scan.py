@@ -166,7 +166,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 #: Every known sentence has at least one of these.
 MARKERS = (
     "licen", "permission", "copyright", "provided as is", "redistribution", "rights reserved", "unencumbered",
-    "without any warranty",
+    "without any warranty", "under cc",
 )
 
 #: A sentence ends at a sign and white space, or at an empty line.
@@ -189,7 +189,7 @@ def _flat_markers(text: Column) -> Column:
     # A one-word marker shows in the text as it is; only for the others the text is flattened.
     single = [near.contains(marker) for marker in MARKERS if " " not in marker]
     double = [flat.contains(marker) for marker in MARKERS if " " in marker]
-    hint = near.contains("provided") | near.contains("rights") | near.contains("warranty")
+    hint = near.contains("provided") | near.contains("rights") | near.contains("warranty") | near.contains("cc")
     some = double[0]
     for other in double[1:]:
         some = some | other
@@ -272,7 +272,7 @@ def license_scan_sql() -> str:
         WITH known(form, name) AS (VALUES {known}),
         docs AS (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS text FROM documents),
         cut AS (SELECT r, string_split(regexp_replace(text, '{_END}', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM docs
-                WHERE regexp_matches(lower(text), 'licen|permission|copyright|provided|redistribution|rights|unencumbered|warranty')),
+                WHERE regexp_matches(lower(text), 'licen|permission|copyright|provided|redistribution|rights|unencumbered|warranty|cc')),
         sentences AS (SELECT r, generate_subscripts(parts, 1) AS spot, unnest(parts) AS s FROM cut),
         pieces AS (SELECT r, spot, unnest(CASE WHEN contains(s, chr(10)) THEN list_concat([s], string_split(s, chr(10))) ELSE [s] END) AS s,
                           unnest(CASE WHEN contains(s, chr(10)) THEN range(len(string_split(s, chr(10))) + 1) ELSE [0] END) AS sub
