@@ -11,7 +11,7 @@ _SALT = "__salt"
 _COPIES = "__copies"
 
 # Keys above this share of the rows are split by hand; AQE splits what is left.
-_MAX_HEAVY = 1_000
+_MAX_HEAVY = 10_000
 _MERGE_GROUPS = 512
 
 

@@ -25,12 +25,19 @@ def drop_repeats(stream: DataFrame, key: str, event_time: str, within: str) -> D
 
     Rows arriving later than `within` are dropped by the watermark, so this is for
     sources with a known bound on lateness. Without such a bound leave repeats in:
-    deduplication of the cleaned layer removes them and loses nothing.
+    deduplication of the cleaned layer removes them and loses nothing. `late_rows`
+    tells how many were dropped.
     """
     timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return timed.withWatermark(event_time, within).dropDuplicatesWithinWatermark([key])
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a finished query has dropped because they came later than its bound allows."""
+    steps = (step for progress in query.recentProgress for step in progress["stateOperators"])
+    return sum(step["numRowsDroppedByWatermark"] for step in steps)
+
+
 def append_available(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Write everything that has arrived and stop; progress lives in `checkpoint`."""
     query = (

@@ -16,7 +16,7 @@ from tallyhouse.sources.jdbc import bounds_query, jdbc_options
 from tallyhouse.sources.sample_tables import ENTITIES
 from tallyhouse.sources.state import LoadState
 from tallyhouse.sources.storage import TableStore, if_present, observed_write, shared_folder
-from tallyhouse.streaming.file_ingest import append_available, drop_repeats, file_stream
+from tallyhouse.streaming.file_ingest import append_available, drop_repeats, file_stream, late_rows
 from tests.conftest import plan, rows
 from verification.queries import QUERIES, warehouse
 
@@ -330,6 +330,20 @@ def test_stream_drops_repeats_within_the_bound(spark, store):
     assert dict(result.dtypes)["ts"] == "timestamp"
 
 
+def test_rows_later_than_the_bound_are_counted(spark, store):
+    landing = store.path("landing")
+    schema = "event_id long, ts timestamp"
+
+    def arrive(*events):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, day)) for i, day in events], schema).coalesce(1).write.mode("append").parquet(landing)
+        stream = drop_repeats(file_stream(spark, landing, spark.createDataFrame([], schema).schema), "event_id", "ts", "1 day")
+        return late_rows(append_available(stream, store.path("out"), store.path("progress")))
+
+    assert arrive((1, 1), (2, 10)) == 0
+    assert arrive((3, 2), (4, 11)) == 1
+    assert ids(spark.read.parquet(store.path("out")).withColumnRenamed("event_id", "id")) == [1, 2, 4]
+
+
 def test_registered_streams_take_a_folder_of_part_files(spark, store):
     events = spark.read.parquet(f"{SMALL}/events.parquet")
     events.repartition(3).write.parquet(store.path("events.parquet"))
