@@ -3,7 +3,7 @@
 A byte goes when a string of `width` bytes that covers it also starts in a document with
 a smaller `doc_id`. All such strings of a text are its windows.
 
-1. Every window is filed under its anchor, the 16-byte string in it with the smallest
+1. Every window is filed under its anchor, the 20-byte string in it with the smallest
    hash. Consecutive windows with one anchor are kept as one piece of text. Equal windows
    have equal anchors, so an anchor that occurs in one document only ends here.
 2. Pieces travel as hashes in packed arrays. Equal pieces are one leaf with all its
@@ -43,7 +43,7 @@ from tallyhouse.llm.ngram_join import mix
 
 _U = np.uint64
 _PLACE = (1 << 24) - 1  # positions within one stretch of text
-_STRETCH = 2 << 20
+_STRETCH = 1 << 20
 _LETTER = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _BASE = 0x9FB21C651E98DF25
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -60,7 +60,7 @@ WINDOW = np.dtype([("w", "<u8"), ("doc", "<i8"), ("start", "<u4")])
 
 class Repeats(NamedTuple):
     width: int = 50
-    anchor: int = 16
+    anchor: int = 20
     #: Unequal pieces of one anchor that are gathered in one task.
     group: int = 20_000
 
@@ -172,7 +172,7 @@ def _file(docs: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
     """Pieces packed by bucket of their anchor, and spans that a batch decides by itself."""
 
     def file(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 24 << 20, 60_000):
+        for batch in slices(batches, "text", 8 << 20, 60_000):
             doc_ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
             found = []
             for data, ends, rows, offsets in _stretches(batch, rule.width):
@@ -591,11 +591,11 @@ def suffix_dedup(docs: DataFrame, rule: Repeats = Repeats(), with_text: bool = F
 
     named = docs.where("doc_id is not null")
     filed = _file(named, rule, buckets).repartition(partitions, "bucket")
-    marks = _meet(filed, rule, buckets)
+    marks = staged(_meet(filed, rule, buckets), "suffix-marks")
     placed = _compressed(named.mapInArrow(with_bucket, "bucket int, doc_id long, key long, text string"))
     met = staged(_fetch(_with_texts(placed, marks, partitions), rule, buckets), "suffix-met")
     packed = met.where("kind in ('piece', 'window')").select("kind", "bucket", "records", "blob").repartition(partitions, "bucket")
-    spans = _repeats(packed, rule, buckets)
+    spans = staged(_repeats(packed, rule, buckets), "suffix-spans")
     open_docs = met.where("kind = 'open'").select("bucket", "doc_id", "key", "text", "spans")
     none = {"doc_id": "long", "key": "long", "text": "binary", "spans": "binary"}
     first = spans.select("bucket", F.lit(0).alias("rank"), *[F.lit(None).cast(k).alias(n) for n, k in none.items()], "marks")
