@@ -2,8 +2,12 @@
 
 1. Every text becomes its set of hashed word n-grams. Equal sets are one class.
 2. Candidates: two similar sets differ in at most d elements. With the elements dealt to
-   d + 1 parts by their hash, similar sets agree on at least one part, so each set is
-   filed under a hash of each of its parts; some parts more make up for empty ones.
+   d + 1 + spare parts by their hash, similar sets agree on more than `spare` parts, so
+   each set is filed under a hash of each of its parts. Parts of fewer than `WEAK` elements
+   say little, as do those on which more than `HOT` sets agree (a passage that many
+   documents share): a set with no more than `spare` of both together is sure to meet its
+   like elsewhere and is taken out of them; only sets with more stay there, such as large
+   groups of copies.
    Sets are filed for their own range of sizes and for the next, so that similar sets of
    unlike sizes meet. The filing loses no pair; sets that meet nobody are done.
 3. Sets that meet, directly or over others, are one family. In a family, sets ordered by
@@ -39,9 +43,14 @@ from tallyhouse.llm.components import components
 
 #: Elements, over all its sets, of a family that one task holds in a trie (some 100 MB at work).
 BLOCK = 2_000_000
+#: Sets that agree on a part before it is a hot one. Changes the work, never the result.
+HOT = 3
+#: Elements of a part before it is told from a weak one. Changes the work, never the result.
+WEAK = 2
 #: Most document numbers (16 MB) that are broadcast.
 BROADCAST = 2_000_000
 _U = np.uint64
+_NEXT = 1 << 15  # added to a document's place in a batch where it is filed for its next level
 _FILED = "bucket int, keys binary, places binary, docs binary, facts binary"
 _FOUND = "kind string, bucket int, packed binary"
 
@@ -65,7 +74,7 @@ def shingles(text: str | None, words: int, known: dict[bytes, int]) -> np.ndarra
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.zeros(0, _U)
-    if len(known) > 1_000_000:
+    if len(known) > 300_000:
         known.clear()
     for word in set(found):
         if word not in known:
@@ -89,49 +98,50 @@ def size_range(size: int, percent: int) -> int:
 
 
 def parts_of(level: int, percent: int) -> tuple[int, int]:
-    """How many parts sets are dealt to at a level, and how many of those may be empty."""
+    """How many parts sets are dealt to at a level, and how many of those may be weak or hot."""
     largest = int((100 / percent) ** (level + 1) + 1e-6) + 1
     apart = most_apart(largest, percent)
-    spare = 2 + apart // 32
+    spare = 2 + apart // 4
     return apart + 1 + spare, spare
 
 
-def filing_keys(elements: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes under which a set is filed."""
+def filing_keys(elements: np.ndarray, percent: int) -> tuple[list[np.ndarray], list[int]]:
+    """For a set's own and its next level: hashes it is filed under, and how many more of its parts may be hot."""
     own = size_range(len(elements), percent)
-    keys = []
+    keys, slack = [], []
     for level in (own, own + 1):
         parts, spare = parts_of(level, percent)
         part = (mix(elements ^ _U(level + 1)) % _U(parts)).astype(np.int64)
         sums = np.zeros(parts, _U)
         np.add.at(sums, part, mix(elements + _U(0x632BE59BD9B4E019)))
-        full = np.bincount(part, minlength=parts) > 0
-        # Sets agree on more parts than may be empty; only two sets with more empty ones need those too.
-        if parts - full.sum() > spare:
+        full = np.bincount(part, minlength=parts) >= WEAK
+        slack.append(spare - int(parts - full.sum()))
+        if slack[-1] < 0:  # two sets with so many weak parts may agree on those alone
             full[:] = True
         place = np.flatnonzero(full).astype(_U)
         keys.append(mix(sums[full] ^ mix(place * _U(0xD6E8FEB86659FD93) + _U(level))))
-    return np.concatenate(keys)
+    return keys, slack
 
 
 def _file(docs: DataFrame, like: Similarity, buckets: int) -> DataFrame:
-    """Packed filing keys per bucket, and the facts of each document (id, size, two digests)."""
+    """Packed filing keys per bucket, and the facts of each document (id, size, two digests, slack at two levels)."""
 
     def file(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        for batch in slices(batches, "text", 16 << 20, 60_000):
+        for batch in slices(batches, "text", 8 << 20, _NEXT):
             facts, first, keys, places = [], {}, [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 elements = shingles(text, like.words, known)
                 digest = (int(elements.sum(dtype=_U)), int(mix(elements + _U(1)).sum(dtype=_U)))
-                facts.append((doc_id, len(elements), *digest))
+                facts.append((doc_id, len(elements), *map(_signed, digest), 0, 0))
                 if not len(elements) or digest in first:
                     continue
-                first[digest] = len(facts) - 1
-                found = filing_keys(elements, like.percent)
-                keys.append(found)
-                places.append(np.full(len(found), len(facts) - 1, np.uint16))
-            facts_ = np.array([(d, n, _signed(x), _signed(y)) for d, n, x, y in facts], "<i8")
+                place = first[digest] = len(facts) - 1
+                found, slack = filing_keys(elements, like.percent)
+                facts[-1] = (*facts[-1][:4], *slack)
+                keys += found
+                places += [np.full(len(k), place + next_, np.uint16) for k, next_ in zip(found, (0, _NEXT))]
+            facts_ = np.array(facts, "<i8")
             yield _filed([-1 - int(facts_[0, 0]) % buckets], [b""], [b""], [b""], [facts_.tobytes()])
             if not keys:
                 continue
@@ -144,7 +154,8 @@ def _file(docs: DataFrame, like: Similarity, buckets: int) -> DataFrame:
             rows = []
             for b in some:
                 here = slice(cuts[b], cuts[b + 1])
-                used, local = np.unique(places_[here], return_inverse=True)
+                used, local = np.unique(places_[here] % _NEXT, return_inverse=True)
+                local += places_[here] // _NEXT * _NEXT
                 rows.append((int(b), keys_[here].tobytes(), local.astype("<u2").tobytes(), facts_[used, 0].tobytes(), b""))
             yield _filed(*zip(*rows))
 
@@ -183,25 +194,32 @@ class Union:
 
 
 def _meet(filed: DataFrame, buckets: int) -> DataFrame:
-    """Per bucket: which documents met, as packed edges to one of them by bucket of the document; facts are passed on."""
+    """Per bucket of keys, packed: edges between documents that met; who is in hot parts; facts, passed on."""
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes = [], []
+        keys, nodes, nexts = [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["facts"]:
                     yield _rows(["facts"], [0], [row["facts"]])
                     continue
+                place = np.frombuffer(row["places"], "<u2")
                 keys.append(np.frombuffer(row["keys"], "<u8"))
-                nodes.append(np.frombuffer(row["docs"], "<i8")[np.frombuffer(row["places"], "<u2")])
+                nodes.append(np.frombuffer(row["docs"], "<i8")[place % _NEXT])
+                nexts.append(place >= _NEXT)
         if not keys:
             return
-        keys_, nodes_ = np.concatenate(keys), np.concatenate(nodes)
-        keys.clear(), nodes.clear()
-        order = np.lexsort((nodes_, keys_))
-        keys_, nodes_ = keys_[order], nodes_[order]
-        same = keys_[1:] == keys_[:-1]
-        left, right = nodes_[:-1][same], nodes_[1:][same]
+        key, node, next_ = np.concatenate(keys), np.concatenate(nodes), np.concatenate(nexts)
+        keys.clear(), nodes.clear(), nexts.clear()
+        order = np.lexsort((node, key))
+        key, node, next_ = key[order], node[order], next_[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        hot = np.repeat(np.diff(np.concatenate([first, [len(key)]])) > HOT, np.diff(np.concatenate([first, [len(key)]])))
+        if hot.any():
+            members = np.stack([key[hot].view(np.int64), node[hot], next_[hot].astype(np.int64)], axis=1)
+            yield _rows(["hot"], [0], [members.astype("<i8").tobytes()])
+        same = (key[1:] == key[:-1]) & ~hot[1:]
+        left, right = node[:-1][same], node[1:][same]
         apart = left != right
         left, right = left[apart], right[apart]
         if not len(left):
@@ -227,15 +245,34 @@ def _meet(filed: DataFrame, buckets: int) -> DataFrame:
     return filed.mapInArrow(meet, _FOUND)
 
 
+def _hot_edges(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """Edges (a, b) in hot parts, between the documents with too many of them to be taken out.
+
+    `members`: (a, b, c) = key, document, whether it is filed for its next level.
+    """
+    counts = members.groupBy("b", "c").agg(F.count(F.lit(1)).alias("hot"))
+    slack = facts.select(F.col("doc_id").alias("b"), "own_slack", "next_slack")
+    staying = (
+        counts.join(slack, "b")
+        .where(F.col("hot") > F.when(F.col("c") == 0, F.col("own_slack")).otherwise(F.col("next_slack")))
+        .select("b", "c")
+        .distinct()
+    )
+    staying = staged(staying, "ngram-staying")
+    kept = members.join(F.broadcast(staying) if staying.count() <= BROADCAST else staying, ["b", "c"]).select("a", "b")
+    smallest = kept.groupBy("a").agg(F.min("b").alias("m"))
+    return kept.join(smallest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+
+
 def _unpacked(packed: DataFrame, width: int) -> DataFrame:
-    """Rows of `width` numbers from packed ones, each different row of a task once."""
-    names = "abcd"[:width]
+    """Rows of `width` numbers from packed ones; of edges, each different one of a task once."""
+    names = "abcdef"[:width]
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
             found = [np.frombuffer(data, "<i8").reshape(-1, width) for data in batch.column("packed").to_pylist()]
-            if width > 2:  # facts: a row for each document, repeated ones too
+            if width > 2:  # edges are wanted once; all else row by row
                 for part in found:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in part.T.copy()], list(names))
             else:
@@ -424,7 +461,9 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFr
     filed = _file(named, like, buckets).repartition(buckets // 4, "bucket")
     found = staged(_meet(filed, buckets), "ngram-filing")
 
-    facts = staged(_unpacked(found.where("kind = 'facts'"), 4), "ngram-facts").selectExpr("a doc_id", "b n_shingles", "c x", "d y")
+    facts = staged(_unpacked(found.where("kind = 'facts'"), 6), "ngram-facts").toDF(
+        "doc_id", "n_shingles", "x", "y", "own_slack", "next_slack"
+    )
     # One class per set: all its documents hang on the smallest.
     classes = staged(
         facts.where("n_shingles > 0").groupBy("n_shingles", "x", "y").agg(F.min("doc_id").alias("first")), "ngram-classes"
@@ -433,7 +472,8 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFr
         facts.join(classes, ["n_shingles", "x", "y"]).where("doc_id <> first").selectExpr("doc_id a", "first b"), "ngram-equal"
     )
     met = _unpacked(found.where("kind = 'edges'").repartition(buckets // 4, "bucket"), 2)
-    family = components(met.union(equal)).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "family")
+    hot = _hot_edges(_unpacked(found.where("kind = 'hot'"), 3), facts)
+    family = components(met.union(equal).union(hot)).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "family")
     heads = classes.groupBy(F.col("first").alias("doc_id")).agg(F.sum("n_shingles").alias("size"), F.count(F.lit(1)).alias("sets"))
     members = family.join(heads, "doc_id")
     sizes = members.groupBy("family").agg(F.sum("size").alias("size"), F.sum("sets").alias("sets")).where("sets > 1")

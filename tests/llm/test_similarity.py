@@ -33,9 +33,10 @@ def families() -> list[tuple]:
     return rows + [(900, prose(3, 20_000)), (901, edited(prose(3, 20_000), 1, 300)), (902, "x " * 5000), (903, "X " * 5000)]
 
 
-@pytest.mark.parametrize("block", [2_000_000, 900])
-def test_ngram_components_match_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "hot"), [(2_000_000, 16), (900, 16), (2_000_000, 2), (2_000_000, 1)])
+def test_ngram_components_match_brute_force(spark, monkeypatch, block, hot):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "HOT", hot)
     rows = families()
     docs = documents(spark, rows).withColumnRenamed("lang", "component_id").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(docs).collect()}
