@@ -1,4 +1,4 @@
-"""The registered queries of this package, and SQL for those that SQL can express."""
+"""The registered queries of this package; `oracle` has SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from tallyhouse.llm._shared import ship_package
 from tallyhouse.llm.backtracking_bpe import round_trip
 from tallyhouse.llm.best_fit_packing import pack_documents
 from tallyhouse.llm.flat_graph import near_duplicates
-from tallyhouse.llm.license_scan import license_scan_sql, scan_licenses
-from tallyhouse.llm.line_templates import line_dedup_sql, line_report
+from tallyhouse.llm.license_scan import scan_licenses
+from tallyhouse.llm.line_templates import line_report
 from tallyhouse.llm.ngram_join import ngram_components
 from tallyhouse.llm.quality_rules import quality_report
 from tallyhouse.llm.suffix_dedup import suffix_dedup
@@ -79,17 +79,3 @@ QUERIES: dict[str, Query] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_flat_graph": op10_flat_graph,
 }
-
-ORACLE: dict[str, str] = {
-    "op4_line_templates": line_dedup_sql(),
-    "op6_license_scan": license_scan_sql(),
-    "op5_warc": """
-        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-        d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
-        r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM d)
-        SELECT page_id, payload_bytes, payload_digest,
-               CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
-        FROM r
-    """,
-}

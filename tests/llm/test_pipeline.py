@@ -3,15 +3,18 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
-from tokenizers import Tokenizer
+import pytest
 import zstandard
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from tallyhouse.llm.line_templates import line_dedup_sql
+from tallyhouse.llm.oracle import ORACLE
 from tallyhouse.llm.quality_rules import Rules, judge
 from tests.llm.brute import documents, ngram_components, prose, repeated_bytes
 from tests.llm.test_native_scans import by_sql
-from tallyhouse.llm.line_templates import line_dedup_sql
+from verification.compare import connect, differences
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -23,6 +26,11 @@ def test_every_operator_is_registered():
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
 
 
+@pytest.mark.parametrize("name", ORACLE)
+def test_matches_sql(spark, name):
+    assert differences(contract.queries()[name](spark, SMALL), connect(SMALL), contract.oracle_sql()[name]) == []
+
+
 def test_pipeline_matches_brute_force(spark):
     table = pq.read_table(f"{SMALL}/documents.parquet").to_pydict()
     rows = dict(zip(table["doc_id"], table["text"]))
