@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -67,10 +68,20 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES, rows: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that `column` holds about `limit` bytes in each, in at most `rows` rows."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -82,3 +93,4 @@ def slices(
                 start, total = at, 0
             total += size
         yield batch.slice(start)
+    give_back()

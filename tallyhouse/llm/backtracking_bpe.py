@@ -37,8 +37,8 @@ _LATIN = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\\s+(?!\\S)|\\s+"
 )
 _FULL = regex.compile(PATTERN)
-#: Splits remembered in one worker (about 250 MB); when full it starts anew.
-MEMORY = 1_000_000
+#: Splits remembered in one worker (about 100 MB); when full it starts anew.
+MEMORY = 400_000
 
 
 class ByteBpe:

@@ -43,7 +43,7 @@ from tallyhouse.llm.ngram_join import mix
 
 _U = np.uint64
 _PLACE = (1 << 24) - 1  # positions within one stretch of text
-_STRETCH = 1 << 20
+_STRETCH = 512 << 10
 _LETTER = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _BASE = 0x9FB21C651E98DF25
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -565,17 +565,18 @@ def _finish(rows: DataFrame, with_text: bool) -> DataFrame:
     return rows.mapInArrow(finish, schema)
 
 
-def _compressed(docs: DataFrame) -> DataFrame:
-    """Texts as Zstandard frames, which move and spill at under half the size."""
+def _compressed(docs: DataFrame, buckets: int) -> DataFrame:
+    """Texts with their bucket, as Zstandard frames, which move and spill at under half the size."""
 
     def compress(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in slices(batches, "text"):
             data = [packer.compress((text or "").encode("utf-8", "surrogatepass")) for text in batch.column("text").to_pylist()]
-            columns = [batch.column("bucket"), batch.column("doc_id"), batch.column("key"), pa.array(data, pa.binary())]
+            bucket = _doc_bucket(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False), buckets)
+            columns = [pa.array(bucket, pa.int32()), batch.column("doc_id"), batch.column("key"), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "doc_id", "key", "text"])
 
-    return docs.select("bucket", "doc_id", "key", "text").mapInArrow(compress, "bucket int, doc_id long, key long, text binary")
+    return docs.select("doc_id", "key", "text").mapInArrow(compress, "bucket int, doc_id long, key long, text binary")
 
 
 def suffix_dedup(docs: DataFrame, rule: Repeats = Repeats(), with_text: bool = False) -> DataFrame:
@@ -584,15 +585,10 @@ def suffix_dedup(docs: DataFrame, rule: Repeats = Repeats(), with_text: bool = F
     buckets = 4 * partitions
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
 
-    def with_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bucket = _doc_bucket(batch.column("doc_id").to_numpy(), buckets)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), *batch.columns], ["bucket", *batch.schema.names])
-
     named = docs.where("doc_id is not null")
     filed = _file(named, rule, buckets).repartition(partitions, "bucket")
     marks = staged(_meet(filed, rule, buckets), "suffix-marks")
-    placed = _compressed(named.mapInArrow(with_bucket, "bucket int, doc_id long, key long, text string"))
+    placed = _compressed(named, buckets)
     met = staged(_fetch(_with_texts(placed, marks, partitions), rule, buckets), "suffix-met")
     packed = met.where("kind in ('piece', 'window')").select("kind", "bucket", "records", "blob").repartition(partitions, "bucket")
     spans = staged(_repeats(packed, rule, buckets), "suffix-spans")
@@ -603,7 +599,7 @@ def suffix_dedup(docs: DataFrame, rule: Repeats = Repeats(), with_text: bool = F
     late = first.union(rest).repartition(partitions, "bucket").sortWithinPartitions("bucket", "rank")
     no_marks = F.lit(None).cast("binary").alias("marks")
     done = met.where("kind = 'done'").select("bucket", F.lit(1).alias("rank"), *none, no_marks)
-    unnamed = _compressed(docs.where("doc_id is null").select(F.lit(0).alias("bucket"), "doc_id", "key", "text")).select(
+    unnamed = _compressed(docs.where("doc_id is null"), buckets).select(
         "bucket", F.lit(1).alias("rank"), "doc_id", "key", "text", F.lit(b"").alias("spans"), no_marks
     )
     return _finish(late, with_text).union(_finish(done, with_text)).union(_finish_unnamed(unnamed, with_text))

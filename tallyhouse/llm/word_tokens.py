@@ -23,8 +23,8 @@ BYTE_LETTERS = {byte: chr(256 + at) for at, byte in enumerate(_HIDDEN)}
 _WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 #: A lone full stop or comma is a word of its own; beside another sign it is not.
 _SIGNS = re.compile("[^\\sa-zß-öø-ÿ0-9]{2}")
-#: Chunks and words remembered in one worker (about 250 MB); when full it starts anew.
-MEMORY = 1_200_000
+#: Chunks and words remembered in one worker (about 90 MB); when full it starts anew.
+MEMORY = 400_000
 
 
 def default_path(name: str = "word_bpe_49k.json") -> str:
