@@ -5,6 +5,7 @@ digits), and known ones get their licence-sentence identifier. The identifiers o
 in order are then matched against rules: a rule is the ordered identifiers of one licence
 text, longer rules come first, and what a rule has matched is not matched again. Two
 identifiers with more than `MAX_GAP` unknown sentences between them do not belong together.
+Notices with a sign within, as `free software: you can` and `v. 2.0`, are known by their parts.
 
 No shuffle and no join: the known sentences are a fixed table inside the expressions, and
 texts without any of the words that every known sentence has one of are not cut up.
@@ -163,10 +164,75 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Proprietary", ("reserved",)),
 )
 
-#: Every known sentence has at least one of these.
+_TERMS = "you can redistribute it and or modify it under the terms of the gnu {}general public license as published by the free software foundation"
+_LATER = "either version {} of the license or at your option any later version"
+
+# Notices that a sign ends within, as `_END` cuts them.
+PARTS: dict[str, tuple[str, ...]] = {
+    "free-software": tuple(f"this {what} is free software" for what in ("program", "library", "file", "software")),
+    "gpl-terms": (_TERMS.format(""),),
+    "lgpl-terms": (_TERMS.format("lesser "), _TERMS.format("library ")),
+    "agpl-terms": (_TERMS.format("affero "),),
+    "version2-later": (_LATER.format("2"),),
+    "version21-later": (_LATER.format("2 1"),),
+    "version3-later": (_LATER.format("3"),),
+    "version2-only": ("version 2 of the license",),
+    "version3-only": ("version 3 of the license",),
+    "gpl2-terms": (f"{_TERMS.format('')} {_LATER.format('2')}",),
+    "gpl3-terms": (f"{_TERMS.format('')} {_LATER.format('3')}",),
+    "lgpl21-terms": (f"{_TERMS.format('lesser ')} {_LATER.format('2 1')}",),
+    "lgpl3-terms": (f"{_TERMS.format('lesser ')} {_LATER.format('3')}",),
+    "agpl3-terms": (f"{_TERMS.format('affero ')} {_LATER.format('3')}",),
+    "hope": tuple(
+        f"this {what} is distributed in the hope that it will be useful but without any warranty"
+        for what in ("program", "library", "file", "software")
+    ),
+    "implied": ("without even the implied warranty of merchantability or fitness for a particular purpose",),
+    "lgpl-details": (
+        "see the gnu lesser general public license for more details",
+        "see the gnu library general public license for more details",
+    ),
+    "agpl-details": ("see the gnu affero general public license for more details",),
+    "mpl-terms": ("this source code form is subject to the terms of the mozilla public license v",),
+    "mpl-copy": (
+        "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+        "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    ),
+    "apache-copy-at": ("you may obtain a copy of the license at",),
+    "apache-address": ("http www apache org licenses license 2 0", "https www apache org licenses license 2 0"),
+}
+
+
+def _part_rules() -> tuple[tuple[str, tuple[str, ...]], ...]:
+    grants = (
+        ("GPL-2.0-or-later", ("gpl-terms", "version2-later"), "gpl-details"),
+        ("GPL-3.0-or-later", ("gpl-terms", "version3-later"), "gpl-details"),
+        ("GPL-2.0", ("gpl-terms", "version2-only"), "gpl-details"),
+        ("GPL-3.0", ("gpl-terms", "version3-only"), "gpl-details"),
+        ("LGPL-2.0-or-later", ("lgpl-terms", "version2-later"), "lgpl-details"),
+        ("LGPL-2.1-or-later", ("lgpl-terms", "version21-later"), "lgpl-details"),
+        ("LGPL-3.0-or-later", ("lgpl-terms", "version3-later"), "lgpl-details"),
+        ("AGPL-3.0-or-later", ("agpl-terms", "version3-later"), "agpl-details"),
+        ("GPL-2.0-or-later", ("gpl2-terms",), "gpl-details"),
+        ("GPL-3.0-or-later", ("gpl3-terms",), "gpl-details"),
+        ("LGPL-2.1-or-later", ("lgpl21-terms",), "lgpl-details"),
+        ("LGPL-3.0-or-later", ("lgpl3-terms",), "lgpl-details"),
+        ("AGPL-3.0-or-later", ("agpl3-terms",), "agpl-details"),
+    )
+    rules = [("Apache-2.0", ("apache-notice", "apache-compliance", "apache-copy-at", "apache-address", "apache-basis", "apache-limits"))]
+    for licence, grant, details in grants:
+        rules += [(licence, ("free-software", *grant, "hope", "implied", details)), (licence, ("free-software", *grant)), (licence, grant)]
+    rules += [("MPL-2.0", ("mpl-terms", "mpl-copy")), ("MPL-2.0", ("mpl-terms",))]
+    return tuple(sorted(rules, key=lambda rule: -len(rule[1])))
+
+
+#: Rules with parts; they come before the others.
+PART_RULES = _part_rules()
+
+#: Every known sentence and part has at least one of these.
 MARKERS = (
     "licen", "permission", "copyright", "provided as is", "redistribution", "rights reserved", "unencumbered",
-    "without any warranty", "under cc",
+    "without any warranty", "under cc", "is free software", "implied warranty", "mozilla",
 )
 
 #: A sentence ends at a sign and white space, or at an empty line.
@@ -178,7 +244,7 @@ def _normal(sentence: Column) -> Column:
 
 
 def _known() -> Column:
-    pairs = [F.lit(x) for identifier, forms in SENTENCES.items() for form in forms for x in (form, identifier)]
+    pairs = [F.lit(x) for identifier, forms in (SENTENCES | PARTS).items() for form in forms for x in (form, identifier)]
     return F.create_map(*pairs)
 
 
@@ -189,7 +255,7 @@ def _flat_markers(text: Column) -> Column:
     # A one-word marker shows in the text as it is; only for the others the text is flattened.
     single = [near.contains(marker) for marker in MARKERS if " " not in marker]
     double = [flat.contains(marker) for marker in MARKERS if " " in marker]
-    hint = near.contains("provided") | near.contains("rights") | near.contains("warranty") | near.contains("cc")
+    hint = near.contains("provided") | near.contains("rights") | near.contains("warranty") | near.contains("cc") | near.contains("free")
     some = double[0]
     for other in double[1:]:
         some = some | other
@@ -200,13 +266,15 @@ def _flat_markers(text: Column) -> Column:
 
 
 def _identifiers(text: Column) -> Column:
-    """One entry per sentence and, for a sentence over lines, per line: its identifier or null."""
+    """One entry per sentence and, for a sentence over lines that is not a part, per line: its identifier or null."""
     sentences = F.split(F.regexp_replace(text, _END, "$1\u0001"), "\u0001")
     known = _known()
+    parts = [form for forms in PARTS.values() for form in forms]
     by_line = F.transform(
         sentences,
         lambda s: F.when(
-            F.contains(s, F.lit("\n")), F.concat(F.array(_normal(s)), F.transform(F.split(s, "\n"), lambda line: _normal(line)))
+            F.contains(s, F.lit("\n")) & ~_normal(s).isin(parts),
+            F.concat(F.array(_normal(s)), F.transform(F.split(s, "\n"), lambda line: _normal(line))),
         ).otherwise(F.array(_normal(s))),
     )
     return F.transform(F.flatten(by_line), lambda s: F.try_element_at(known, s))
@@ -228,7 +296,7 @@ def _sequence(identifiers: Column) -> Column:
 def _matches(sequence: Column) -> Column:
     """`licence` of each rule that matches, in the order of the rules."""
     rules = F.array(
-        *[F.struct(F.lit(licence).alias("licence"), F.lit(";" + ";".join(ids) + ";").alias("ids")) for licence, ids in RULES]
+        *[F.struct(F.lit(licence).alias("licence"), F.lit(";" + ";".join(ids) + ";").alias("ids")) for licence, ids in PART_RULES + RULES]
     )
     start = F.struct(sequence.alias("left"), F.array().cast("array<string>").alias("found"))
 
@@ -259,7 +327,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
 
 def license_scan_sql() -> str:
-    """The same scan as DuckDB SQL over `documents`."""
+    """The same scan as DuckDB SQL over `documents`, but for `PARTS`, which it does not know."""
     known = ", ".join(f"('{form}', '{name}')" for name, forms in SENTENCES.items() for form in forms)
     steps, columns = [], []
     for at, (licence, ids) in enumerate(RULES):

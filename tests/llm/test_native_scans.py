@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from tallyhouse.llm.license_scan import MARKERS, SENTENCES, license_scan_sql, scan_licenses
+from tallyhouse.llm.license_scan import MARKERS, PARTS, SENTENCES, license_scan_sql, scan_licenses
 from tallyhouse.llm.line_templates import line_dedup_sql, line_report, without_boilerplate
 from tests.llm.brute import documents, prose
 
@@ -98,6 +98,72 @@ def test_every_known_sentence_has_a_marker(form):
     assert any(marker in form for marker in MARKERS)
 
 
+FREE = """This {what} is free software{sign} you can redistribute it and/or modify
+it under the terms of the GNU {kind}General Public License as published by
+the Free Software Foundation{then} either version {version} of the License, or
+(at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+{kind}General Public License for more details.
+
+You should have received a copy of the GNU {kind}General Public License
+along with this {what}.  If not, see <https://www.gnu.org/licenses/>.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+"""
+HEADERS = [
+    ("GPL-3.0-or-later", FREE.format(what="program", sign=":", kind="", then=",", version="3")),
+    ("GPL-3.0-or-later", FREE.format(what="program", sign=";", kind="", then=";", version="3")),
+    ("GPL-2.0-or-later", FREE.format(what="program", sign=";", kind="", then=";", version="2")),
+    ("LGPL-2.1-or-later", FREE.format(what="library", sign=";", kind="Lesser ", then=";", version="2.1")),
+    ("LGPL-2.0-or-later", FREE.format(what="library", sign=";", kind="Library ", then=";", version="2")),
+    ("LGPL-3.0-or-later", FREE.format(what="library", sign=":", kind="Lesser ", then=",", version="3")),
+    ("AGPL-3.0-or-later", FREE.format(what="program", sign=":", kind="Affero ", then=",", version="3")),
+    ("MPL-2.0", MPL),
+    ("Apache-2.0", APACHE),
+    ("BSD", BSD),
+]
+
+
+@pytest.mark.parametrize("shape", [str, lambda t: t.replace("\n", " "), lambda t: "".join(f" * {line}\n" for line in t.splitlines())])
+def test_verbatim_headers(spark, shape):
+    rows = [(k, shape(text)) for k, (_, text) in enumerate(HEADERS)]
+    found = {r.doc_id: (r.licenses, r.n_sentences) for r in scan_licenses(documents(spark, rows)).collect()}
+    assert [found[k][0] for k in range(len(rows))] == [licence for licence, _ in HEADERS]
+    assert all(found[k][1] > 1 for k in range(len(rows) - 1))
+
+
+def test_only_a_notice_in_parts_is_told_from_the_sql(spark):
+    rows = [(1, HEADERS[0][1]), (2, "This file is free software. More."), (3, "Version 2 of the License. Either way."), (4, "2.0. v. 2.0")]
+    found = {r.doc_id: (r.sequence, r.licenses) for r in scan_licenses(documents(spark, rows)).collect()}
+    assert found[1] == (";free-software;gpl3-terms;hope;implied;gpl-details;", "GPL-3.0-or-later")
+    assert found[2] == (";free-software;", "") and found[3] == (";version2-only;", "") and found[4] == (";", "")
+
+
+@pytest.mark.parametrize("form", [form for forms in PARTS.values() for form in forms])
+def test_every_part_has_a_marker(form):
+    assert any(marker in form for marker in MARKERS)
+
+
 def test_both_run_without_python(spark):
     for df in (line_report(documents(spark, LINES)), scan_licenses(documents(spark, LICENSES))):
         plan = df._jdf.queryExecution().executedPlan().toString()
