@@ -24,24 +24,32 @@ WHITE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 
 
+HIGH = bytes(range(128, 256))
+
+
 class Band(NamedTuple):
-    """Raw bytes over compressed bytes must lie in [least, most] for texts below `below` bytes."""
+    """Raw bytes over compressed bytes must lie in [least, most] for texts below `below` bytes.
+
+    A plain text, nearly all of it ASCII, must reach `plain` instead of `least`.
+    """
 
     below: float
     least: float
     most: float
+    plain: float = 0.0
 
 
 #: Prose stays well inside; a short text has too few bytes to say much, so its band is wide.
+#: `plain` lies between random letters and digits (base64, keys) and prose of that length.
 BANDS = (
     Band(256, 0.0, 3.0),
-    Band(512, 1.02, 3.0),
-    Band(1 << 10, 1.05, 3.2),
-    Band(2 << 10, 1.10, 3.5),
-    Band(4 << 10, 1.15, 4.0),
-    Band(8 << 10, 1.20, 4.5),
-    Band(32 << 10, 1.25, 5.0),
-    Band(float("inf"), 1.30, 6.0),
+    Band(512, 1.02, 3.0, 1.27),
+    Band(1 << 10, 1.05, 3.2, 1.31),
+    Band(2 << 10, 1.10, 3.5, 1.42),
+    Band(4 << 10, 1.15, 4.0, 1.55),
+    Band(8 << 10, 1.20, 4.5, 1.57),
+    Band(32 << 10, 1.25, 5.0, 1.60),
+    Band(float("inf"), 1.30, 6.0, 1.60),
 )
 
 
@@ -54,6 +62,8 @@ class Rules(NamedTuple):
     #: A text is rejected when chunks holding more than this share of its bytes miss their band.
     max_bad_chunk_share: float = 0.25
     bands: tuple[Band, ...] = BANDS
+    #: Most bytes, as a share, that a plain text may have beyond ASCII.
+    max_high_share: float = 0.1
 
 
 SCHEMA = (
@@ -95,9 +105,12 @@ def repeated_lines(data: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def in_band(ratio: float, size: int, bands: tuple[Band, ...]) -> bool:
-    band = next(b for b in bands if size < b.below)
-    return band.least <= ratio <= band.most
+def in_band(ratio: float, data: bytes, rules: Rules) -> bool:
+    band = next(b for b in rules.bands if len(data) < b.below)
+    least = band.least
+    if least <= ratio < band.plain and len(data) - len(data.translate(None, HIGH)) <= rules.max_high_share * len(data):
+        least = band.plain
+    return least <= ratio <= band.most
 
 
 def compression(data: bytes, packer: zstandard.ZstdCompressor, rules: Rules) -> tuple[float, float, bool]:
@@ -109,10 +122,10 @@ def compression(data: bytes, packer: zstandard.ZstdCompressor, rules: Rules) ->
     if len(data) > rules.chunk_bytes:
         for start in range(0, len(data), rules.chunk_bytes):
             chunk = data[start : start + rules.chunk_bytes]
-            if not in_band(len(chunk) / len(packer.compress(chunk)), len(chunk), rules.bands):
+            if not in_band(len(chunk) / len(packer.compress(chunk)), chunk, rules):
                 bad += len(chunk)
     share = bad / len(data)
-    return ratio, share, in_band(ratio, len(data), rules.bands) and share <= rules.max_bad_chunk_share
+    return ratio, share, in_band(ratio, data, rules) and share <= rules.max_bad_chunk_share
 
 
 def judge(text: str | None, packer: zstandard.ZstdCompressor, rules: Rules) -> tuple:

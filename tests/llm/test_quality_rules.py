@@ -1,8 +1,11 @@
+import base64
 import random
+import string
 
 import pytest
+import zstandard
 
-from tallyhouse.llm.quality_rules import Rules, keep_good, quality_report
+from tallyhouse.llm.quality_rules import BANDS, Rules, judge, keep_good, quality_report
 from tests.llm.brute import documents, prose, quality_counts
 
 ODD = [
@@ -55,3 +58,48 @@ def test_chunks_find_a_repetitive_stretch(spark, size):
     text = prose(4, 2000) + " " + ("zebra " * size) + prose(5, 200)
     row = quality_report(documents(spark, [(1, text)]), Rules(max_repeat_percent=100)).first()
     assert row.kept == (size == 100)
+
+
+def random_words(draw, size):
+    return " ".join("".join(draw.choices(string.ascii_letters + string.digits, k=7)) for _ in range(size // 8 + 1))[:size]
+
+
+def base64_lines(draw, size):
+    whole = base64.b64encode(draw.randbytes(size)).decode()
+    width = 7 if size < 2 << 10 else 20 if size < 4 << 10 else 76
+    return "\n".join(whole[at : at + width] for at in range(0, len(whole), width))[:size]
+
+
+@pytest.mark.parametrize("make", [random_words, base64_lines])
+@pytest.mark.parametrize("low", [band.below for band in BANDS[:-1]])
+def test_random_letters_are_rejected_in_every_band(make, low):
+    draw, packer = random.Random(low), zstandard.ZstdCompressor(level=3)
+    high = next(min(band.below, 3 * low) for band in BANDS if band.below > low)
+    for size in [max(low, 410), max(low, 410) // 2 + high // 2, high - 1]:
+        found = judge(make(draw, int(size)), packer, Rules())
+        assert not found[5] and not found[6], (size, found)
+
+
+#: Article 1 and preamble of the Universal Declaration of Human Rights.
+RIGHTS = {
+    "en": "Whereas recognition of the inherent dignity and of the equal and inalienable rights of all members of the human family is "
+    "the foundation of freedom, justice and peace in the world, whereas disregard and contempt for human rights have resulted in "
+    "barbarous acts which have outraged the conscience of mankind. All human beings are born free and equal in dignity and rights. "
+    "They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.",
+    "de": "Da die Anerkennung der angeborenen Würde und der gleichen und unveräußerlichen Rechte aller Mitglieder der Gemeinschaft der "
+    "Menschen die Grundlage von Freiheit, Gerechtigkeit und Frieden in der Welt bildet. Alle Menschen sind frei und gleich an Würde "
+    "und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt und sollen einander im Geist der Brüderlichkeit begegnen.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в "
+    "отношении друг друга в духе братства. Каждый человек должен обладать всеми правами и всеми свободами, провозглашенными настоящей "
+    "Декларацией, без какого бы то ни было различия, как-то в отношении расы, цвета кожи, пола, языка, религии, политических или иных "
+    "убеждений, национального или социального происхождения, имущественного, сословного или иного положения.",
+    "ko": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로 형제애의 정신으로 "
+    "행동하여야 한다. 모든 사람은 인종, 피부색, 성, 언어, 종교, 정치적 또는 기타의 견해, 민족적 또는 사회적 출신, 재산, 출생 또는 기타의 신분과 같은 "
+    "어떠한 종류의 차별이 없이, 이 선언에 규정된 모든 권리와 자유를 향유할 자격이 있다. 모든 사람은 생명과 신체의 자유와 안전에 대한 권리를 가진다.",
+}
+
+
+@pytest.mark.parametrize("lang", RIGHTS)
+def test_prose_of_other_languages_is_kept(lang):
+    found = judge(RIGHTS[lang], zstandard.ZstdCompressor(level=3), Rules())
+    assert not found[5] and found[6], found
