@@ -10,9 +10,11 @@
    the medoids; then its range is expanded, from every vector found within the range over
    its neighbours, until nothing new is within. There is no cap on what is found.
 4. What is found is verified by the cosine in double precision. Links of a shard are
-   counted per vector and passed on as a spanning forest, never as all pairs.
+   counted per vector, also for the vector found where it cannot find the other, and passed
+   on as a spanning forest, never as all pairs.
 5. The recall is audited: sample vectors are compared with all rows, in blocks. Below
-   `Graph.recall`, everything is repeated with twice as many shards per vector.
+   `Graph.recall`, everything is repeated with twice as many shards per vector; below
+   `Graph.least_recall` after the last round there is no result but an error.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite
 components, link with nothing; vectors of unlike lengths never link; rows without `vec_id`
@@ -52,10 +54,16 @@ class Graph(NamedTuple):
     beam: int = 32
     #: How far below the threshold a vector still has its neighbours looked at.
     slack: float = 0.05
-    #: Vectors the recall is audited on, the recall asked for, and how often to try.
-    audit: int = 200
+    #: Vectors the recall is audited on, of those with no, few and many links found each;
+    #: the recall aimed at, how often to try, and the recall below which there is no result.
+    audit: int = 500
     recall: float = 0.98
     tries: int = 3
+    least_recall: float = 0.9
+
+
+#: Links from which on a vector has many.
+FEW = 8
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -223,6 +231,32 @@ def shard_links(units: np.ndarray, asks: np.ndarray, graph: Graph, chunk: int =
                     yield query, found
 
 
+class Mutual:
+    """Links among the vectors at home in a shard, one bit each, to be counted from both sides."""
+
+    def __init__(self, home: np.ndarray):
+        self.home = home
+        self.place = np.cumsum(home) - 1
+        self.count = int(home.sum())
+        self.bits = np.zeros((self.count, -(-self.count // 8)), np.uint8)
+
+    def add(self, query: int, found: np.ndarray) -> None:
+        row = np.zeros(self.count, bool)
+        row[self.place[found[self.home[found]]]] = True
+        self.bits[self.place[query]] |= np.packbits(row)
+
+    def links(self, weight: np.ndarray, step: int = 256) -> np.ndarray:
+        """Weight of the vectors at home that found each vector or were found by it."""
+        out = np.zeros(len(self.home), np.int64)
+        asks = np.flatnonzero(self.home)
+        for at in range(0, self.count, step):
+            to = min(at + step, self.count)
+            there = np.unpackbits(self.bits[at:to], axis=1, count=self.count)
+            back = np.unpackbits(self.bits[:, at // 8 : -(-to // 8)], axis=1, count=to - at)
+            out[asks[at:to]] = (there | back.T) @ weight[asks].astype(np.float64)
+        return out
+
+
 def _usable(embedding: Column) -> Column:
     bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return embedding.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(embedding, lambda x: x != 0)
@@ -247,58 +281,89 @@ def _search(classes: DataFrame, size: int, total: int, overlap: int, graph: Grap
             if not batch.num_rows:
                 continue
             near = nearest_centres(unit(_matrix(batch.column("embedding"))), centres.value, overlap)
-            rows = np.repeat(np.arange(batch.num_rows), near.shape[1])
-            home = np.tile(np.arange(near.shape[1]) == 0, batch.num_rows)
+            width = near.shape[1]
+            rows = np.repeat(np.arange(batch.num_rows), width)
+            ends = np.arange(0, len(rows) * width + 1, width, dtype=np.int32)
+            visits = pa.ListArray.from_arrays(ends, near.astype(np.int32)[rows].ravel())
             taken = batch.take(pa.array(rows))
-            columns = [pa.array(near.ravel().astype(np.int32)), pa.array(home), *taken.columns]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "home", *batch.schema.names])
+            yield pa.RecordBatch.from_arrays([pa.array(near.ravel().astype(np.int32)), visits, *taken.columns], ["shard", "visits", *batch.schema.names])
 
     kind = classes.schema["embedding"].dataType.simpleString()
     shards = classes.select("node", "weight", "embedding").mapInArrow(
-        assign, f"shard int, home boolean, node long, weight long, embedding {kind}"
+        assign, f"shard int, visits array<int>, node long, weight long, embedding {kind}"
     )
 
     def link(table: pa.Table) -> pa.Table:
         units = unit(_matrix(table.column("embedding").combine_chunks()))
         node, weight = table.column("node").to_numpy(), table.column("weight").to_numpy()
-        asks = np.flatnonzero(table.column("home").to_numpy(zero_copy_only=False))
+        visits = table.column("visits").combine_chunks().flatten().to_numpy().reshape(len(units), -1)
+        home = visits[:, 0] == table.column("shard")[0].as_py()
+        asks = np.flatnonzero(home)
         union = Union(len(units))
-        out: list[tuple[str, int, int]] = []
+        links = np.zeros(len(units), np.int64)
+        mutual = Mutual(home)
+        edges: list[tuple[int, int]] = []
         if len(units) > 1 and len(asks):
             for query, found in shard_links(units, asks, graph):
-                out.append(("links", int(node[query]), int(weight[found].sum())))
+                mutual.add(query, found)
+                guests = found[~home[found]]
+                links[query] += weight[guests].sum()
+                # A guest in whose home shard the query is not cannot find it there.
+                unseen = guests[~(visits[guests, :1] == visits[query]).any(axis=1)]
+                links[unseen] += weight[query]
                 for other in found.tolist():
                     if union.join(query, other):
-                        out.append(("edge", int(node[query]), int(node[other])))
-        kinds, a, b = zip(*out) if out else ((), (), ())
+                        edges.append((query, other))
+            links += mutual.links(weight)
+        linked = np.flatnonzero(links)
+        tail, head = np.array(edges, np.int64).reshape(-1, 2).T
+        kinds = ["links"] * len(linked) + ["edge"] * len(edges)
+        a, b = np.concatenate([node[linked], node[tail]]), np.concatenate([links[linked], node[head]])
         return pa.table({"kind": pa.array(kinds, pa.string()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return shards.groupBy("shard").applyInArrow(link, "kind string, a long, b long")
 
 
 def audit_recall(classes: DataFrame, found: DataFrame, graph: Graph) -> float:
-    """Links found for sample vectors over the links they have among all rows."""
-    asked = classes.orderBy(F.col("node") % 100 != 0, F.xxhash64("node")).limit(graph.audit).select("node", "embedding")
-    drawn = asked.toArrow()
-    names = drawn.column("node").to_numpy()
-    queries = unit(_matrix(drawn.column("embedding").combine_chunks()))
+    """Mean share of a linked vector's links that were found; of vectors with few and with many links, the lower.
+
+    Vectors are drawn by how many links were found for them (none, few, many) and count for
+    all vectors drawn from, so that neither a large group nor unlinked vectors hide a miss.
+    """
+    have = found.where("kind = 'links'").groupBy("a").agg(F.sum("b").alias("have"))
+    stratum = F.when(F.col("have").isNull(), 0).when(F.col("have") < FEW, 1).otherwise(2)
+    ranked = classes.join(have, classes["node"] == have["a"], "left").select("node", "embedding", "have", stratum.alias("stratum"))
+    sizes = {row["stratum"]: row["n"] for row in ranked.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}
+    names, reached, stands_for, queries = [], [], [], []
+    for one, size in sorted(sizes.items()):
+        drawn = ranked.where(F.col("stratum") == one).orderBy(F.col("node") % 100 != 0, F.xxhash64("node")).limit(graph.audit).toArrow()
+        names += drawn.column("node").to_pylist()
+        reached += [n or 0 for n in drawn.column("have").to_pylist()]
+        stands_for += [size / drawn.num_rows] * drawn.num_rows
+        queries.append(unit(_matrix(drawn.column("embedding").combine_chunks())))
     spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast((names, queries))
+    shared = spark.sparkContext.broadcast((np.array(names, np.int64), np.concatenate(queries)))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, queries = shared.value
         total = np.zeros(len(names), np.int64)
         for batch in batches:
-            if batch.num_rows:
-                near = queries @ unit(_matrix(batch.column("embedding"))).T >= graph.cosine
-                near &= names[:, None] != batch.column("node").to_numpy()[None, :]
-                total += (near * batch.column("weight").to_numpy()[None, :]).sum(axis=1)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                near = queries @ unit(_matrix(part.column("embedding"))).T >= graph.cosine
+                near &= names[:, None] != part.column("node").to_numpy()[None, :]
+                total += (near * part.column("weight").to_numpy()[None, :]).sum(axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(total)], ["a", "n"])
 
     there = classes.select("node", "weight", "embedding").mapInArrow(compare, "a long, n long").groupBy("a").agg(F.sum("n").alias("n"))
-    have = found.where("kind = 'links'").groupBy("a").agg(F.sum("b").alias("b"))
-    row = there.join(have, "a", "left").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
-    return 1.0 if not row["n"] else min(1.0, (row["b"] or 0) / row["n"])
+    true = {row["a"]: row["n"] for row in there.collect()}  # as many rows as were drawn
+    audited = [(true[name], min(1.0, n / true[name]), weight) for name, n, weight in zip(names, reached, stands_for) if true[name]]
+    means = []
+    for many in (False, True):
+        of = [(share, weight) for n, share, weight in audited if (n >= FEW) == many]
+        if of:
+            means.append(sum(share * weight for share, weight in of) / sum(weight for _, weight in of))
+    return min(means, default=1.0)
 
 
 def near_duplicates(vectors: DataFrame, graph: Graph = Graph()) -> DataFrame:
@@ -318,11 +383,13 @@ def near_duplicates(vectors: DataFrame, graph: Graph = Graph()) -> DataFrame:
             reached = audit_recall(own, part, graph)
             if reached >= graph.recall:
                 break
+        if reached < graph.least_recall:
+            raise RuntimeError(f"recall {reached:.3f} of links after {graph.tries} rounds; {graph.least_recall} is asked for")
         found, recall = part if found is None else found.union(part), min(recall, reached)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], schema)
     linked = components(found.where("kind = 'edge'").select("a", "b"))
-    counts = found.where("kind = 'links'").select(F.col("a").alias("node"), F.col("b").alias("links"))
+    counts = found.where("kind = 'links'").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("links"))
     known = (
         classes.join(counts, "node", "left")
         .join(linked, "node", "left")

@@ -7,7 +7,8 @@ import pytest
 
 from tallyhouse.llm import ngram_join
 from tallyhouse.llm.components import components
-from tallyhouse.llm.flat_graph import Graph, near_duplicates
+from tallyhouse.llm import flat_graph
+from tallyhouse.llm.flat_graph import Graph, Mutual, audit_recall, near_duplicates
 from tallyhouse.llm.ngram_join import trie_links
 from tallyhouse.llm.suffix_dedup import Repeats, maximal_repeats, suffix_array, suffix_dedup
 from tests.llm.brute import documents, ngram_components, prose, repeated_bytes
@@ -179,3 +180,50 @@ def test_flat_graph_of_nothing(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     only = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], "vec_id long, embedding array<float>")
     assert [r.n_links for r in near_duplicates(only).collect()] == [0, 0]
+
+
+def test_audit_sees_missed_pairs_beside_a_large_group(spark):
+    draw = np.random.default_rng(3)
+    group = draw.normal(size=24) + 0.01 * draw.normal(size=(300, 24))
+    pairs = np.repeat(draw.normal(size=(100, 24)), 2, axis=0) + 0.01 * draw.normal(size=(200, 24))
+    vectors = np.concatenate([group, pairs])
+    classes = spark.createDataFrame([(k, 1, v.tolist()) for k, v in enumerate(vectors)], "node long, weight long, embedding array<double>")
+    found = spark.createDataFrame([("links", k, 299) for k in range(300)], "kind string, a long, b long")
+    assert audit_recall(classes, found, Graph()) == 0.0
+    whole = found.union(spark.createDataFrame([("links", k, 1) for k in range(300, 500)], found.schema))
+    assert audit_recall(classes, whole, Graph()) == 1.0
+
+
+def test_no_result_below_the_least_recall(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "audit_recall", lambda *_: 0.5)
+    table = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.1])], "vec_id long, embedding array<float>")
+    with pytest.raises(RuntimeError, match="recall 0.500"):
+        near_duplicates(table)
+
+
+def test_links_count_from_both_sides(spark):
+    vectors = clusters(4, 2000)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    # With one shard per vector and next to it only a few guests, one side often does not see the other.
+    graph = Graph(shard=100, leaf=50, overlap=2, tries=1, least_recall=0.0)
+    units = flat_graph.unit(vectors)
+    near = units @ units.T >= 0.95
+    np.fill_diagonal(near, False)
+    drawn = table.orderBy(flat_graph.F.xxhash64("vec_id")).select("embedding").toArrow()
+    centres = flat_graph.fit_centres(flat_graph.unit(flat_graph._matrix(drawn.column("embedding").combine_chunks())), 40)
+    shards = flat_graph.nearest_centres(units, centres, 2)
+    sees = (shards[None, :, :] == shards[:, :1, None]).any(axis=2)  # y is in the home shard of x
+    met = near & (sees | sees.T)
+    assert (near & sees).sum() < met.sum()
+    got = {r.vec_id: r.n_links for r in near_duplicates(table, graph).collect()}
+    found = np.array([got[k] for k in range(2000)])
+    assert (found <= met.sum(axis=1)).all() and found.sum() > (near & sees).sum()
+
+
+def test_mutual_links_count_once():
+    home = np.array([True, False, True, True])
+    mutual = Mutual(home)
+    mutual.add(0, np.array([1, 2]))
+    mutual.add(2, np.array([0]))
+    mutual.add(3, np.array([0]))
+    assert mutual.links(np.array([1, 5, 10, 100])).tolist() == [110, 0, 1, 1]
