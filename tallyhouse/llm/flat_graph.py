@@ -6,6 +6,8 @@
    candidates are its nearest vectors and some random ones, pruned robustly: a candidate
    goes when a kept one is `alpha` times nearer to it than the vector is. Adjacency lists of
    a vector from all its leaves are united, and edges run both ways.
+   A shard of more than `Graph.most` vectors is cut into blocks, and every pair of blocks
+   is searched as a shard of its own, so no task grows with a group.
 3. Every vector searches in the shard of its nearest centre: greedily, with a beam, from
    the medoids; then its range is expanded, from every vector found within the range over
    its neighbours, until nothing new is within. There is no cap on what is found.
@@ -45,6 +47,8 @@ class Graph(NamedTuple):
     #: Vectors of one shard, with overlap, on average; and of one leaf.
     shard: int = 4_000
     leaf: int = 800
+    #: Vectors of a shard from which on it is cut into blocks of half as many.
+    most: int = 16_000
     #: Shards a vector goes to.
     overlap: int = 4
     nearest: int = 32
@@ -267,6 +271,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
 
+def deal(near: np.ndarray, node: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, shard, low, high, block) for every pair of blocks, of each shard of a row, that has the row's own block."""
+    shard = near.ravel()
+    rows = np.repeat(np.arange(len(near)), near.shape[1])
+    dealt = node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+    pairs = blocks[shard]
+    block = dealt[rows].astype(np.int64) % pairs
+    other = np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+    rows, shard, block = np.repeat(rows, pairs), np.repeat(shard, pairs), np.repeat(block, pairs).astype(np.int32)
+    return rows, shard, np.minimum(block, other).astype(np.int32), np.maximum(block, other).astype(np.int32), block
+
+
 def _search(classes: DataFrame, size: int, total: int, overlap: int, graph: Graph) -> DataFrame:
     """(kind, a, b): per class `links` found for it, and `edge`s of a spanning forest. All of one length."""
     spark = classes.sparkSession
@@ -276,28 +292,48 @@ def _search(classes: DataFrame, size: int, total: int, overlap: int, graph: Grap
     sample = unit(_matrix(drawn.column("embedding").combine_chunks()))
     centres = spark.sparkContext.broadcast(fit_centres(sample, count))
 
+    def count_members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members = np.zeros(len(centres.value), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                near = nearest_centres(unit(_matrix(batch.column("embedding"))), centres.value, overlap)
+                members += np.bincount(near.ravel(), minlength=len(members))
+        filled = np.flatnonzero(members)
+        yield pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(members[filled])], ["shard", "n"])
+
+    counted = classes.select("embedding").mapInArrow(count_members, "shard int, n long").groupBy("shard").agg(F.sum("n").alias("n"))
+    blocks = np.ones(len(centres.value), np.int64)
+    for row in counted.collect():  # one row per centre
+        if row["n"] > graph.most:
+            blocks[row["shard"]] = -(-2 * row["n"] // graph.most)
+
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = nearest_centres(unit(_matrix(batch.column("embedding"))), centres.value, overlap)
-            width = near.shape[1]
-            rows = np.repeat(np.arange(batch.num_rows), width)
-            ends = np.arange(0, len(rows) * width + 1, width, dtype=np.int32)
-            visits = pa.ListArray.from_arrays(ends, near.astype(np.int32)[rows].ravel())
-            taken = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(near.ravel().astype(np.int32)), visits, *taken.columns], ["shard", "visits", *batch.schema.names])
+            near = nearest_centres(unit(_matrix(batch.column("embedding"))), centres.value, overlap).astype(np.int32)
+            rows, shard, low, high, block = deal(near, batch.column("node").to_numpy(), blocks)
+            for at in range(0, len(rows), 10_000):
+                here = rows[at : at + 10_000]
+                ends = np.arange(0, near.shape[1] * len(here) + 1, near.shape[1], dtype=np.int32)
+                visits = pa.ListArray.from_arrays(ends, near[here].ravel())
+                names = [pa.array(x[at : at + 10_000]) for x in (shard, low, high, block)]
+                yield pa.RecordBatch.from_arrays(
+                    [*names, visits, *batch.take(pa.array(here)).columns], ["shard", "low", "high", "block", "visits", *batch.schema.names]
+                )
 
     kind = classes.schema["embedding"].dataType.simpleString()
     shards = classes.select("node", "weight", "embedding").mapInArrow(
-        assign, f"shard int, visits array<int>, node long, weight long, embedding {kind}"
+        assign, f"shard int, low int, high int, block int, visits array<int>, node long, weight long, embedding {kind}"
     )
 
     def link(table: pa.Table) -> pa.Table:
         units = unit(_matrix(table.column("embedding").combine_chunks()))
         node, weight = table.column("node").to_numpy(), table.column("weight").to_numpy()
+        block = table.column("block").to_numpy()
         visits = table.column("visits").combine_chunks().flatten().to_numpy().reshape(len(units), -1)
         home = visits[:, 0] == table.column("shard")[0].as_py()
+        crossed = table.column("low")[0].as_py() != table.column("high")[0].as_py()
         asks = np.flatnonzero(home)
         union = Union(len(units))
         links = np.zeros(len(units), np.int64)
@@ -305,6 +341,8 @@ def _search(classes: DataFrame, size: int, total: int, overlap: int, graph: Grap
         edges: list[tuple[int, int]] = []
         if len(units) > 1 and len(asks):
             for query, found in shard_links(units, asks, graph):
+                if crossed:  # those of one block meet in a task of their own
+                    found = found[block[found] != block[query]]
                 mutual.add(query, found)
                 guests = found[~home[found]]
                 links[query] += weight[guests].sum()
@@ -321,7 +359,7 @@ def _search(classes: DataFrame, size: int, total: int, overlap: int, graph: Grap
         a, b = np.concatenate([node[linked], node[tail]]), np.concatenate([links[linked], node[head]])
         return pa.table({"kind": pa.array(kinds, pa.string()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return shards.groupBy("shard").applyInArrow(link, "kind string, a long, b long")
+    return shards.groupBy("shard", "low", "high").applyInArrow(link, "kind string, a long, b long")
 
 
 def audit_recall(classes: DataFrame, found: DataFrame, graph: Graph) -> float:

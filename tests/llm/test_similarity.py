@@ -227,3 +227,31 @@ def test_mutual_links_count_once():
     mutual.add(2, np.array([0]))
     mutual.add(3, np.array([0]))
     assert mutual.links(np.array([1, 5, 10, 100])).tolist() == [110, 0, 1, 1]
+
+
+def test_a_large_shard_is_cut_into_blocks(spark):
+    draw = np.random.default_rng(5)
+    tight = draw.normal(size=24) + 0.02 * draw.normal(size=(600, 24))
+    vectors = np.concatenate([tight, clusters(6, 600)]).astype(np.float32)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in near_duplicates(table, Graph(shard=300, leaf=100, most=300)).collect()}
+    units = flat_graph.unit(vectors)
+    exact = (units @ units.T >= 0.95).sum(axis=1) - 1
+    found = np.array([got[k].n_links for k in range(len(vectors))])
+    assert (found <= exact).all() and found.sum() >= 0.98 * exact.sum()
+    assert {got[k].component_id for k in range(600)} == {0}
+
+
+def test_every_pair_of_a_cut_shard_meets_in_one_small_task():
+    near, blocks = np.zeros((900, 1), np.int32), np.array([6])
+    rows, shard, low, high, block = flat_graph.deal(near, np.arange(900), blocks)
+    tasks = {}
+    for row, one, two, own in zip(rows.tolist(), low.tolist(), high.tolist(), block.tolist()):
+        tasks.setdefault((one, two), []).append((row, own))
+    assert len(tasks) == 21 and max(map(len, tasks.values())) <= 400
+    met = np.zeros((900, 900), int)
+    for (one, two), members in tasks.items():
+        for row, own in members:
+            others = [r for r, o in members if r != row and (one == two or o != own)]
+            met[row, others] += 1
+    assert (met + np.eye(900, dtype=int) == 1).all()
