@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm._shared import ship_package, staged
 from tallyhouse.llm.best_fit_packing import pack_documents
-from tallyhouse.llm.line_templates import without_boilerplate
+from tallyhouse.llm.line_templates import Limits, without_boilerplate
 from tallyhouse.llm.ngram_join import ngram_components
 from tallyhouse.llm.quality_rules import keep_good
 from tallyhouse.llm.suffix_dedup import suffix_dedup
@@ -45,7 +45,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines."""
-    return _sized(without_boilerplate(docs))
+    return _sized(without_boilerplate(docs, Limits(strict=True)))
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

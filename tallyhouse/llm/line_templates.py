@@ -38,6 +38,9 @@ class Limits(NamedTuple):
     min_tokens: int = 5
     #: Share of tokens of a template that must be constant.
     min_constant: float = 0.6
+    #: Leave the leading tokens, constant by the leaf, out of `min_constant`, and count a document
+    #: once for all its lines in a constant or a template. The SQL counts both the looser way.
+    strict: bool = False
 
 
 #: Rows (of some 16 to 64 bytes) that are broadcast at most; more are joined by a shuffle.
@@ -87,6 +90,23 @@ def _same(docs: DataFrame, table: DataFrame) -> Column:
     return docs["doc_id"].cast("long").eqNullSafe(table["__id"]) & (docs["__key"] == table["__text_key"])
 
 
+def _in_documents(parts: DataFrame, members: DataFrame, names: list[str], limits: Limits) -> DataFrame:
+    """The `names` in enough documents. `parts`: (leaf, line_hash, n_docs) and `names` of every distinct line."""
+    summed = parts.groupBy(*names).agg(F.sum("n_docs").alias("n"), F.max("n_docs").alias("most")).where(F.col("n") >= limits.min_docs)
+    if not limits.strict:
+        return summed.select(*names)
+    # One line in enough documents settles it; only where it takes several are their documents compared.
+    summed = staged(summed.select(*names, (F.col("most") >= limits.min_docs).alias("sure")), "line-support")
+    unsure = parts.join(summed.where(~F.col("sure")), names).select("line_hash", *names)
+    proven = (
+        unsure.join(members.select("leaf", "line_hash", "id", "key"), ["leaf", "line_hash"])
+        .groupBy(*names)
+        .agg(F.count_distinct("id", "key").alias("n"))
+        .where(F.col("n") >= limits.min_docs)
+    )
+    return staged(summed.where("sure").select(*names).union(proven.select(*names)), "line-support")
+
+
 def recurring_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(id, key, pos, template, template_text) of every line whose template is boilerplate."""
     places = staged(_places(docs, limits), "line-places")
@@ -107,29 +127,21 @@ def recurring_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         .select("leaf", "line_hash", "n_docs", F.split("line", " ").alias("tokens"))
     )
     fields = distinct.select("leaf", "line_hash", "n_docs", F.posexplode("tokens").alias("at", "token"))
-    constant = (
-        fields.where(F.col("token") != VARIABLE)
-        .groupBy("leaf", "at", "token")
-        .agg(F.sum("n_docs").alias("support"))
-        .where(F.col("support") >= limits.min_docs)
-        .select("leaf", "at", "token", F.lit(True).alias("is_constant"))
+    constant = _in_documents(fields.where(F.col("token") != VARIABLE), members, ["leaf", "at", "token"], limits).withColumn(
+        "is_constant", F.lit(True)
     )
+    given = DEPTH if limits.strict else 0
     template = F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda field: field["word"])
     described = (
         fields.join(constant, ["leaf", "at", "token"], "left")
         .withColumn("word", F.when(F.col("is_constant"), F.col("token")).otherwise(F.lit(VARIABLE)))
         .groupBy("leaf", "line_hash")
-        .agg(template.alias("words"), F.first("n_docs").alias("n_docs"), F.count("is_constant").alias("n_constant"))
-        .where(F.col("n_constant") >= F.size("words") * limits.min_constant)
+        .agg(template.alias("words"), F.first("n_docs").alias("n_docs"), F.count(F.when(F.col("at") >= given, F.col("is_constant"))).alias("n_constant"))
+        .where(F.col("n_constant") >= (F.size("words") - given) * limits.min_constant)
         .select("leaf", "line_hash", "n_docs", F.concat_ws(" ", "words").alias("template_text"))
     )
     described = staged(described, "line-templates")
-    shared = (
-        described.groupBy("leaf", "template_text")
-        .agg(F.sum("n_docs").alias("n"))
-        .where(F.col("n") >= limits.min_docs)
-        .select("leaf", "template_text")
-    )
+    shared = _in_documents(described, members, ["leaf", "template_text"], limits)
     boilerplate = described.join(shared, ["leaf", "template_text"]).select(
         "leaf", "line_hash", "template_text", F.xxhash64("leaf", "template_text").alias("template")
     )

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from tallyhouse.llm.license_scan import MARKERS, PARTS, SENTENCES, license_scan_sql, scan_licenses
-from tallyhouse.llm.line_templates import line_dedup_sql, line_report, without_boilerplate
+from tallyhouse.llm.line_templates import Limits, line_dedup_sql, line_report, without_boilerplate
 from tests.llm.brute import documents, prose
 
 MENU = "Home About Contact Search our site"
@@ -168,3 +168,19 @@ def test_both_run_without_python(spark):
     for df in (line_report(documents(spark, LINES)), scan_licenses(documents(spark, LICENSES))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_strict_templates_keep_unlike_lines(spark):
+    rows = [(1, "He went to the store"), (2, "He went to bed early"), (3, "He went to his house")]
+    rows += [(4, "\n".join(f"The price of our {x} is low today" for x in ("tea", "rice", "salt", "corn")))]
+    rows += [(10, f"{prose(7, 9)}\n{MENU}"), (11, MENU), (12, f"{MENU}\n{prose(8, 9)}")]
+    rows += [(20 + k, f"{prose(20 + k, 9)}\nThis post was written by {x} for our daily paper") for k, x in enumerate(("Ann", "Bob", "Cy"))]
+    # Two lines of one document and one of another are two documents.
+    rows += [(30, "Here is what we sell now\nHere is what we sell today"), (31, "Here is what we sell here"), (32, "Here is what they buy there")]
+    kept = {r.doc_id: r.text for r in without_boilerplate(documents(spark, rows), Limits(strict=True)).collect()}
+    given = dict(rows)
+    same = [1, 2, 3, 4, 10, 20, 30, 31, 32]
+    assert {i: kept.get(i) for i in same} == {i: given[i] for i in same}
+    assert 11 not in kept and kept[12] == prose(8, 9) and kept[21] == prose(21, 9) and kept[22] == prose(22, 9)
+    loose = {r.doc_id: r.n_dropped for r in line_report(documents(spark, rows)).collect()}
+    assert loose[2] == loose[3] == loose[30] == loose[31] == 1
