@@ -61,6 +61,32 @@ FLAT_GRAPH = """
     FROM c LEFT JOIN k USING (vec_id)
 """
 
+SPELLING_GROUPS = f"""
+    WITH RECURSIVE d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS r FROM documents),
+    o AS (SELECT doc_id, r, count(*) AS c FROM d WHERE length(r) >= 5 GROUP BY ALL),
+    t AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+              lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i))),
+    b AS (SELECT *, concat(doc_id, ':', r) AS s FROM o),
+    y AS (SELECT doc_id, r, c, list_prepend(4294967295, flatten(list_transform(string_split(s, ''),
+              lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)::BIGINT[][])) AS y FROM b),
+    h AS (SELECT doc_id, r, c, xor(list_reduce(y, lambda a, x: xor(t.t[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) AS h FROM y, t),
+    w AS (SELECT word, sum(c)::BIGINT AS n FROM (SELECT c, CASE WHEN doc_id IS NOT NULL AND h % 97 = 0
+              THEN left(r, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word FROM h)
+          WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+    x AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w),
+    e AS (SELECT word, left(word, i - 1) || substr(word, i + 1) AS less, left(word, i - 1) || '*' || substr(word, i + 1) AS wild FROM x),
+    p AS (SELECT a.word AS a, b.word AS b FROM e a JOIN e b ON a.wild = b.wild AND a.word <> b.word
+          UNION SELECT e.word, w.word FROM e JOIN w ON w.word = e.less
+          UNION SELECT w.word, e.word FROM e JOIN w ON w.word = e.less),
+    q AS (SELECT p.a, w.word AS b, w.n, row_number() OVER (PARTITION BY p.a ORDER BY w.n DESC, encode(w.word)) AS place,
+                 count(*) OVER (PARTITION BY p.a) AS n_near FROM p JOIN w ON w.word = p.b),
+    f AS (SELECT w.word, w.n, coalesce(q.n_near, 0) AS n_near, CASE WHEN q.n >= 2 * w.n THEN q.b END AS form,
+                 CASE WHEN q.n >= 2 * w.n THEN q.n END AS form_n FROM w LEFT JOIN q ON q.a = w.word AND q.place = 1),
+    g(word, root) AS (SELECT word, word FROM f WHERE form IS NULL UNION ALL SELECT f.word, g.root FROM g JOIN f ON f.form = g.word)
+    SELECT f.word, f.form, g.root, f.n, f.n_near, f.form_n FROM f JOIN g USING (word)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_join": NGRAM_JOIN,
     "op4_line_templates": line_dedup_sql(),
@@ -68,4 +94,5 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": license_scan_sql(),
     "op8_suffix_dedup": SUFFIX_DEDUP,
     "op10_flat_graph": FLAT_GRAPH,
+    "op13_spelling_trie": SPELLING_GROUPS,
 }
