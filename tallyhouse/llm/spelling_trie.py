@@ -10,9 +10,9 @@ nodes have few children; the other half is the later half of the word read backw
 state that ends at the end of another word with one edit makes the two neighbours; the
 pair counts for both.
 
-Every level is written to the shared folder and read back. Nodes have one row per
-level (their edges are an array no longer than the alphabet), sent to all tasks while their
-measured size is small, and joined by shuffle with hot nodes split beyond that.
+Every level is written to the shared folder and read back. The edges of a level are sent to
+all tasks while their measured size is small, and joined by shuffle with hot nodes split
+beyond that.
 
 Defined results: null and empty texts have no words. A row without `doc_id` has no hash, so
 its runs stay whole. Repeated rows count each time. Of near words equally frequent the
@@ -37,8 +37,9 @@ from tallyhouse.llm._shared import slices, staged
 from tallyhouse.operators.skew import join_unique
 from tallyhouse.sources.storage import Stored, TableStore
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
+#: A run in lower-cased UTF-8: À to ÿ are C3 and one byte more, and no other character has a C3 in front.
+_RUN = re.compile(rb"(?:[a-z]+|\xc3[\x80-\xbf])+")
+_GAP = re.compile(rb"[^a-z\x80-\xff]")
 
 
 class Words(NamedTuple):
@@ -52,61 +53,65 @@ class Words(NamedTuple):
 
 #: Distinct runs counted before a task hands them on, and bytes of them.
 HELD, HELD_BYTES = 200_000, 16 << 20
-#: Characters of a text looked at in one go.
+#: Bytes of a text looked at in one go.
 PIECE = 1 << 20
-#: A level's nodes are sent to all tasks up to this many edges and bytes of their labels.
-SENT_EDGES, SENT_BYTES = 100_000, 4 << 20
+#: A level's edges are sent to all tasks up to this many of them and bytes of their labels: some 30 MB.
+SENT_EDGES, SENT_BYTES = 300_000, 8 << 20
 
 
-def _pieces(text: str) -> Iterator[str]:
-    """The text in pieces of about `PIECE` characters; a run is never cut."""
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """The text in pieces of about `PIECE` bytes; a run is never cut."""
     start = 0
-    while len(text) - start > PIECE:
-        end = start + PIECE
-        gap = re.compile("[^A-Za-zÀ-ÿ]").search(text, end)
-        end = len(text) if gap is None else gap.start()
-        yield text[start:end]
+    while len(data) - start > PIECE:
+        gap = _GAP.search(data, start + PIECE)
+        end = len(data) if gap is None else gap.start()
+        yield data[start:end]
         start = end
-    yield text[start:]
+    yield data[start:]
 
 
-def damaged(doc_id: int | None, run: str, words: Words) -> str:
-    """The run, without one code point if its hash says so."""
-    if doc_id is None:
-        return run
-    h = zlib.crc32(f"{doc_id}:{run}".encode())
-    if h % words.damage:
-        return run
-    at = h % len(run)
-    return run[:at] + run[at + 1 :]
+def damaged(run: bytes, h: int) -> bytes:
+    """The run without the code point that its hash names."""
+    text = run.decode()
+    at = h % len(text)
+    return (text[:at] + text[at + 1 :]).encode()
+
+
+def words_of(doc_id: int | None, text: str, rules: Words) -> Iterator[tuple[bytes, int]]:
+    """The words of one text, each run with the number of times it occurs."""
+    runs: Counter[bytes] = Counter()
+    for piece in _pieces(text.encode("utf-8", "surrogatepass").lower()):  # of bytes, only A-Z are lower-cased
+        runs.update(_RUN.findall(piece))
+    start = None if doc_id is None else zlib.crc32(f"{doc_id}:".encode())
+    least, every = rules.min_length, rules.damage
+    for run, n in runs.items():
+        if len(run) < least:
+            continue
+        if start is not None and not (h := zlib.crc32(run, start)) % every:
+            run = damaged(run, h)
+        if len(run) - run.count(b"\xc3") >= least:
+            yield run, n
 
 
 def word_counts(docs: DataFrame, words: Words = Words()) -> DataFrame:
     """(word, n) of all words long and frequent enough; counted in the tasks before they are shuffled."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
+        held: dict[bytes, int] = {}
         held_bytes = 0
 
         def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_pydict({"word": pa.array(held.keys(), pa.string()), "n": pa.array(held.values(), pa.int64())})
+            found = [pa.array(held.keys(), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())]
             held.clear()
-            return batch
+            return pa.RecordBatch.from_arrays(found, ["word", "n"])
 
         for batch in slices(batches, "text"):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                if not text:
-                    continue
-                runs: Counter[str] = Counter()
-                for piece in _pieces(text):
-                    runs.update(_RUN.findall(piece.translate(_LOWER)))
-                for run, n in runs.items():
-                    if len(run) < words.min_length:
-                        continue
-                    word = damaged(doc_id, run, words)
-                    if len(word) >= words.min_length:
-                        held_bytes += 0 if word in held else 2 * len(word)
-                        held[word] += n
+                for word, n in words_of(doc_id, text or "", words):
+                    before = held.get(word)
+                    if before is None:
+                        held_bytes += 2 * len(word)
+                    held[word] = n + (before or 0)
                 if len(held) > HELD or held_bytes > HELD_BYTES:
                     yield flush()
                     held_bytes = 0
@@ -165,13 +170,13 @@ def _advance(joined: DataFrame) -> DataFrame:
     An edit is where word and label first differ. Leaving out any of a run of equal
     characters gives the same word, and only the last of them differs from what follows.
     """
-    rest, label, size = F.col("rest"), F.col("label"), F.length("label")
+    rest, label, size = F.col("rest"), F.col("label"), F.col("size")
     straight = F.startswith(rest, label)
     # Where the first characters differ, as they mostly do, nothing has to be searched.
-    shared = F.when(_character(rest, 1) != _character(label, 1), F.lit(0)).otherwise(_common(rest, label))
+    shared = F.when(F.col("first") != F.col("way"), F.lit(0)).otherwise(_common(rest, label))
     on = joined.withColumn("m", F.when(~straight & (F.col("edits") == 0), shared))
     m = F.col("m")
-    may_edit = m.isNotNull() & (m < size) & (F.col("length") - F.length(rest) + m >= F.col("first_edit"))
+    may_edit = m.isNotNull() & (m < size) & (F.col("position") + m >= F.col("first_edit"))
     tail = _after(label, m + 1)
     longer = F.length(rest) >= size
     replaced = (
@@ -205,21 +210,22 @@ def _met(states: DataFrame) -> DataFrame:
     return arrived.select("level", "node", F.col("word").alias("a")).join(ends, ["level", "node"]).select("a", "b")
 
 
-def _join_edges(states: DataFrame, stored: Stored, label_bytes: int) -> DataFrame:
-    """Every state with every edge of its node."""
-    edge = F.struct(_character(F.col("label"), 1).alias("way"), F.struct("label", "child", "lengths").alias("edge"))
-    # A node has as many edges as the alphabet has letters.
-    edges = F.map_from_entries(F.collect_list(edge))
-    nodes = stored.df.groupBy("node").agg(edges.alias("edges"), F.max(F.length("label")).alias("longest"))
-    if stored.rows <= SENT_EDGES and label_bytes <= SENT_BYTES:
-        joined = states.join(F.broadcast(nodes), "node")
+def _join_edges(states: DataFrame, edges: Stored, label_bytes: int) -> DataFrame:
+    """Every state with the edge of its node that goes straight on, or, where an edit is still allowed, with any.
+
+    A node has as many edges as the alphabet has letters, so states do not multiply without bound.
+    """
+    # What the condition needs is worked out once per state and once per edge, not for every two of them.
+    on_way = states.where(F.length("rest") > 0).withColumns(
+        {"first": _character(F.col("rest"), 1), "position": F.col("length") - F.length("rest")}
+    )
+    ways = edges.df.withColumns({"way": _character(F.col("label"), 1), "size": F.length("label")})
+    if edges.rows <= SENT_EDGES and label_bytes <= SENT_BYTES:
+        joined = on_way.join(F.broadcast(ways), "node")
     else:
-        joined = join_unique(states, nodes, "node", ["word", "rest"], "inner")
-    # Only the edge that goes straight on, or, where an edit is still allowed, any.
-    open_to = (F.col("edits") == 0) & (F.col("length") - F.length("rest") + F.col("longest") > F.col("first_edit"))
-    straight = F.array_compact(F.array(F.try_element_at("edges", _character(F.col("rest"), 1))))
-    useful = F.when(open_to, F.map_values("edges")).otherwise(straight)
-    return joined.where(F.length("rest") > 0).select(*states.columns, F.inline(useful))
+        joined = join_unique(on_way, ways, "node", ["word", "rest"], "inner")
+    may_edit = (F.col("edits") == 0) & (F.col("position") + F.col("size") > F.col("first_edit"))
+    return joined.where((F.col("first") == F.col("way")) | may_edit)
 
 
 def near_pairs(words: DataFrame, store: TableStore) -> DataFrame:
