@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import CURRENCY_DECIMALS, ENTITY_MEASURES
@@ -35,7 +35,11 @@ def dim_date(silver: dict[str, DataFrame], max_days: int = MAX_DAYS) -> DataFram
     """
     bounds = date_bounds(silver).select(F.unix_date("min_d").alias("low"), F.unix_date("max_d").alias("high")).first()
     spark = next(iter(silver.values())).sparkSession
-    low, high = (0, -1) if bounds["low"] is None else (bounds["low"], bounds["high"])
+    return calendar(spark, *((0, -1) if bounds["low"] is None else (bounds["low"], bounds["high"])), max_days)
+
+
+def calendar(spark: SparkSession, low: int, high: int, max_days: int = MAX_DAYS) -> DataFrame:
+    """One row per day from day `low` to day `high` of 1970."""
     if high - low >= max_days:
         raise ValueError(
             f"the calendar would span {high - low + 1} days, from day {low} to day {high} of 1970:"
@@ -103,9 +107,34 @@ def _coded() -> dict:
     return _CODED
 
 
+def _codes(name: str, rows: DataFrame) -> DataFrame:
+    _, column, code, _, _ = _coded()[name]
+    return rows.select(F.col(column).alias(code)).where(F.col(code).isNotNull()).distinct()
+
+
+def _described(name: str, keyed: DataFrame) -> DataFrame:
+    _, _, code, key, attributes = _coded()[name]
+    return keyed.select(key, code, *(value.alias(label) for label, value in attributes.items()))
+
+
 def coded_dimension(name: str, silver: dict[str, DataFrame], store: TableStore) -> Stored:
     """Distinct non-null values of one column, keyed and described. The row count is known from writing it."""
-    entity, column, code, key, attributes = _coded()[name]
-    values = silver[entity].select(F.col(column).alias(code)).where(F.col(code).isNotNull()).distinct()
-    keyed = with_dense_key(values, code, key, store, f"keys/{name}", "int")
-    return keyed._replace(df=keyed.df.select(key, code, *(value.alias(label) for label, value in attributes.items())))
+    entity, _, code, key, _ = _coded()[name]
+    keyed = with_dense_key(_codes(name, silver[entity]), code, key, store, f"keys/{name}", "int")
+    return keyed._replace(df=_described(name, keyed.df))
+
+
+def entity_of(name: str) -> str:
+    """The entity whose codes a dimension lists."""
+    return _coded()[name][0]
+
+
+def added_codes(name: str, changed: DataFrame, known: DataFrame, last_key: int, store: TableStore) -> Stored:
+    """Rows for codes of `changed` that the dimension `known` lacks, with the keys after `last_key`.
+
+    Codes that no longer occur keep their rows, so a key never changes its meaning.
+    """
+    _, _, code, key, _ = _coded()[name]
+    unknown = _codes(name, changed).join(known.select(code), code, "left_anti")
+    keyed = with_dense_key(unknown, code, key, store, f"keys/added_{name}", "int")
+    return keyed._replace(df=_described(name, keyed.df.withColumn(key, F.col(key) + F.lit(last_key))))

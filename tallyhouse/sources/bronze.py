@@ -63,14 +63,26 @@ def known_schemas(spark: SparkSession, folder: str) -> dict[str, StructType]:
 
 
 def read_loads(spark: SparkSession, path: str, schemas: Mapping[str, StructType]) -> DataFrame:
-    """All loads, whatever columns each had: one scan per schema, prunable by load date.
+    """All loads, whatever columns each had: one scan per layout and schema, prunable by load date.
 
-    A column that a load lacks is null there. Where loads disagree on a type, times come
-    as zoned timestamps and all else as text, which cleaning casts to the published type.
+    Loads written before folders were told apart by schema lie straight under their date;
+    they are one scan more. A column that a load lacks is null there. Where loads disagree
+    on a type, times come as zoned timestamps and all else as text, which cleaning casts to
+    the published type. Without any load there are no rows.
     """
+
+    def found(folders: str, schema: StructType | None = None) -> DataFrame | None:
+        reader = spark.read.option("basePath", path)
+        return if_present(lambda: (reader if schema is None else reader.schema(schema)).parquet(f"{path}/{PARTITION}=*/{folders}"))
+
+    scans = [found(f"{SCHEMA_PARTITION}={name}", schema) for name, schema in sorted(schemas.items())] + [found("*.parquet")]
+    loads = [scan.drop(SCHEMA_PARTITION) for scan in scans if scan is not None]
+    if not loads:
+        nothing = [spark.createDataFrame([], schema).withColumn(PARTITION, F.lit(None).cast("date")) for schema in schemas.values()]
+        return union_by_name(nothing)
     kinds: dict[str, set] = {}
-    for schema in schemas.values():
-        for field in schema:
+    for load in loads:
+        for field in load.schema:
             kinds.setdefault(field.name, set()).add(field.dataType)
 
     def agreed(name: str) -> Column:
@@ -79,11 +91,7 @@ def read_loads(spark: SparkSession, path: str, schemas: Mapping[str, StructType]
             return F.col(name)
         return F.col(name).cast("timestamp" if kinds[name] <= times else StringType())
 
-    parts = []
-    for name, schema in sorted(schemas.items()):
-        rows = spark.read.schema(schema).parquet(path).where(F.col(SCHEMA_PARTITION) == name)
-        parts.append(_zoned_load_time(rows.select(*(agreed(f.name).alias(f.name) for f in schema), PARTITION)))
-    return union_by_name(parts)
+    return union_by_name([_zoned_load_time(load.select(*(agreed(name).alias(name) for name in load.columns))) for load in loads])
 
 
 def _zoned_load_time(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import GOLD_TABLES
@@ -18,8 +18,8 @@ CLUSTERING = {
 MONTH = "year_month"
 
 
-def _month(day_key: str):
-    return F.floor(F.col(day_key) / 100).cast("int")
+def month_of(day_key: Column | str) -> Column:
+    return F.floor((F.col(day_key) if isinstance(day_key, str) else day_key) / 100).cast("int")
 
 
 def clustered(df: DataFrame, table: str) -> DataFrame:
@@ -30,7 +30,7 @@ def clustered(df: DataFrame, table: str) -> DataFrame:
     """
     day_key, merchant_key = CLUSTERING[table]
     order = [MONTH, day_key, merchant_key, GOLD_TABLES[table][0].name]
-    return df.withColumn(MONTH, _month(day_key)).repartitionByRange(*order).sortWithinPartitions(*order)
+    return df.withColumn(MONTH, month_of(day_key)).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def write_dimension(df: DataFrame, path: str) -> int:

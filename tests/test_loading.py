@@ -11,7 +11,7 @@ from tallyhouse.operators.standardize import standardize
 from tallyhouse.plans.bronze_load import BronzeLoader
 from tallyhouse.plans.daily_run import gold_from_silver, publish_stored, run
 from tallyhouse.sources.audit import audit_frame, audit_row, loaded_records
-from tallyhouse.sources.bronze import add_audit_columns, read_bronze, read_parts, union_by_name
+from tallyhouse.sources.bronze import add_audit_columns, append_bronze, read_bronze, read_loads, read_parts, schema_name, union_by_name
 from tallyhouse.sources.jdbc import bounds_query, jdbc_options
 from tallyhouse.sources.sample_tables import ENTITIES
 from tallyhouse.sources.state import LoadState
@@ -261,6 +261,19 @@ def test_only_temporary_stores_can_be_dropped(spark, store):
         store.drop()
 
 
+def test_loads_of_the_old_layout_are_read_beside_new_ones(spark, store):
+    """Loads once lay straight under their date, without a folder for their schema."""
+    path, old = store.path("mixed"), items(spark, (1, D[0]), (2, D[1])).selectExpr("string(id) AS id", "date")
+    old.withColumn("load_date", F.lit("2024-01-01")).write.partitionBy("load_date").parquet(path)
+    new = items(spark, (3, D[1]), (4, D[2]), (5, None)).withColumn("extra", F.lit("x"))
+    append_bronze(new, path, dt.date(2024, 1, 2))
+    found = read_loads(spark, path, {schema_name(new.schema): new.schema})
+    assert rows(found.select("id", "extra")) == [("1", None), ("2", None), ("3", "x"), ("4", "x"), ("5", "x")]
+    assert found.where("load_date = '2024-01-02'").count() == 3
+    nothing = read_loads(spark, store.path("none"), {schema_name(new.schema): new.schema})
+    assert nothing.count() == 0 and nothing.columns == ["id", "date", "extra", "load_date"]
+
+
 def test_full_run(spark, store):
     lake = store.path("lake")
 

@@ -367,6 +367,21 @@ ORACLE: dict[str, str] = {
     "contract_fact_refund": _gold(
         "SELECT " + ", ".join(f"{f.name} AS {f.name.upper()}" for f in GOLD_TABLES["fact_refund"]) + " FROM fact_refund"
     ),
+    "refreshed_fact_transaction": _gold(
+        "SELECT f.* EXCLUDE (transaction_key, merchant_key, currency_key, status_key), m.merchant_id AS dim_merchant_code,"
+        " c.currency_code AS dim_currency_code, s.status_code AS dim_transaction_status_code FROM fact_transaction f"
+        " LEFT JOIN dim_merchant m USING (merchant_key) LEFT JOIN dim_currency c USING (currency_key)"
+        " LEFT JOIN dim_transaction_status s USING (status_key)"
+    ),
+    "refreshed_fact_refund": _gold(
+        "SELECT f.* EXCLUDE (refund_key, merchant_key, refund_reason_key), m.merchant_id AS dim_merchant_code,"
+        " r.reason_code AS dim_refund_reason_code FROM fact_refund f"
+        " LEFT JOIN dim_merchant m USING (merchant_key) LEFT JOIN dim_refund_reason r USING (refund_reason_key)"
+    ),
+    "refreshed_transaction_keys": _silver(
+        "SELECT transaction_id, row_number() OVER (ORDER BY coalesce(transaction_date < DATE '1997-07-01', false) DESC, transaction_id)"
+        " AS transaction_key FROM tx"
+    ),
     "contract_fact_transaction": _gold(
         "SELECT " + ", ".join(f"{f.name} AS {f.name.upper()}" for f in GOLD_TABLES["fact_transaction"]) + " FROM fact_transaction"
     ),

@@ -25,10 +25,11 @@ from tallyhouse.operators.reconcile import rollup
 from tallyhouse.operators.standardize import standardize
 from tallyhouse.plans import reports
 from tallyhouse.plans.dimensions import date_bounds, implausible_dates
+from tallyhouse.plans.refresh import refresh
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources import sample_tables
 from tallyhouse.sources.audit import audit_frame, audit_row, loaded_records
-from tallyhouse.sources.bronze import add_audit_columns, union_by_name
+from tallyhouse.sources.bronze import PARTITION, add_audit_columns, append_bronze, read_loads, schema_name, union_by_name
 from tallyhouse.sources.storage import TableStore, observed_write
 from tallyhouse.streaming.file_ingest import append_available, drop_repeats, file_stream
 
@@ -51,6 +52,10 @@ SLICERS = {
     "risks": ["NORMAL", "HIGH_REFUND", "CHARGEBACK"],
 }
 
+#: Rows dated earlier come with the first load, all others with the second.
+SECOND_LOAD = date(1997, 7, 1)
+
+_LAKES: dict[tuple[str, str], str] = {}
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -77,6 +82,23 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
 def forget_warehouses() -> None:
     """Make the next query build its layers anew."""
     _WAREHOUSES.clear()
+    _LAKES.clear()
+
+
+def refreshed_lake(spark: SparkSession, folder: str) -> str:
+    """A lake built from a first load and refreshed from a second one."""
+    place = (spark.sparkContext.applicationId, folder)
+    if place not in _LAKES:
+        lake = TableStore(spark).path("lake")
+        for early in (True, False):
+
+            def source(entity: str, early: bool = early) -> DataFrame:
+                rows = _raw(spark, folder, entity)
+                return rows.where(F.col("date") < F.lit(SECOND_LOAD)) if early else rows
+
+            refresh(spark, source, lake, SOURCE_SYSTEM, buckets=8)
+        _LAKES[place] = lake
+    return _LAKES[place]
 
 
 def _report(build: Callable[..., DataFrame], **options) -> Query:
@@ -117,12 +139,16 @@ def _orphans(entity: str) -> Query:
 
 
 def _scan_bronze_union(spark: SparkSession, folder: str) -> DataFrame:
-    """Two loads with different columns: filled orders came without a priority."""
+    """Two loads with different columns and layouts: filled orders came without a priority, before folders named a schema."""
     orders = sample_tables.table(spark, folder, "orders").select(
         "o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "o_orderpriority"
     )
-    filled = F.col("o_orderstatus").eqNullSafe("F")
-    return union_by_name([orders.where(~filled), orders.where(filled).drop("o_orderpriority")])
+    filled, path = F.col("o_orderstatus").eqNullSafe("F"), TableStore(spark).path("bronze/orders")
+    old = orders.where(filled).drop("o_orderpriority").withColumn(PARTITION, F.lit("2024-02-01"))
+    old.write.mode("append").partitionBy(PARTITION).parquet(path)
+    new = orders.where(~filled)
+    append_bronze(new, path, date(2024, 2, 2))
+    return read_loads(spark, path, {schema_name(new.schema): new.schema}).drop(PARTITION)
 
 
 def _audit_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -217,6 +243,30 @@ def _slice_null_watermarks(spark: SparkSession, folder: str) -> DataFrame:
     return newer_rows(sample_tables.table(spark, folder, "orders").withColumn("o_orderdate", undated), ORDERS, ORDERS_AT)
 
 
+def _refreshed(fact: str, dims: dict[str, str], drop: str) -> Query:
+    """A refreshed fact with codes in place of the keys that depend on the order of arrival."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        lake = refreshed_lake(spark, folder)
+        rows = spark.read.parquet(f"{lake}/gold/{fact}").drop(drop, "year_month")
+        for dim, code in dims.items():
+            stored = spark.read.parquet(f"{lake}/gold/{dim}")
+            key = next(name for name in stored.columns if name.endswith("_key"))
+            rows = rows.join(stored.select(key, F.col(code).alias(f"{dim}_code")), key, "left").drop(key)
+        return rows
+
+    return query
+
+
+def _refreshed_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{refreshed_lake(spark, folder)}/gold/fact_transaction").select("transaction_id", "transaction_key")
+
+
+REFRESHED_DIMS = {
+    "fact_transaction": {"dim_merchant": "merchant_id", "dim_currency": "currency_code", "dim_transaction_status": "status_code"},
+    "fact_refund": {"dim_merchant": "merchant_id", "dim_refund_reason": "reason_code"},
+}
+
 QUERIES: dict[str, Query] = {
     # Sources and raw layer
     "scan_transactions": lambda spark, folder: _raw(spark, folder, "transactions"),
@@ -267,6 +317,10 @@ QUERIES: dict[str, Query] = {
     "contract_fact_transaction_decimal": _contract("fact_transaction", decimal_money=True),
     "contract_violations": lambda spark, folder: contract_violations(warehouse(spark, folder).gold_tables()),
     "row_counts": _report(reports.row_counts, tables=tuple(GOLD_TABLES)),
+    # A first load and a refresh from a second one
+    "refreshed_fact_transaction": _refreshed("fact_transaction", REFRESHED_DIMS["fact_transaction"], "transaction_key"),
+    "refreshed_fact_refund": _refreshed("fact_refund", REFRESHED_DIMS["fact_refund"], "refund_key"),
+    "refreshed_transaction_keys": _refreshed_keys,
     # Reports
     "risk_summary": _report(reports.risk_summary),
     "vw_executive_summary": _report(reports.executive_summary),
