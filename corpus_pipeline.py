@@ -20,12 +20,16 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm._shared import ship_package, staged
 from tallyhouse.llm.best_fit_packing import pack_documents
-from tallyhouse.llm.line_templates import Limits, without_boilerplate
-from tallyhouse.llm.ngram_join import ngram_components
+from tallyhouse.llm.line_templates import without_boilerplate
+from tallyhouse.llm.ngram_join import Similarity, ngram_components
 from tallyhouse.llm.quality_rules import keep_good
 from tallyhouse.llm.suffix_dedup import suffix_dedup
 
 
+#: Near copies: sets of five-word shingles with at least four fifths of their union in common.
+NEAR = Similarity(words=5, percent=80)
+
+
 def _sized(docs: DataFrame) -> DataFrame:
     """`n_chars` as the length of the text, where the column is there."""
     if "n_chars" not in docs.columns:
@@ -45,13 +49,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines."""
-    return _sized(without_boilerplate(docs, Limits(strict=True)))
+    return _sized(without_boilerplate(docs))
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest `doc_id`."""
     ship_package(spark)
-    copies = ngram_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    copies = ngram_components(docs, NEAR).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(copies, docs["doc_id"] == copies["doc_id"], "left_anti")
 
 
