@@ -80,20 +80,6 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         "licensed under the gnu general public license version 2",
         "released under the gnu general public license version 2",
     ),
-    "gpl3-grant": (
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
-        "license as published by the free software foundation either version 3 of the license or at your option any later "
-        "version",
-    ),
-    "gpl2-grant": (
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
-        "license as published by the free software foundation either version 2 of the license or at your option any later "
-        "version",
-    ),
-    "gpl-hope": (
-        "this program is distributed in the hope that it will be useful but without any warranty without even the implied "
-        "warranty of merchantability or fitness for a particular purpose",
-    ),
     "gpl-details": ("see the gnu general public license for more details",),
     "lgpl-notice": (
         "licensed under the gnu lesser general public license version 3",
@@ -104,13 +90,38 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         "this work is licensed under the gnu affero general public license version 3",
     ),
     "mpl-notice": (
-        "this source code form is subject to the terms of the mozilla public license v 2 0",
         "licensed under the mozilla public license version 2 0",
     ),
     "bsd-grant": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the "
         "following conditions are met",
     ),
+    "bsd-source": (
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following "
+        "disclaimer",
+    ),
+    "bsd-binary": (
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+        "disclaimer in the documentation and or other materials provided with the distribution",
+    ),
+    "bsd-endorse": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission",
+    ),
+    "isc-grant": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        "permission to use copy modify and distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "epl2-notice": (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 "
+        "which is available at https www eclipse org legal epl 2 0",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 "
+        "which is available at http www eclipse org legal epl 2 0",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license v2 0 "
+        "which accompanies this distribution and is available at https www eclipse org legal epl v20 html",
+    ),
     "bsd-notice": (
         "released under the bsd license",
         "licensed under the bsd license",
@@ -142,18 +153,18 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("mit-notice", "mit-grant", "mit-condition", "mit-warranty", "mit-liability")),
     ("MIT", ("mit-grant", "mit-condition", "mit-warranty", "mit-liability")),
     ("Apache-2.0", ("apache-notice", "apache-compliance", "apache-copy", "apache-basis", "apache-limits")),
-    ("GPL-3.0-or-later", ("gpl3-grant", "gpl-hope", "gpl-details")),
-    ("GPL-2.0-or-later", ("gpl2-grant", "gpl-hope", "gpl-details")),
     ("MIT", ("mit-grant",)),
     ("MIT", ("mit-notice",)),
     ("Apache-2.0", ("apache-notice",)),
-    ("GPL-3.0-or-later", ("gpl3-grant",)),
-    ("GPL-2.0-or-later", ("gpl2-grant",)),
     ("GPL-3.0", ("gpl3-notice",)),
     ("GPL-2.0", ("gpl2-notice",)),
     ("LGPL-3.0", ("lgpl-notice",)),
     ("AGPL-3.0", ("agpl-notice",)),
     ("MPL-2.0", ("mpl-notice",)),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("ISC", ("isc-grant",)),
+    ("EPL-2.0", ("epl2-notice",)),
     ("BSD", ("bsd-grant",)),
     ("BSD", ("bsd-notice",)),
     ("CC0-1.0", ("cc0-notice",)),
@@ -203,6 +214,20 @@ PARTS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Names that a licence goes by after the words "SPDX-License-Identifier".
+SPDX = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0",
+    "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+    "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0",
+    "Unlicense", "Zlib",
+)
+
+#: The words that announce such a name, and the names; a name means a licence only after them.
+NAMES: dict[str, tuple[str, ...]] = {"spdx": ("spdx license identifier",)} | {
+    f"spdx-{name.lower()}": (name.lower().replace("-", " ").replace(".", " "),) for name in SPDX
+}
+
+
 def _part_rules() -> tuple[tuple[str, tuple[str, ...]], ...]:
     grants = (
         ("GPL-2.0-or-later", ("gpl-terms", "version2-later"), "gpl-details"),
@@ -226,10 +251,15 @@ def _part_rules() -> tuple[tuple[str, tuple[str, ...]], ...]:
     return tuple(sorted(rules, key=lambda rule: -len(rule[1])))
 
 
-#: Rules with parts; they come before the others.
-PART_RULES = _part_rules()
+#: All rules in order: names, parts, whole sentences. The names without "only" stand for themselves, as in `RULES`.
+ALL_RULES = (
+    *((name.removesuffix("-only"), ("spdx", f"spdx-{name.lower()}")) for name in SPDX),
+    *_part_rules(),
+    *RULES,
+)
+KNOWN = SENTENCES | PARTS | NAMES
 
-#: Every known sentence and part has at least one of these.
+#: Every known sentence and part, and the words before a name, has at least one of these.
 MARKERS = (
     "licen", "permission", "copyright", "provided as is", "redistribution", "rights reserved", "unencumbered",
     "without any warranty", "under cc", "is free software", "implied warranty", "mozilla",
@@ -244,7 +274,7 @@ def _normal(sentence: Column) -> Column:
 
 
 def _known() -> Column:
-    pairs = [F.lit(x) for identifier, forms in (SENTENCES | PARTS).items() for form in forms for x in (form, identifier)]
+    pairs = [F.lit(x) for identifier, forms in KNOWN.items() for form in forms for x in (form, identifier)]
     return F.create_map(*pairs)
 
 
@@ -266,18 +296,19 @@ def _flat_markers(text: Column) -> Column:
 
 
 def _identifiers(text: Column) -> Column:
-    """One entry per sentence and, for a sentence over lines that is not a part, per line: its identifier or null."""
+    """One entry per sentence and, for an unknown sentence over lines, per line with a word: its identifier or null."""
     sentences = F.split(F.regexp_replace(text, _END, "$1\u0001"), "\u0001")
     known = _known()
-    parts = [form for forms in PARTS.values() for form in forms]
-    by_line = F.transform(
+
+    def by_line(sentence: Column) -> Column:
+        lines = F.transform(F.split(sentence, "\n"), lambda line: _normal(line))
+        return F.concat(F.array(_normal(sentence)), F.filter(lines, lambda line: line != ""))
+
+    entries = F.transform(
         sentences,
-        lambda s: F.when(
-            F.contains(s, F.lit("\n")) & ~_normal(s).isin(parts),
-            F.concat(F.array(_normal(s)), F.transform(F.split(s, "\n"), lambda line: _normal(line))),
-        ).otherwise(F.array(_normal(s))),
+        lambda s: F.when(F.contains(s, F.lit("\n")) & F.try_element_at(known, _normal(s)).isNull(), by_line(s)).otherwise(F.array(_normal(s))),
     )
-    return F.transform(F.flatten(by_line), lambda s: F.try_element_at(known, s))
+    return F.transform(F.flatten(entries), lambda s: F.try_element_at(known, s))
 
 
 def _sequence(identifiers: Column) -> Column:
@@ -296,7 +327,7 @@ def _sequence(identifiers: Column) -> Column:
 def _matches(sequence: Column) -> Column:
     """`licence` of each rule that matches, in the order of the rules."""
     rules = F.array(
-        *[F.struct(F.lit(licence).alias("licence"), F.lit(";" + ";".join(ids) + ";").alias("ids")) for licence, ids in PART_RULES + RULES]
+        *[F.struct(F.lit(licence).alias("licence"), F.lit(";" + ";".join(ids) + ";").alias("ids")) for licence, ids in ALL_RULES]
     )
     start = F.struct(sequence.alias("left"), F.array().cast("array<string>").alias("found"))
 
@@ -327,33 +358,37 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
 
 def license_scan_sql() -> str:
-    """The same scan as DuckDB SQL over `documents`, but for `PARTS`, which it does not know."""
-    known = ", ".join(f"('{form}', '{name}')" for name, forms in SENTENCES.items() for form in forms)
-    steps, columns = [], []
-    for at, (licence, ids) in enumerate(RULES):
-        wanted = ";" + ";".join(ids) + ";"
-        steps.append(
-            f"r{at + 1} AS (SELECT * REPLACE (replace(rest, '{wanted}', ';#;') AS rest), contains(rest, '{wanted}') AS h{at} FROM r{at})"
-        )
-        columns.append(f"CASE WHEN h{at} THEN '{licence}' END")
+    """The same scan as DuckDB SQL over `documents`."""
+    known = ", ".join(f"('{form}', '{name}')" for name, forms in KNOWN.items() for form in forms)
+    rules = ", ".join(f"{{'licence': '{licence}', 'ids': ';{';'.join(ids)};'}}" for licence, ids in ALL_RULES)
+    marked = " OR ".join(f"contains({'flat' if ' ' in marker else 'low'}, '{marker}')" for marker in MARKERS)
     return f"""
-        WITH known(form, name) AS (VALUES {known}),
+        WITH RECURSIVE known(form, name) AS (VALUES {known}),
+        rules AS (SELECT generate_subscripts(r, 1) AS turn, unnest(r, recursive := true) FROM (SELECT [{rules}] AS r)),
         docs AS (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS text FROM documents),
-        cut AS (SELECT r, string_split(regexp_replace(text, '{_END}', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM docs
-                WHERE regexp_matches(lower(text), 'licen|permission|copyright|provided|redistribution|rights|unencumbered|warranty|cc')),
+        cut AS (SELECT r, string_split(regexp_replace(text, '{_END}', '\\1' || chr(1), 'g'), chr(1)) AS parts
+                FROM (SELECT r, text, lower(text) AS low, regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g') AS flat FROM docs)
+                WHERE {marked}),
         sentences AS (SELECT r, generate_subscripts(parts, 1) AS spot, unnest(parts) AS s FROM cut),
-        pieces AS (SELECT r, spot, unnest(CASE WHEN contains(s, chr(10)) THEN list_concat([s], string_split(s, chr(10))) ELSE [s] END) AS s,
-                          unnest(CASE WHEN contains(s, chr(10)) THEN range(len(string_split(s, chr(10))) + 1) ELSE [0] END) AS sub
-                   FROM sentences),
-        numbered AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY spot, sub) AS n,
-                            trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' ') AS form FROM pieces),
+        judged AS (SELECT *, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' ') AS form FROM sentences),
+        whole AS (SELECT j.*, contains(s, chr(10)) AND k.form IS NULL AS by_line FROM judged j LEFT JOIN known k USING (form)),
+        lines AS (SELECT r, spot, unnest(string_split(s, chr(10))) AS s, generate_subscripts(string_split(s, chr(10)), 1) AS sub
+                  FROM whole WHERE by_line),
+        pieces AS (SELECT r, spot, 0 AS sub, form FROM whole UNION ALL
+                   SELECT * FROM (SELECT r, spot, sub, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' ') AS form FROM lines)
+                   WHERE form <> ''),
+        numbered AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY spot, sub) AS n, form FROM pieces),
         hits AS (SELECT r, n, name, n - lag(n) OVER (PARTITION BY r ORDER BY n) - 1 AS gap FROM numbered JOIN known USING (form)),
         sequences AS (SELECT r, ';' || string_agg(CASE WHEN gap > {MAX_GAP} THEN '|;' ELSE '' END || name || ';', '' ORDER BY n) AS sequence,
                              count(*) AS n FROM hits GROUP BY r),
-        r0 AS (SELECT d.r, d.doc_id, coalesce(s.n, 0) AS n_sentences, coalesce(s.sequence, ';') AS sequence,
-                      coalesce(s.sequence, ';') AS rest FROM docs d LEFT JOIN sequences s USING (r)),
-        {", ".join(steps)}
-        SELECT doc_id, CAST(n_sentences AS BIGINT) AS n_sentences, sequence,
-               coalesce(array_to_string(list_sort(list_distinct([{", ".join(columns)}])), ','), '') AS licenses
-        FROM r{len(RULES)}
+        -- One rule at a time, over each sequence that occurs; what a rule has taken is gone for later ones.
+        taken(sequence, rest, turn, licence) AS (
+            SELECT DISTINCT sequence, sequence, CAST(0 AS BIGINT), CAST(NULL AS VARCHAR) FROM sequences
+            UNION ALL
+            SELECT t.sequence, replace(t.rest, u.ids, ';#;'), u.turn, CASE WHEN contains(t.rest, u.ids) THEN u.licence END
+            FROM taken t JOIN rules u ON u.turn = t.turn + 1),
+        named AS (SELECT sequence, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licenses FROM taken GROUP BY sequence)
+        SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_sentences, coalesce(s.sequence, ';') AS sequence,
+               coalesce(n.licenses, '') AS licenses
+        FROM docs d LEFT JOIN sequences s USING (r) LEFT JOIN named n ON n.sequence = s.sequence
     """

@@ -4,18 +4,24 @@ The tree has a fixed depth: a line goes down by its number of tokens and then by
 leading tokens, tokens with a digit counting as a variable field. In a leaf, a token
 that enough documents share at one position is constant there and any other is a
 variable field; the constants with the variables left open are the line's template. A
-template met in enough documents is boilerplate: its first line, by `doc_id` and place,
-stays and every other one is dropped.
+template met in enough documents, with enough constants after the leading tokens (those
+are constant by the leaf), is boilerplate: its first line, by `doc_id` and place, stays
+and every other one is dropped. A document counts once, however many of its lines share
+a token or a template.
+
+A line of few tokens goes down by all of them, so only equal lines meet; with a digit
+or without a letter it says too little and stays.
 
 Hot lines are harmless: lines are counted per leaf and document with partial
 aggregation, leaves go on with one row per distinct line, and tables to join with are
 broadcast while their counted rows are few; beyond that a plain sort-merge join is left,
 which adaptive execution splits.
 
-Defined results: null and empty texts have no lines to drop and stay as they are; lines
-of fewer than `min_tokens` tokens always stay; equal rows are treated alike, and the one
-line kept is then kept in each of them; a null `doc_id` sorts first; columns beside
-`doc_id` and `text` are carried along, whatever their names; an empty table gives no rows.
+Defined results: null and empty texts have no lines to drop and stay as they are, as do
+blank lines; equal rows are one document and are treated alike, and the one line kept is
+then kept in each of them; rows without `doc_id` are told apart by their text and sort
+first; columns beside `doc_id` and `text` are carried along, whatever their names; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,13 +40,10 @@ VARIABLE = "<*>"
 class Limits(NamedTuple):
     #: Documents in which a template must occur, and in which a token must recur to be constant.
     min_docs: int = 3
-    #: Shorter lines say too little to be called boilerplate.
-    min_tokens: int = 5
-    #: Share of tokens of a template that must be constant.
+    #: Lines of fewer tokens must be equal as a whole.
+    short: int = 5
+    #: Share of the tokens after the leading ones that must be constant.
     min_constant: float = 0.6
-    #: Leave the leading tokens, constant by the leaf, out of `min_constant`, and count a document
-    #: once for all its lines in a constant or a template. The SQL counts both the looser way.
-    strict: bool = False
 
 
 #: Rows (of some 16 to 64 bytes) that are broadcast at most; more are joined by a shuffle.
@@ -69,7 +72,7 @@ def _masked(text: Column) -> Column:
 
 
 def _places(docs: DataFrame, limits: Limits, *more: str) -> DataFrame:
-    """(id, key, pos, leaf) of every line that is long enough; `key` tells rows of one `doc_id` apart by their text.
+    """(id, key, pos, leaf) of every line that may recur; `key` tells rows of one `doc_id` apart by their text.
 
     Tokens are counted by their blanks and only the leading ones are cut out, so lines that
     end here are never taken apart.
@@ -78,11 +81,19 @@ def _places(docs: DataFrame, limits: Limits, *more: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("id"),
         F.xxhash64("text").alias("key"),
         F.posexplode(F.split("text", "\n")).alias("pos", "raw"),
-    ).where(F.octet_length("raw") >= 2 * limits.min_tokens - 1)
+    ).where(F.octet_length("raw") > 0)
     counted = lines.select("id", "key", "pos", _tidy(F.col("raw")).alias("line")).select(
-        "id", "key", "pos", (_count(F.col("line"), " ") + 1).alias("n"), _masked(F.substring_index("line", " ", DEPTH)).alias("leading"), *more
+        "id", "key", "pos", "line", (_count(F.col("line"), " ") + 1).alias("n")
     )
-    return counted.where(F.col("n") >= limits.min_tokens).select("id", "key", "pos", F.xxhash64("n", "leading").alias("leaf"), *more)
+    short = F.col("n") < limits.short
+    leading = F.when(short, F.col("line")).otherwise(_masked(F.substring_index("line", " ", DEPTH)))
+    says = ~short | (F.col("line").rlike("\\p{L}") & ~F.col("line").rlike("[0-9]"))
+    return counted.where(says).select("id", "key", "pos", F.xxhash64("n", leading).alias("leaf"), *more)
+
+
+def _documents() -> Column:
+    """How many documents: equal rows are one, rows without doc_id differ by their text."""
+    return F.count_distinct(F.xxhash64("id", "key"))
 
 
 def _same(docs: DataFrame, table: DataFrame) -> Column:
@@ -93,15 +104,13 @@ def _same(docs: DataFrame, table: DataFrame) -> Column:
 def _in_documents(parts: DataFrame, members: DataFrame, names: list[str], limits: Limits) -> DataFrame:
     """The `names` in enough documents. `parts`: (leaf, line_hash, n_docs) and `names` of every distinct line."""
     summed = parts.groupBy(*names).agg(F.sum("n_docs").alias("n"), F.max("n_docs").alias("most")).where(F.col("n") >= limits.min_docs)
-    if not limits.strict:
-        return summed.select(*names)
     # One line in enough documents settles it; only where it takes several are their documents compared.
     summed = staged(summed.select(*names, (F.col("most") >= limits.min_docs).alias("sure")), "line-support")
     unsure = parts.join(summed.where(~F.col("sure")), names).select("line_hash", *names)
     proven = (
         unsure.join(members.select("leaf", "line_hash", "id", "key"), ["leaf", "line_hash"])
         .groupBy(*names)
-        .agg(F.count_distinct("id", "key").alias("n"))
+        .agg(_documents().alias("n"))
         .where(F.col("n") >= limits.min_docs)
     )
     return staged(summed.where("sure").select(*names).union(proven.select(*names)), "line-support")
@@ -111,7 +120,7 @@ def recurring_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(id, key, pos, template, template_text) of every line whose template is boilerplate."""
     places = staged(_places(docs, limits), "line-places")
     leaves = staged(
-        places.groupBy("leaf").agg(F.count_distinct("id", "key").alias("n")).where(F.col("n") >= limits.min_docs).select("leaf"),
+        places.groupBy("leaf").agg(_documents().alias("n")).where(F.col("n") >= limits.min_docs).select("leaf"),
         "line-leaves",
     )
     # Only documents with a line in a recurring leaf are cut up again.
@@ -123,21 +132,27 @@ def recurring_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     distinct = (
         members.groupBy("leaf", "line_hash")
-        .agg(F.count_distinct("id", "key").alias("n_docs"), F.min("line").alias("line"))
+        .agg(_documents().alias("n_docs"), F.min("line").alias("line"))
         .select("leaf", "line_hash", "n_docs", F.split("line", " ").alias("tokens"))
     )
     fields = distinct.select("leaf", "line_hash", "n_docs", F.posexplode("tokens").alias("at", "token"))
     constant = _in_documents(fields.where(F.col("token") != VARIABLE), members, ["leaf", "at", "token"], limits).withColumn(
         "is_constant", F.lit(True)
     )
-    given = DEPTH if limits.strict else 0
+    size, after = F.size("words"), F.col("n_constant") - F.col("n_leading")
+    steady = F.when(size < limits.short, F.col("n_constant") == size).otherwise(after >= (size - DEPTH) * limits.min_constant)
     template = F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda field: field["word"])
     described = (
         fields.join(constant, ["leaf", "at", "token"], "left")
         .withColumn("word", F.when(F.col("is_constant"), F.col("token")).otherwise(F.lit(VARIABLE)))
         .groupBy("leaf", "line_hash")
-        .agg(template.alias("words"), F.first("n_docs").alias("n_docs"), F.count(F.when(F.col("at") >= given, F.col("is_constant"))).alias("n_constant"))
-        .where(F.col("n_constant") >= (F.size("words") - given) * limits.min_constant)
+        .agg(
+            template.alias("words"),
+            F.first("n_docs").alias("n_docs"),
+            F.count("is_constant").alias("n_constant"),
+            F.count(F.when(F.col("at") < DEPTH, F.col("is_constant"))).alias("n_leading"),
+        )
+        .where(steady)
         .select("leaf", "line_hash", "n_docs", F.concat_ws(" ", "words").alias("template_text"))
     )
     described = staged(described, "line-templates")
@@ -205,30 +220,31 @@ def without_boilerplate(docs: DataFrame, limits: Limits = Limits()) -> DataFrame
 
 def line_dedup_sql(limits: Limits = Limits()) -> str:
     """The same report as DuckDB SQL over `documents`."""
-    leading = f"array_to_string(tokens[1:{DEPTH}], ' ')"
+    leading = f"array_to_string(CASE WHEN len(tokens) < {limits.short} THEN tokens ELSE tokens[1:{DEPTH}] END, ' ')"
     return f"""
-        WITH docs AS (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS id, coalesce(text, '') AS text,
-                        text IS NULL AS is_null FROM documents),
-        lines AS (SELECT r, id, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
+        WITH docs AS (SELECT row_number() OVER () AS r, dense_rank() OVER (ORDER BY doc_id NULLS FIRST, text NULLS FIRST) AS doc,
+                        CAST(doc_id AS BIGINT) AS id, coalesce(text, '') AS text, text IS NULL AS is_null FROM documents),
+        lines AS (SELECT r, doc, id, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
                          unnest(string_split(text, chr(10))) AS line FROM docs),
-        masked AS (SELECT r, id, pos, string_split(regexp_replace(trim(regexp_replace(line, '[ \t\r]+', ' ', 'g'), ' '),
-                         '[^ ]*[0-9][^ ]*', '{VARIABLE}', 'g'), ' ') AS tokens FROM lines),
-        tree AS (SELECT r, id, pos, tokens, concat_ws(chr(1), len(tokens), {leading}) AS leaf
-                 FROM masked WHERE len(tokens) >= {limits.min_tokens}),
-        leaves AS (SELECT leaf FROM tree GROUP BY leaf HAVING count(DISTINCT r) >= {limits.min_docs}),
+        tidy AS (SELECT r, doc, id, pos, trim(regexp_replace(line, '[ \t\r]+', ' ', 'g'), ' ') AS line FROM lines),
+        masked AS (SELECT r, doc, id, pos, line, string_split(regexp_replace(line, '[^ ]*[0-9][^ ]*', '{VARIABLE}', 'g'), ' ') AS tokens
+                   FROM tidy WHERE line <> ''),
+        tree AS (SELECT r, doc, id, pos, tokens, concat_ws(chr(1), len(tokens), {leading}) AS leaf FROM masked
+                 WHERE len(tokens) >= {limits.short} OR regexp_matches(line, '\\p{{L}}') AND NOT regexp_matches(line, '[0-9]')),
+        leaves AS (SELECT leaf FROM tree GROUP BY leaf HAVING count(DISTINCT doc) >= {limits.min_docs}),
         members AS (SELECT tree.* FROM tree JOIN leaves USING (leaf)),
-        distinct_lines AS (SELECT leaf, tokens, count(DISTINCT r) AS n_docs FROM members GROUP BY leaf, tokens),
-        fields AS (SELECT leaf, tokens, n_docs, generate_subscripts(tokens, 1) AS spot, unnest(tokens) AS token FROM distinct_lines),
+        fields AS (SELECT leaf, tokens, doc, generate_subscripts(tokens, 1) AS spot, unnest(tokens) AS token FROM members),
         constant AS (SELECT leaf, spot, token FROM fields WHERE token <> '{VARIABLE}'
-                     GROUP BY leaf, spot, token HAVING sum(n_docs) >= {limits.min_docs}),
-        described AS (SELECT f.leaf, f.tokens, any_value(f.n_docs) AS n_docs, count(c.token) AS n_constant,
-                             string_agg(coalesce(c.token, '{VARIABLE}'), ' ' ORDER BY f.spot) AS template
-                      FROM fields f LEFT JOIN constant c USING (leaf, spot, token) GROUP BY f.leaf, f.tokens
-                      HAVING count(c.token) >= len(f.tokens) * {limits.min_constant}),
-        shared AS (SELECT leaf, template FROM described GROUP BY leaf, template HAVING sum(n_docs) >= {limits.min_docs}),
-        found AS (SELECT m.r, m.id, m.pos, m.leaf, d.template FROM members m JOIN described d USING (leaf, tokens)
-                  JOIN shared s ON s.leaf = m.leaf AND s.template = d.template),
-        later AS (SELECT r, pos FROM (SELECT r, pos, row_number() OVER (PARTITION BY leaf, template ORDER BY id NULLS FIRST, pos) AS n FROM found)
+                     GROUP BY leaf, spot, token HAVING count(DISTINCT doc) >= {limits.min_docs}),
+        distinct_fields AS (SELECT DISTINCT leaf, tokens, spot, token FROM fields),
+        described AS (SELECT f.leaf, f.tokens, string_agg(coalesce(c.token, '{VARIABLE}'), ' ' ORDER BY f.spot) AS template
+                      FROM distinct_fields f LEFT JOIN constant c USING (leaf, spot, token) GROUP BY f.leaf, f.tokens
+                      HAVING CASE WHEN len(f.tokens) < {limits.short} THEN count(c.token) = len(f.tokens)
+                                  ELSE count(c.token) FILTER (WHERE f.spot > {DEPTH}) >= (len(f.tokens) - {DEPTH}) * {limits.min_constant} END),
+        meant AS (SELECT m.r, m.doc, m.id, m.pos, m.leaf, d.template FROM members m JOIN described d USING (leaf, tokens)),
+        shared AS (SELECT leaf, template FROM meant GROUP BY leaf, template HAVING count(DISTINCT doc) >= {limits.min_docs}),
+        found AS (SELECT * FROM meant JOIN shared USING (leaf, template)),
+        later AS (SELECT r, pos FROM (SELECT r, pos, rank() OVER (PARTITION BY leaf, template ORDER BY id NULLS FIRST, doc, pos) AS n FROM found)
                   WHERE n > 1),
         kept AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE x.pos IS NULL) AS text,
                         count(*) AS n_lines, count(x.pos) AS n_dropped

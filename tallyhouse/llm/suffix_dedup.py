@@ -22,7 +22,8 @@ continue differently) is not gathered: its windows are filed one by one under th
 hash, combined in the map tasks, and compared there, with the same result.
 
 Defined results: null text is empty; texts shorter than `width` bytes stay; rows with one
-`doc_id` do not remove from each other; rows without `doc_id` stay whole and remove
+`doc_id` do not remove from each other, and what is decided for one holds for that row's
+text alone; rows without `doc_id` stay whole and remove
 nothing; other columns are ignored; an empty table gives no rows.
 """
 
@@ -50,12 +51,14 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 #: A piece on its way to its anchor's bucket.
 PIECE = np.dtype([("h", "<u4"), ("c", "<u4"), ("c2", "<u2"), ("doc", "<u2"), ("start", "<u4"), ("n", "u1")])
+#: A row of the documents: its `doc_id`, and the hash of its text, which tells rows of one `doc_id` apart.
+ROW = np.dtype([("doc", "<i8"), ("key", "<i8")])
 #: A decision or request on its way to its document: 0 span, 1 fetch the piece, 2 file its windows one by one.
-MARK = np.dtype([("doc", "<i8"), ("start", "<u4"), ("end", "<u4"), ("kind", "u1"), ("h", "<u8")])
+MARK = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<u4"), ("end", "<u4"), ("kind", "u1"), ("h", "<u8")])
 #: A piece with text on its way to its suffix array; the text stands in a blob, one after the other.
-TEXT = np.dtype([("h", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("size", "<u4")])
+TEXT = np.dtype([("h", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<u4"), ("size", "<u4")])
 #: A window of an anchor with very many pieces.
-WINDOW = np.dtype([("w", "<u8"), ("doc", "<i8"), ("start", "<u4")])
+WINDOW = np.dtype([("w", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<u4")])
 
 
 class Repeats(NamedTuple):
@@ -173,7 +176,9 @@ def _file(docs: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
 
     def file(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 8 << 20, 60_000):
-            doc_ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
+            names = np.empty(batch.num_rows, ROW)
+            for field, column in (("doc", "doc_id"), ("key", "key")):
+                names[field] = batch.column(column).to_numpy(zero_copy_only=False)
             found = []
             for data, ends, rows, offsets in _stretches(batch, rule.width):
                 start, count, anchor, body = pieces_of(data, ends, rule)
@@ -184,13 +189,13 @@ def _file(docs: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
                 continue
             row, start, count, anchor, body = (np.concatenate(x) for x in zip(*found))
             found.clear()
-            doc = doc_ids[row]
+            doc = names["doc"][row]
             # Of equal pieces only those in the smallest document travel; the others are decided.
             order = np.lexsort((doc, body))
             ranked, ranked_doc = body[order], doc[order]
             head = np.maximum.accumulate(np.where(np.concatenate([[True], ranked[1:] != ranked[:-1]]), np.arange(len(order)), 0))
             later = ranked_doc > ranked_doc[head]
-            yield from local_spans(doc, start, count, order[later])
+            yield from local_spans(names, row, start, count, order[later])
             go = order[~later]
             bucket = (anchor[go] & _U(0xFFFFFFFF)) % _U(buckets)
             go = go[np.argsort(bucket, kind="stable")]
@@ -208,21 +213,24 @@ def _file(docs: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
                 part["doc"] = local
                 out["bucket"].append(int(b))
                 out["pieces"].append(part.tobytes())
-                out["docs"].append(doc_ids[used].tobytes())
+                out["docs"].append(names[used].tobytes())
                 out["marks"].append(b"")
             yield packed(out)
 
-    def local_spans(doc: np.ndarray, start: np.ndarray, count: np.ndarray, which: np.ndarray) -> Iterator[pa.RecordBatch]:
-        which = which[np.lexsort((start[which], doc[which]))]
+    def local_spans(
+        names: np.ndarray, row: np.ndarray, start: np.ndarray, count: np.ndarray, which: np.ndarray
+    ) -> Iterator[pa.RecordBatch]:
+        which = which[np.lexsort((start[which], row[which]))]
         if not len(which):
             return
-        # Documents end to end, far enough apart that spans of two never touch.
-        shift = np.cumsum(np.concatenate([[0], (doc[which][1:] != doc[which][:-1])])) << 33
+        # Texts end to end, far enough apart that spans of two never touch.
+        shift = np.cumsum(np.concatenate([[0], (row[which][1:] != row[which][:-1])])) << 33
         low, high = merged(start[which] + shift, start[which] + count[which] + rule.width - 1 + shift)
-        names = doc[which][np.searchsorted(shift, low >> 33 << 33)]
+        of = names[row[which][np.searchsorted(shift, low >> 33 << 33)]]
         marks = np.zeros(len(low), MARK)
-        marks["doc"], marks["start"], marks["end"] = names, low & ((1 << 33) - 1), high & ((1 << 33) - 1)
-        yield packed({"bucket": [int(names[0]) % buckets], "pieces": [b""], "docs": [b""], "marks": [marks.tobytes()]})
+        marks["doc"], marks["key"] = of["doc"], of["key"]
+        marks["start"], marks["end"] = low & ((1 << 33) - 1), high & ((1 << 33) - 1)
+        yield packed({"bucket": [int(of["doc"][0]) % buckets], "pieces": [b""], "docs": [b""], "marks": [marks.tobytes()]})
 
     def packed(out: dict) -> pa.RecordBatch:
         kinds = {"bucket": pa.int32(), "pieces": pa.binary(), "docs": pa.binary(), "marks": pa.binary()}
@@ -235,7 +243,7 @@ def _meet(filed: DataFrame, rule: Repeats, doc_buckets: int) -> DataFrame:
     """Per bucket of anchors: spans of equal pieces, and requests for the text of unequal ones."""
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, docs, buckets = [], [], []
+        pieces, names, places, buckets, held = [], [], [], [], 0
         for batch in batches:
             for row in batch.to_pylist():
                 if row["marks"]:
@@ -243,18 +251,21 @@ def _meet(filed: DataFrame, rule: Repeats, doc_buckets: int) -> DataFrame:
                     continue
                 part = np.frombuffer(row["pieces"], PIECE)
                 pieces.append(part)
-                docs.append(np.frombuffer(row["docs"], "<i8")[part["doc"]])
+                names.append(np.frombuffer(row["docs"], ROW))
+                places.append(part["doc"] + np.uint32(held))
+                held += len(names[-1])
                 buckets.append(np.full(len(part), row["bucket"], np.uint32))
         if not pieces:
             return
-        piece, doc = np.concatenate(pieces), np.concatenate(docs)
+        piece, place, name = np.concatenate(pieces), np.concatenate(places), np.concatenate(names)
+        doc = name["doc"][place]
         # The bucket is part of the anchor's name: several buckets may share a task.
         anchor = piece["h"].astype(_U) << _U(32) | np.concatenate(buckets).astype(_U)
         body = piece["c"].astype(_U) << _U(16) | piece["c2"].astype(_U)
         start, count = piece["start"], piece["n"]
-        pieces.clear(), docs.clear(), buckets.clear()
+        pieces.clear(), names.clear(), places.clear(), buckets.clear()
         order = np.lexsort((doc, body, anchor))
-        anchor, body, doc, start, count = anchor[order], body[order], doc[order], start[order], count[order]
+        anchor, body, doc, place, start, count = (x[order] for x in (anchor, body, doc, place, start, count))
         at = np.arange(len(order))
         new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         new_body = new_anchor | np.concatenate([[True], body[1:] != body[:-1]])
@@ -267,7 +278,7 @@ def _meet(filed: DataFrame, rule: Repeats, doc_buckets: int) -> DataFrame:
         fetch = ~later & (shared & (bodies > 1))[group]
         marks = np.zeros(int(later.sum() + fetch.sum()), MARK)
         which = np.concatenate([np.flatnonzero(later), np.flatnonzero(fetch)])
-        marks["doc"], marks["start"] = doc[which], start[which]
+        marks["doc"], marks["key"], marks["start"] = doc[which], name["key"][place[which]], start[which]
         marks["end"] = start[which] + count[which].astype(np.uint32) + np.uint32(rule.width - 1)
         marks["kind"][int(later.sum()) :] = np.where((bodies > rule.group)[group[fetch]], 2, 1)
         marks["h"][int(later.sum()) :] = anchor[fetch]
@@ -299,6 +310,13 @@ def _add(rows: dict, **values: object) -> None:
         column.append(values.get(name))
 
 
+def _own(marks: np.ndarray, row: dict) -> np.ndarray:
+    """The marks of one row, of marks that ascend by `doc_id`."""
+    low, high = np.searchsorted(marks["doc"], [row["doc_id"], row["doc_id"] + 1])
+    own = marks[low:high]
+    return own[own["key"] == row["key"]]
+
+
 def _with_texts(docs: DataFrame, marks: DataFrame, partitions: int) -> DataFrame:
     """Texts and packed marks of one bucket of documents side by side, marks first."""
     texts = docs.select("bucket", F.lit(1).alias("rank"), "doc_id", "key", "text", F.lit(None).cast("binary").alias("marks"))
@@ -324,8 +342,7 @@ def _fetch(side_by_side: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
                 if parts:
                     marks, parts = np.concatenate(parts), []
                     marks = marks[np.argsort(marks["doc"], kind="stable")]
-                low, high = np.searchsorted(marks["doc"], [row["doc_id"], row["doc_id"] + 1])
-                own = marks[low:high]
+                own = _own(marks, row)
                 data = unpack.decompress(row["text"])
                 spans = own[own["kind"] == 0]
                 asked = own[own["kind"] > 0]
@@ -340,11 +357,8 @@ def _fetch(side_by_side: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
                     spans=spans_.astype("<i8").tobytes(),
                     text=row["text"],
                 )
-                for mark in asked.tolist():
-                    doc, start, end, kind, h = mark
-                    if end > len(data):
-                        continue  # another row with this doc_id asked for it
-                    (pieces if kind == 1 else windows).append((h, doc, start, data[start:end]))
+                for doc, key, start, end, kind, h in asked.tolist():
+                    (pieces if kind == 1 else windows).append((h, doc, key, start, data[start:end]))
                     held += end - start + 24
                 held += len(row["text"])
                 if held > 8 << 20:
@@ -363,22 +377,22 @@ def _fetch(side_by_side: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 own = [pieces[i] for i in order[cuts[b] : cuts[b + 1]].tolist()]
-                records = np.array([(h, doc, start, len(data)) for h, doc, start, data in own], TEXT)
-                _add(rows, kind="piece", bucket=b, records=records.tobytes(), blob=b"".join(p[3] for p in own))
+                records = np.array([(*where, len(data)) for *where, data in own], TEXT)
+                _add(rows, kind="piece", bucket=b, records=records.tobytes(), blob=b"".join(p[-1] for p in own))
         if windows:
             for bucket, records in windows_by_bucket(windows):
                 _add(rows, kind="window", bucket=bucket, records=records.tobytes(), blob=b"")
 
     def windows_by_bucket(windows: list) -> Iterator[tuple[int, np.ndarray]]:
         found = []
-        for _, doc, start, data in windows:
+        for _, doc, key, start, data in windows:
             values = np.frombuffer(data, np.uint8)
             power, inverse = _powers(len(values) + 1)
             sums = np.concatenate([np.zeros(1, _U), np.cumsum(_LETTER[values] * power[: len(values)])])
             n = len(values) - rule.width + 1
             part = np.empty(n, WINDOW)
             part["w"] = mix((sums[rule.width :] - sums[:n]) * inverse[:n])
-            part["doc"], part["start"] = doc, start + np.arange(n)
+            part["doc"], part["key"], part["start"] = doc, key, start + np.arange(n)
             found.append(part)
         records = np.concatenate(found)
         bucket = (mix(records["w"]) % _U(buckets)).astype(np.int64)
@@ -467,14 +481,15 @@ def repeat_spans(records: np.ndarray, blob: np.ndarray, width: int) -> np.ndarra
     """Marks for every occurrence of a maximal repeat that is not in the repeat's smallest document."""
     sizes = records["size"].astype(np.int64)
     array = suffix_array(np.unique(records["h"], return_inverse=True)[1], sizes, blob, width)
-    doc, start = records["doc"][array.piece], records["start"][array.piece].astype(np.int64) + array.offset
+    doc, key = records["doc"][array.piece], records["key"][array.piece]
+    start = records["start"][array.piece].astype(np.int64) + array.offset
     found = []
     for length, low, high in maximal_repeats(array, width):
         own = doc[low:high]
         later = own > own.min()
         if later.any():
             part = np.zeros(int(later.sum()), MARK)
-            part["doc"], part["start"] = own[later], start[low:high][later]
+            part["doc"], part["key"], part["start"] = own[later], key[low:high][later], start[low:high][later]
             part["end"] = part["start"] + length
             found.append(part)
     return np.concatenate(found) if found else np.zeros(0, MARK)
@@ -518,7 +533,8 @@ def _repeats(met: DataFrame, rule: Repeats, doc_buckets: int) -> DataFrame:
             head = np.maximum.accumulate(np.where(new, np.arange(len(window)), 0))
             later = window[window["doc"] > window["doc"][head]]
             marks_ = np.zeros(len(later), MARK)
-            marks_["doc"], marks_["start"], marks_["end"] = later["doc"], later["start"], later["start"] + rule.width
+            marks_["doc"], marks_["key"], marks_["start"] = later["doc"], later["key"], later["start"]
+            marks_["end"] = later["start"] + rule.width
             if len(marks_):
                 yield _marks_by_bucket(marks_, doc_buckets)
 
@@ -547,11 +563,11 @@ def _finish(rows: DataFrame, with_text: bool) -> DataFrame:
                     marks = marks[np.argsort(marks["doc"], kind="stable")]
                 data = unpack.decompress(row["text"])
                 known = np.frombuffer(row["spans"], "<i8").reshape(-1, 2)
-                more = marks[slice(*np.searchsorted(marks["doc"], [row["doc_id"], row["doc_id"] + 1]))]
+                more = _own(marks, row)
                 low = np.concatenate([known[:, 0], more["start"].astype(np.int64)])
                 high = np.concatenate([known[:, 1], more["end"].astype(np.int64)])
-                fits = high <= len(data)
-                low, high = merged(low[fits], high[fits]) if fits.any() else (low[:0], high[:0])
+                if len(low):
+                    low, high = merged(low, high)
                 cuts = [0, *np.stack([low, high], 1).ravel().tolist(), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
                 spans = [{"start": a, "end": b} for a, b in zip(low.tolist(), high.tolist())]

@@ -39,14 +39,14 @@ def quality_counts(text: str | None) -> tuple:
     return len(found), sum(map(len, found)), symbols, len(lines) - len(set(lines)), len(covered), failed
 
 
-def shingle_set(text: str | None) -> frozenset:
+def shingle_set(text: str | None, size: int = 4) -> frozenset:
     found = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return frozenset(tuple(found[at : at + 4]) for at in range(max(1, len(found) - 3))) if found else frozenset()
+    return frozenset(tuple(found[at : at + size]) for at in range(max(1, len(found) - size + 1))) if found else frozenset()
 
 
-def ngram_components(rows: list[tuple]) -> dict:
+def ngram_components(rows: list[tuple], size: int = 4, percent: int = 85) -> dict:
     """doc_id -> (set size, component), for distinct doc_ids."""
-    sets = {i: shingle_set(t) for i, t in rows}
+    sets = {i: shingle_set(t, size) for i, t in rows}
     up = {i: i for i in sets}
 
     def root(a):
@@ -57,14 +57,14 @@ def ngram_components(rows: list[tuple]) -> dict:
     ids = sorted(sets)
     for at, a in enumerate(ids):
         for b in ids[at + 1 :]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 one, two = root(a), root(b)
                 up[max(one, two)] = min(one, two)
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
-def repeated_bytes(rows: list[tuple], width: int = 50) -> list[tuple]:
-    """(doc_id, n_bytes, n_removed, n_spans, sha256 of what is left) per row."""
+def bytes_gone(rows: list[tuple], width: int = 50) -> list[tuple]:
+    """(doc_id, bytes, one flag per byte that goes) per row."""
     texts = [(i, (t or "").encode()) for i, t in rows]
     first: dict[bytes, int] = {}
     for i, data in texts:
@@ -79,6 +79,14 @@ def repeated_bytes(rows: list[tuple], width: int = 50) -> list[tuple]:
             for at in range(len(data) - width + 1):
                 if first[data[at : at + width]] < i:
                     gone[at : at + width] = b"\1" * width
+        out.append((i, data, gone))
+    return out
+
+
+def repeated_bytes(rows: list[tuple], width: int = 50) -> list[tuple]:
+    """(doc_id, n_bytes, n_removed, n_spans, sha256 of what is left) per row."""
+    out = []
+    for i, data, gone in bytes_gone(rows, width):
         spans = sum(1 for at, g in enumerate(gone) if g and not (at and gone[at - 1]))
         kept = bytes(b for b, g in zip(data, gone) if not g)
         out.append((i, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))

@@ -93,6 +93,8 @@ def repeats() -> list[tuple]:
     for k in range(40):
         rows.append((10 + k, f"{prose(k, draw.randrange(60), 9)} {passage[draw.randrange(30):]} {'é日' * draw.randrange(20)}"))
     rows += [(200 + k, prose(3, 50)) for k in range(6)] + [(300, prose(1, 20_000)), (299, prose(1, 20_000)[50_000:50_060])]
+    # One doc_id with several texts: each is cut at its own places only.
+    rows += [(500, text) for text in (prose(1, 300), prose(77, 60), prose(78, 20) + passage, f"{passage[:90]}{prose(79, 30)}")]
     return rows + [(400, "\0" * 200), (401, "\0" * 120), (9, prose(99, 40)), (9, prose(99, 40))]
 
 
