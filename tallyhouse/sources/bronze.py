@@ -31,14 +31,15 @@ def add_audit_columns(df: DataFrame, run_id: str, source_system: str, loaded_at:
     )
 
 
-def append_bronze(df: DataFrame, path: str, load_date: date) -> None:
-    """Append one load as a partition; an empty load leaves no partition behind."""
-    (
-        df.withColumns({PARTITION: F.lit(load_date.isoformat()), SCHEMA_PARTITION: F.lit(schema_name(df.schema))})
-        .write.mode("append")
-        .partitionBy(PARTITION, SCHEMA_PARTITION)
-        .parquet(path)
-    )
+def append_bronze(df: DataFrame, path: str, load_date: date, part: str | None = None) -> None:
+    """Append one load as a partition; an empty load leaves no partition behind.
+
+    With a `part`, the load has a folder of that name to itself and replaces what is in it.
+    """
+    folder = schema_name(df.schema) + (f".{part}" if part else "")
+    writer = df.withColumns({PARTITION: F.lit(load_date.isoformat()), SCHEMA_PARTITION: F.lit(folder)}).write
+    writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if part else writer.mode("append")
+    writer.partitionBy(PARTITION, SCHEMA_PARTITION).parquet(path)
 
 
 def schema_name(schema: StructType) -> str:
@@ -75,7 +76,7 @@ def read_loads(spark: SparkSession, path: str, schemas: Mapping[str, StructType]
         reader = spark.read.option("basePath", path)
         return if_present(lambda: (reader if schema is None else reader.schema(schema)).parquet(f"{path}/{PARTITION}=*/{folders}"))
 
-    scans = [found(f"{SCHEMA_PARTITION}={name}", schema) for name, schema in sorted(schemas.items())] + [found("*.parquet")]
+    scans = [found(f"{SCHEMA_PARTITION}={name}*", schema) for name, schema in sorted(schemas.items())] + [found("*.parquet")]
     loads = [scan.drop(SCHEMA_PARTITION) for scan in scans if scan is not None]
     if not loads:
         nothing = [spark.createDataFrame([], schema).withColumn(PARTITION, F.lit(None).cast("date")) for schema in schemas.values()]

@@ -302,6 +302,7 @@ ORACLE: dict[str, str] = {
     ),
     "stream_events_ingest": "SELECT * FROM events",
     "stream_events_dedup": "SELECT * FROM events",
+    "stream_events_raw": "SELECT * FROM events",
     "standardize_transactions": _raw('SELECT *, "date" AS transaction_date FROM tx_raw'),
     "standardize_refunds": _raw('SELECT *, "date" AS refund_date FROM rf_raw'),
     "standardize_chargebacks": _raw('SELECT *, "date" AS chargeback_date FROM cb_raw'),

@@ -23,6 +23,7 @@ from tallyhouse.operators.lookup import lookup_key
 from tallyhouse.operators.quality import over_refunded, raw_uniqueness, summarize, violations
 from tallyhouse.operators.reconcile import rollup
 from tallyhouse.operators.standardize import standardize
+from tallyhouse.plans.bronze_load import BronzeLoader
 from tallyhouse.plans import reports
 from tallyhouse.plans.dimensions import date_bounds, implausible_dates
 from tallyhouse.plans.refresh import refresh
@@ -32,6 +33,7 @@ from tallyhouse.sources.audit import audit_frame, audit_row, loaded_records
 from tallyhouse.sources.bronze import PARTITION, add_audit_columns, append_bronze, read_loads, schema_name, union_by_name
 from tallyhouse.sources.storage import TableStore, observed_write
 from tallyhouse.streaming.file_ingest import append_available, drop_repeats, file_stream
+from tallyhouse.streaming.raw_stream import RawStream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,6 +225,16 @@ def _stream_events_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return store.read("events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def _stream_events_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """Events landed in the raw layer; the stream then starts anew, and batches that were finished add nothing."""
+    store = TableStore(spark)
+    loader = BronzeLoader(spark, store.path("raw"), lambda entity: sample_tables.table(spark, folder, entity), SOURCE_SYSTEM, specs={"events": EVENTS})
+    landing = RawStream(loader, "events", "landing")
+    for attempt in (1, 2):
+        landing.land_available(_events_stream(spark, folder), store.path(f"progress{attempt}"))
+    return loader.bronze("events").drop(PARTITION, "load_timestamp", "pipeline_run_id", "source_system")
+
+
 def _dedup_updated_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Two loads of all transactions; the second, later one corrects every seventh: settled, and a lower amount."""
     rows = _raw(spark, folder, "transactions")
@@ -280,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "audit_total_records": _audit_total_records,
     "stream_events_ingest": _stream_events_ingest,
     "stream_events_dedup": _stream_events_dedup,
+    "stream_events_raw": _stream_events_raw,
     # Cleaning and matching
     "standardize_transactions": _standardized("transactions"),
     "standardize_refunds": _standardized("refunds"),
