@@ -44,6 +44,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """A Hadoop path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+_STAGED: list[tuple[str, str]] = []
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the staged tables of this application; for when its results have been read or written.
+
+    Those that nobody drops go when the application ends.
+    """
+    mine = [entry for entry in _STAGED if entry[0] == spark.sparkContext.applicationId]
+    for entry in mine:
+        folder, system = _folder(spark, entry[1])
+        system.delete(folder, True)
+        _STAGED.remove(entry)
+
+
 #: Whether Spark removes the shuffle files of a query when it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -61,6 +82,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
+    folder, system = _folder(spark, path)
+    system.deleteOnExit(folder)
+    _STAGED.append((spark.sparkContext.applicationId, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -46,13 +46,18 @@ class Limits(NamedTuple):
     min_constant: float = 0.6
 
 
-#: Rows (of some 16 to 64 bytes) that are broadcast at most; more are joined by a shuffle.
-BROADCAST = 500_000
+#: Rows and bytes that are broadcast at most; more are joined by a shuffle.
+BROADCAST, BROADCAST_BYTES = 500_000, 32 << 20
 
 
 def _small(rows: DataFrame) -> DataFrame:
-    """A stored table, marked for broadcast when it is small enough by count."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST else rows
+    """A stored table, marked for broadcast when it is small enough as measured."""
+    width = F.lit(0)
+    for name, kind in rows.dtypes:
+        size = F.octet_length(name) if kind == "string" else 8 * F.size(name) if kind.startswith("array") else F.lit(8)
+        width = width + F.coalesce(size, F.lit(0)) + 8
+    measured = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(rows) if measured["n"] <= BROADCAST and measured["bytes"] <= BROADCAST_BYTES else rows
 
 
 def _tidy(line: Column) -> Column:
@@ -116,8 +121,8 @@ def _in_documents(parts: DataFrame, members: DataFrame, names: list[str], limits
     return staged(summed.where("sure").select(*names).union(proven.select(*names)), "line-support")
 
 
-def recurring_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """(id, key, pos, template, template_text) of every line whose template is boilerplate."""
+def recurring_lines(docs: DataFrame, limits: Limits = Limits(), with_text: bool = True) -> DataFrame:
+    """(id, key, pos, template) of every line whose template is boilerplate, and the `template_text` if asked."""
     places = staged(_places(docs, limits), "line-places")
     leaves = staged(
         places.groupBy("leaf").agg(_documents().alias("n")).where(F.col("n") >= limits.min_docs).select("leaf"),
@@ -158,11 +163,11 @@ def recurring_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     described = staged(described, "line-templates")
     shared = _in_documents(described, members, ["leaf", "template_text"], limits)
     boilerplate = described.join(shared, ["leaf", "template_text"]).select(
-        "leaf", "line_hash", "template_text", F.xxhash64("leaf", "template_text").alias("template")
+        "leaf", "line_hash", F.xxhash64("leaf", "template_text").alias("template"), *(["template_text"] if with_text else [])
     )
     boilerplate = _small(staged(boilerplate, "line-boilerplate"))
-    return members.select("leaf", "line_hash", "id", "key", "pos").join(boilerplate, ["leaf", "line_hash"]).select(
-        "id", "key", "pos", "template", "template_text"
+    return members.select("leaf", "line_hash", "id", "key", "pos").join(boilerplate, ["leaf", "line_hash"]).drop(
+        "leaf", "line_hash"
     )
 
 
@@ -181,7 +186,7 @@ def _kept_text(text: Column, dropped: Column) -> Column:
 
 def dropped_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(id, key, dropped): places of the lines to drop, ascending."""
-    found = staged(recurring_lines(docs, limits), "line-occurrences")
+    found = staged(recurring_lines(docs, limits, with_text=False), "line-occurrences")
     place = F.struct("id", "key", "pos")
     first = staged(found.groupBy("template").agg(F.min(place).alias("first")), "line-first")
     later = found.join(_small(first), "template").where(~F.col("first").eqNullSafe(place))

@@ -1,10 +1,15 @@
 """Line templates and license sentences, against the same scans as SQL."""
 
+import glob
+
 import duckdb
 import pytest
 
+from tallyhouse.llm import line_templates
+from tallyhouse.llm._shared import drop_staged
 from tallyhouse.llm.license_scan import MARKERS, PARTS, SENTENCES, license_scan_sql, scan_licenses
 from tallyhouse.llm.line_templates import line_dedup_sql, line_report, without_boilerplate
+from tallyhouse.sources.storage import shared_folder
 from tests.llm.brute import documents, prose
 
 MENU = "Home About Contact Search our site"
@@ -238,3 +243,18 @@ def test_short_lines_go_when_equal(spark):
     kept = {r.doc_id: r.text for r in without_boilerplate(documents(spark, rows[:50])).collect()}
     assert all(kept[k] == rows[k][1].split("\n", 3)[3] for k in range(1, 50)) and kept[0] == rows[0][1]
     assert by_spark(line_report(documents(spark, rows))) == by_sql(rows, line_dedup_sql())
+
+
+def test_staged_tables_can_be_dropped(spark):
+    before = set(glob.glob(f"{shared_folder(spark)}/llm-*"))
+    rows = by_spark(line_report(documents(spark, LINES)))
+    assert rows and set(glob.glob(f"{shared_folder(spark)}/llm-*")) - before
+    drop_staged(spark)
+    assert not set(glob.glob(f"{shared_folder(spark)}/llm-*")) - before
+
+
+def test_wide_tables_are_not_broadcast(spark):
+    few = spark.createDataFrame([(1, "x" * 1000, [1, 2])] * 10, "id long, text string, places array<int>")
+    assert "broadcast" in line_templates._small(few)._jdf.queryExecution().logical().toString()
+    wide = spark.range(40).selectExpr("id", "repeat('x', 1000000) AS text")
+    assert "broadcast" not in line_templates._small(wide)._jdf.queryExecution().logical().toString()
