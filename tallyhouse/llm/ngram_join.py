@@ -3,8 +3,8 @@
 1. Every text becomes its set of hashed word n-grams. Equal sets are one class.
 2. Candidates: two similar sets differ in at most d elements. With the elements dealt to
    d + 1 + spare parts by their hash, similar sets agree on more than `spare` parts, so
-   each set is filed under a hash of each of its parts. Parts of fewer than `WEAK` elements
-   say little, as do those on which more than `HOT` sets agree (a passage that many
+   each set is filed under a hash of each of its parts. Weak parts (empty
+   ones, and with few parts those of one element) say little, as do those on which more than `HOT` sets agree (a passage that many
    documents share): a set with no more than `spare` of both together is sure to meet its
    like elsewhere and is taken out of them; only sets with more stay there, such as large
    groups of copies.
@@ -45,8 +45,9 @@ from tallyhouse.llm.components import components
 BLOCK = 2_000_000
 #: Sets that agree on a part before it is a hot one. Changes the work, never the result.
 HOT = 3
-#: Elements of a part before it is told from a weak one. Changes the work, never the result.
-WEAK = 2
+#: Average elements of a part from which on those of a single element are weak, beside empty ones.
+#: Changes the work, never the result.
+FULL = 4.5
 #: Most document numbers (16 MB) that are broadcast.
 BROADCAST = 2_000_000
 _U = np.uint64
@@ -105,16 +106,25 @@ def parts_of(level: int, percent: int) -> tuple[int, int]:
     return apart + 1 + spare, spare
 
 
+def weak_below(percent: int) -> int:
+    """Elements of a part before it is told from a weak one: the same for all sets, so that similar ones agree on it.
+
+    The lower the threshold, the more parts there are to a set, and the more hold a single
+    element; with too many weak parts nothing could be taken out of the hot ones.
+    """
+    return 2 if 2 * (100 + percent) / (5 * (100 - percent)) >= FULL else 1
+
+
 def filing_keys(elements: np.ndarray, percent: int) -> tuple[list[np.ndarray], list[int]]:
     """For a set's own and its next level: hashes it is filed under, and how many more of its parts may be hot."""
-    own = size_range(len(elements), percent)
+    own, weak = size_range(len(elements), percent), weak_below(percent)
     keys, slack = [], []
     for level in (own, own + 1):
         parts, spare = parts_of(level, percent)
         part = (mix(elements ^ _U(level + 1)) % _U(parts)).astype(np.int64)
         sums = np.zeros(parts, _U)
         np.add.at(sums, part, mix(elements + _U(0x632BE59BD9B4E019)))
-        full = np.bincount(part, minlength=parts) >= WEAK
+        full = np.bincount(part, minlength=parts) >= weak
         slack.append(spare - int(parts - full.sum()))
         if slack[-1] < 0:  # two sets with so many weak parts may agree on those alone
             full[:] = True
