@@ -3,14 +3,17 @@
 1. Every text becomes its set of hashed word n-grams. Equal sets are one class.
 2. Candidates: two similar sets differ in at most d elements. With the elements dealt to
    d + 1 + spare parts by their hash, similar sets agree on more than `spare` parts, so
-   each set is filed under a hash of each of its parts. Weak parts (empty
-   ones, and with few parts those of one element) say little, as do those on which more than `HOT` sets agree (a passage that many
-   documents share): a set with no more than `spare` of both together is sure to meet its
-   like elsewhere and is taken out of them; only sets with more stay there, such as large
-   groups of copies.
+   each set is filed under a hash of each of its parts. Weak parts (empty ones, and with
+   few parts those of one element) say little, as do those on which more than `HOT` sets
+   agree (a passage that many documents share): a set with no more than `spare` of both
+   together is sure to meet its like elsewhere and is taken out of them; only sets with
+   more stay there, such as large groups of copies. In the other parts the agreements of
+   each pair are counted, and a pair is a candidate only with as many as two similar sets
+   must have after their weak and hot parts are taken off: sets that share a passage agree
+   on a part or two, and do not chain.
    Sets are filed for their own range of sizes and for the next, so that similar sets of
    unlike sizes meet. The filing loses no pair; sets that meet nobody are done.
-3. Sets that meet, directly or over others, are one family. In a family, sets ordered by
+3. Candidates, directly or over others, are one family. In a family, sets ordered by
    how common their elements are stand in a trie. A set walks down the trie, common
    beginnings are counted once, and a branch is left when the overlap so far plus what
    can still come, by the lengths that remain on both sides, falls short of the threshold.
@@ -53,7 +56,7 @@ BROADCAST = 2_000_000
 _U = np.uint64
 _NEXT = 1 << 15  # added to a document's place in a batch where it is filed for its next level
 _FILED = "bucket int, keys binary, places binary, docs binary, facts binary"
-_FOUND = "kind string, bucket int, packed binary"
+_FOUND = "kind string, packed binary"
 
 
 class Similarity(NamedTuple):
@@ -204,14 +207,18 @@ class Union:
 
 
 def _meet(filed: DataFrame, buckets: int) -> DataFrame:
-    """Per bucket of keys, packed: edges between documents that met; who is in hot parts; facts, passed on."""
+    """Per bucket of keys, packed: pairs that met and how often; who is in hot parts; facts, passed on.
+
+    A pair is (a, b, c, n): two documents, the smaller first, their levels (2 if `a` is filed for
+    its next one, plus 1 if `b` is), and the parts on which they agree.
+    """
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, nexts = [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["facts"]:
-                    yield _rows(["facts"], [0], [row["facts"]])
+                    yield _row("facts", row["facts"])
                     continue
                 place = np.frombuffer(row["places"], "<u2")
                 keys.append(np.frombuffer(row["keys"], "<u8"))
@@ -219,79 +226,77 @@ def _meet(filed: DataFrame, buckets: int) -> DataFrame:
                 nexts.append(place >= _NEXT)
         if not keys:
             return
-        key, node, next_ = np.concatenate(keys), np.concatenate(nodes), np.concatenate(nexts)
+        key, node, next_ = np.concatenate(keys), np.concatenate(nodes), np.concatenate(nexts).astype(np.int64)
         keys.clear(), nodes.clear(), nexts.clear()
         order = np.lexsort((node, key))
         key, node, next_ = key[order], node[order], next_[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         hot = np.repeat(np.diff(np.concatenate([first, [len(key)]])) > HOT, np.diff(np.concatenate([first, [len(key)]])))
         if hot.any():
-            members = np.stack([key[hot].view(np.int64), node[hot], next_[hot].astype(np.int64)], axis=1)
-            yield _rows(["hot"], [0], [members.astype("<i8").tobytes()])
-        same = (key[1:] == key[:-1]) & ~hot[1:]
-        left, right = node[:-1][same], node[1:][same]
-        apart = left != right
-        left, right = left[apart], right[apart]
-        if not len(left):
-            return
-        ids, local = np.unique(np.concatenate([left, right]), return_inverse=True)
-        pairs = np.unique(local[: len(left)] * len(ids) + local[len(left) :])
-        union = Union(len(ids))
-        for a, b in zip((pairs // len(ids)).tolist(), (pairs % len(ids)).tolist()):
-            union.join(a, b)
-        roots = np.array([union.root(a) for a in range(len(ids))])
-        moved = np.flatnonzero(roots != np.arange(len(ids)))
-        edges = np.stack([ids[moved], ids[roots[moved]]], axis=1).astype("<i8")
-        bucket = (mix(edges[:, 0].view(_U)) % _U(buckets)).astype(np.int64)
-        edges = edges[np.argsort(bucket, kind="stable")]
-        cuts = np.searchsorted(np.sort(bucket), np.arange(buckets + 1))
-        some = np.flatnonzero(np.diff(cuts)).tolist()
-        yield _rows(["edges"] * len(some), some, [edges[cuts[b] : cuts[b + 1]].tobytes() for b in some])
-
-    def _rows(kinds: list, buckets_: list, packed: list) -> pa.RecordBatch:
-        columns = [pa.array(kinds, pa.string()), pa.array(buckets_, pa.int32()), pa.array(packed, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "packed"])
+            yield _row("hot", np.stack([key[hot].view(np.int64), node[hot], next_[hot]], axis=1).astype("<i8").tobytes())
+        pairs = []
+        for step in range(1, HOT):  # a part that is not hot holds at most HOT sets
+            left = np.flatnonzero((key[step:] == key[:-step]) & ~hot[step:] & (node[step:] != node[:-step]))
+            pairs.append(np.stack([node[left], node[left + step], 2 * next_[left] + next_[left + step]], axis=1))
+        met = np.concatenate([*pairs, np.zeros((0, 3), np.int64)])
+        if len(met):
+            met = met[np.lexsort(met.T)]
+            begin = np.flatnonzero(np.concatenate([[True], (met[1:] != met[:-1]).any(axis=1)]))
+            counted = np.column_stack([met[begin], np.diff(np.concatenate([begin, [len(met)]]))])
+            yield _row("pairs", counted.astype("<i8").tobytes())
+
+    def _row(kind: str, packed: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([packed], pa.binary())], ["kind", "packed"])
 
     return filed.mapInArrow(meet, _FOUND)
 
 
-def _hot_edges(members: DataFrame, facts: DataFrame) -> DataFrame:
-    """Edges (a, b) in hot parts, between the documents with too many of them to be taken out.
+def _room(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """(doc_id, own_room, next_room): how many more hot parts a document could have at a level; below 0, too many.
 
     `members`: (a, b, c) = key, document, whether it is filed for its next level.
     """
-    counts = members.groupBy("b", "c").agg(F.count(F.lit(1)).alias("hot"))
-    slack = facts.select(F.col("doc_id").alias("b"), "own_slack", "next_slack")
-    staying = (
-        counts.join(slack, "b")
-        .where(F.col("hot") > F.when(F.col("c") == 0, F.col("own_slack")).otherwise(F.col("next_slack")))
-        .select("b", "c")
-        .distinct()
+    hot = members.groupBy(F.col("b").alias("doc_id")).agg(F.sum(1 - F.col("c")).alias("own_hot"), F.sum("c").alias("next_hot"))
+    slack = facts.groupBy("doc_id").agg(F.min("own_slack").alias("own_slack"), F.min("next_slack").alias("next_slack"))
+    return slack.join(hot, "doc_id", "left").select(
+        "doc_id",
+        (F.col("own_slack") - F.coalesce("own_hot", F.lit(0))).alias("own_room"),
+        (F.col("next_slack") - F.coalesce("next_hot", F.lit(0))).alias("next_room"),
     )
-    staying = staged(staying, "ngram-staying")
+
+
+def _cold_edges(pairs: DataFrame, room: DataFrame) -> DataFrame:
+    """Edges (a, b) between documents that agree on as many parts as similar sets must.
+
+    Similar sets agree on more than `spare` parts. Those of them that are weak or hot are weak
+    or hot for both, so at least 1 + room are neither, with the room of either set.
+    """
+    counted = pairs.groupBy("a", "b", "c").agg(F.sum("d").alias("agreed"))
+    for side, is_next in (("a", F.col("c") >= 2), ("b", F.col("c") % 2 == 1)):
+        own = room.select(F.col("doc_id").alias(side), "own_room", "next_room")
+        counted = counted.join(own, side).where(F.col("agreed") > F.when(is_next, F.col("next_room")).otherwise(F.col("own_room")))
+        counted = counted.select("a", "b", "c", "agreed")
+    return counted.select("a", "b").distinct()
+
+
+def _hot_edges(members: DataFrame, room: DataFrame) -> DataFrame:
+    """Edges (a, b) in hot parts, between the documents with too many of them to be taken out."""
+    own, following = room.where("own_room < 0"), room.where("next_room < 0")
+    staying = staged(own.selectExpr("doc_id b", "0L c").union(following.selectExpr("doc_id b", "1L c")), "ngram-staying")
     kept = members.join(F.broadcast(staying) if staying.count() <= BROADCAST else staying, ["b", "c"]).select("a", "b")
     smallest = kept.groupBy("a").agg(F.min("b").alias("m"))
     return kept.join(smallest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _unpacked(packed: DataFrame, width: int) -> DataFrame:
-    """Rows of `width` numbers from packed ones; of edges, each different one of a task once."""
+    """Rows of `width` numbers from packed ones."""
     names = "abcdef"[:width]
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
         for batch in batches:
-            found = [np.frombuffer(data, "<i8").reshape(-1, width) for data in batch.column("packed").to_pylist()]
-            if width > 2:  # edges are wanted once; all else row by row
-                for part in found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in part.T.copy()], list(names))
-            else:
-                parts += found
-        if parts:
-            edges = np.concatenate(parts)
-            edges = edges[np.lexsort((edges[:, 1], edges[:, 0]))]
-            edges = edges[np.concatenate([[True], (edges[1:] != edges[:-1]).any(axis=1)])]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in edges.T.copy()], list(names))
+            for data in batch.column("packed").to_pylist():
+                numbers = np.frombuffer(data, "<i8").reshape(-1, width)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in numbers.T.copy()], list(names))
 
     return packed.select("packed").mapInArrow(unpack, ", ".join(f"{name} long" for name in names))
 
@@ -481,9 +486,10 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFr
     equal = staged(
         facts.join(classes, ["n_shingles", "x", "y"]).where("doc_id <> first").selectExpr("doc_id a", "first b"), "ngram-equal"
     )
-    met = _unpacked(found.where("kind = 'edges'").repartition(buckets // 4, "bucket"), 2)
-    hot = _hot_edges(_unpacked(found.where("kind = 'hot'"), 3), facts)
-    family = components(met.union(equal).union(hot)).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "family")
+    members = _unpacked(found.where("kind = 'hot'"), 3)
+    room = staged(_room(members, facts), "ngram-room")
+    met = _cold_edges(_unpacked(found.where("kind = 'pairs'"), 4), room)
+    family = components(met.union(equal).union(_hot_edges(members, room))).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "family")
     heads = classes.groupBy(F.col("first").alias("doc_id")).agg(F.sum("n_shingles").alias("size"), F.count(F.lit(1)).alias("sets"))
     members = family.join(heads, "doc_id")
     sizes = members.groupBy("family").agg(F.sum("size").alias("size"), F.sum("sets").alias("sets")).where("sets > 1")
