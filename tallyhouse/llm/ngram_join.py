@@ -21,7 +21,7 @@
    a group of copies costs about one walk each and never all pairs.
 4. Links found are joined to components.
 
-Filing travels as packed arrays, equal sets of one batch only once. A family beyond
+Filing and agreements travel as packed arrays, equal sets of one batch only once. A family beyond
 `BLOCK` elements is cut into blocks, and every pair of blocks is one group of its own.
 
 Defined results: without words or text, the set is empty, `n_shingles` is 0 and nothing is
@@ -56,7 +56,10 @@ BROADCAST = 2_000_000
 _U = np.uint64
 _NEXT = 1 << 15  # added to a document's place in a batch where it is filed for its next level
 _FILED = "bucket int, keys binary, places binary, docs binary, facts binary"
-_FOUND = "kind string, packed binary"
+_FOUND = "bucket int, kind string, packed binary"
+_TALLIED = "kind string, packed binary"
+#: Columns of the numbers packed under each kind, and which of them is the document they are dealt by.
+_PACKED = {"facts": (6, 0), "hot": (3, 1), "pairs": (4, 0)}
 
 
 class Similarity(NamedTuple):
@@ -206,19 +209,28 @@ class Union:
         return True
 
 
+def summed(pairs: np.ndarray) -> np.ndarray:
+    """Rows (a, b, c, n) with the sum of n for each (a, b, c)."""
+    pairs = pairs[np.lexsort(pairs[:, :3].T)]
+    begin = np.flatnonzero(np.concatenate([[True], (pairs[1:, :3] != pairs[:-1, :3]).any(axis=1)]))
+    return np.column_stack([pairs[begin, :3], np.add.reduceat(pairs[:, 3], begin)])
+
+
 def _meet(filed: DataFrame, buckets: int) -> DataFrame:
     """Per bucket of keys, packed: pairs that met and how often; who is in hot parts; facts, passed on.
 
     A pair is (a, b, c, n): two documents, the smaller first, their levels (2 if `a` is filed for
-    its next one, plus 1 if `b` is), and the parts on which they agree.
+    its next one, plus 1 if `b` is), and the parts on which they agree. All numbers are dealt by
+    their document, a pair by its smaller one.
     """
+    shares = buckets // 4
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, nexts = [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["facts"]:
-                    yield _row("facts", row["facts"])
+                    yield from _dealt("facts", np.frombuffer(row["facts"], "<i8").reshape(-1, 6))
                     continue
                 place = np.frombuffer(row["places"], "<u2")
                 keys.append(np.frombuffer(row["keys"], "<u8"))
@@ -233,50 +245,70 @@ def _meet(filed: DataFrame, buckets: int) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         hot = np.repeat(np.diff(np.concatenate([first, [len(key)]])) > HOT, np.diff(np.concatenate([first, [len(key)]])))
         if hot.any():
-            yield _row("hot", np.stack([key[hot].view(np.int64), node[hot], next_[hot]], axis=1).astype("<i8").tobytes())
+            yield from _dealt("hot", np.stack([key[hot].view(np.int64), node[hot], next_[hot]], axis=1))
         pairs = []
         for step in range(1, HOT):  # a part that is not hot holds at most HOT sets
             left = np.flatnonzero((key[step:] == key[:-step]) & ~hot[step:] & (node[step:] != node[:-step]))
             pairs.append(np.stack([node[left], node[left + step], 2 * next_[left] + next_[left + step]], axis=1))
         met = np.concatenate([*pairs, np.zeros((0, 3), np.int64)])
         if len(met):
-            met = met[np.lexsort(met.T)]
-            begin = np.flatnonzero(np.concatenate([[True], (met[1:] != met[:-1]).any(axis=1)]))
-            counted = np.column_stack([met[begin], np.diff(np.concatenate([begin, [len(met)]]))])
-            yield _row("pairs", counted.astype("<i8").tobytes())
-
-    def _row(kind: str, packed: bytes) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([packed], pa.binary())], ["kind", "packed"])
+            yield from _dealt("pairs", summed(np.column_stack([met, np.ones(len(met), np.int64)])))
+
+    def _dealt(kind: str, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
+        share = (mix(numbers[:, _PACKED[kind][1]].astype("<i8").view(_U)) % _U(shares)).astype(np.int64)
+        order = np.argsort(share, kind="stable")
+        numbers = numbers[order].astype("<i8")
+        cuts = np.searchsorted(share[order], np.arange(shares + 1))
+        some = np.flatnonzero(np.diff(cuts))
+        data = [numbers[cuts[b] : cuts[b + 1]].tobytes() for b in some]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array([kind] * len(some)), pa.array(data, pa.binary())], ["bucket", "kind", "packed"]
+        )
 
     return filed.mapInArrow(meet, _FOUND)
 
 
-def _room(members: DataFrame, facts: DataFrame) -> DataFrame:
-    """(doc_id, own_room, next_room): how many more hot parts a document could have at a level; below 0, too many.
+def _tally(found: DataFrame, shares: int) -> DataFrame:
+    """Packed (doc_id, own_room, next_room), and pairs (a, b, c, n) that agree on enough parts by the room of `a`.
 
-    `members`: (a, b, c) = key, document, whether it is filed for its next level.
+    The room is how many more hot parts a document could have at a level; below 0, too many.
+    Numbers meet as they are packed: pairs that share a passage agree on a part or two, and
+    are dropped before there is a row for any of them.
     """
-    hot = members.groupBy(F.col("b").alias("doc_id")).agg(F.sum(1 - F.col("c")).alias("own_hot"), F.sum("c").alias("next_hot"))
-    slack = facts.groupBy("doc_id").agg(F.min("own_slack").alias("own_slack"), F.min("next_slack").alias("next_slack"))
-    return slack.join(hot, "doc_id", "left").select(
-        "doc_id",
-        (F.col("own_slack") - F.coalesce("own_hot", F.lit(0))).alias("own_room"),
-        (F.col("next_slack") - F.coalesce("next_hot", F.lit(0))).alias("next_room"),
-    )
+
+    def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds: dict[str, list[np.ndarray]] = {kind: [np.zeros((0, width), np.int64)] for kind, (width, _) in _PACKED.items()}
+        for batch in batches:
+            for kind, data in zip(batch.column("kind").to_pylist(), batch.column("packed").to_pylist()):
+                kinds[kind].append(np.frombuffer(data, "<i8").reshape(-1, _PACKED[kind][0]))
+        facts, hot, pairs = (np.concatenate(kinds[kind]) for kind in _PACKED)
+        kinds.clear()
+        if not len(facts):
+            return
+        docs, place = np.unique(facts[:, 0], return_inverse=True)
+        room = np.full((len(docs), 2), np.iinfo(np.int64).max)
+        np.minimum.at(room, place, facts[:, 4:])
+        np.subtract.at(room, (docs.searchsorted(hot[:, 1]), hot[:, 2]), 1)
+        yield _row("room", np.column_stack([docs, room]))
+        if len(pairs):
+            pairs = summed(pairs)
+            yield _row("pairs", pairs[pairs[:, 3] > room[docs.searchsorted(pairs[:, 0]), pairs[:, 2] // 2]])
+
+    def _row(kind: str, numbers: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([numbers.astype("<i8").tobytes()], pa.binary())], ["kind", "packed"])
+
+    return found.repartition(shares, "bucket").select("kind", "packed").mapInArrow(tally, _TALLIED)
 
 
 def _cold_edges(pairs: DataFrame, room: DataFrame) -> DataFrame:
     """Edges (a, b) between documents that agree on as many parts as similar sets must.
 
     Similar sets agree on more than `spare` parts. Those of them that are weak or hot are weak
-    or hot for both, so at least 1 + room are neither, with the room of either set.
+    or hot for both, so at least 1 + room are neither, with the room of either set: that of `a`
+    was looked at in the tally, that of `b` is looked at here.
     """
-    counted = pairs.groupBy("a", "b", "c").agg(F.sum("d").alias("agreed"))
-    for side, is_next in (("a", F.col("c") >= 2), ("b", F.col("c") % 2 == 1)):
-        own = room.select(F.col("doc_id").alias(side), "own_room", "next_room")
-        counted = counted.join(own, side).where(F.col("agreed") > F.when(is_next, F.col("next_room")).otherwise(F.col("own_room")))
-        counted = counted.select("a", "b", "c", "agreed")
-    return counted.select("a", "b").distinct()
+    enough = F.col("d") > F.when(F.col("c") % 2 == 1, F.col("next_room")).otherwise(F.col("own_room"))
+    return pairs.join(room.withColumnRenamed("doc_id", "b"), "b").where(enough).select("a", "b").distinct()
 
 
 def _hot_edges(members: DataFrame, room: DataFrame) -> DataFrame:
@@ -487,8 +519,9 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFr
         facts.join(classes, ["n_shingles", "x", "y"]).where("doc_id <> first").selectExpr("doc_id a", "first b"), "ngram-equal"
     )
     members = _unpacked(found.where("kind = 'hot'"), 3)
-    room = staged(_room(members, facts), "ngram-room")
-    met = _cold_edges(_unpacked(found.where("kind = 'pairs'"), 4), room)
+    tallied = staged(_tally(found, buckets // 4), "ngram-tally")
+    room = staged(_unpacked(tallied.where("kind = 'room'"), 3), "ngram-room").toDF("doc_id", "own_room", "next_room")
+    met = _cold_edges(_unpacked(tallied.where("kind = 'pairs'"), 4), room)
     family = components(met.union(equal).union(_hot_edges(members, room))).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "family")
     heads = classes.groupBy(F.col("first").alias("doc_id")).agg(F.sum("n_shingles").alias("size"), F.count(F.lit(1)).alias("sets"))
     members = family.join(heads, "doc_id")

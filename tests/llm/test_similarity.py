@@ -257,3 +257,24 @@ def test_every_pair_of_a_cut_shard_meets_in_one_small_task():
             others = [r for r, o in members if r != row and (one == two or o != own)]
             met[row, others] += 1
     assert (met + np.eye(900, dtype=int) == 1).all()
+
+
+def test_agreements_are_added_up_before_they_become_rows(spark, monkeypatch):
+    """Documents that only share a passage in pairs make no row for the parts they agree on."""
+    from tallyhouse.llm import ngram_join
+
+    draw = random.Random(5)
+    text = lambda n: " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))
+    texts = []
+    for _ in range(40):
+        passage = text(40)
+        texts += [f"{text(60)} {passage}", f"{passage} {text(60)}"]
+    body = text(120).split()
+    texts += [" ".join(body), " ".join([*body[:-2], "other", "end"])]
+    seen = []
+    unpacked = ngram_join._unpacked
+    monkeypatch.setattr(ngram_join, "_unpacked", lambda packed, width: seen.append((width, unpacked(packed, width))) or seen[-1][1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {row["doc_id"]: row["component_id"] for row in ngram_join.ngram_components(docs).collect()}
+    assert found == {**{i: i for i in range(80)}, 80: 80, 81: 80}
+    assert sum(df.count() for width, df in seen if width == 4) <= 4  # the one near pair, at most at every two levels
