@@ -24,19 +24,19 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES
 from tallyhouse.functions.calendar import date_key
-from tallyhouse.operators.dedup import deduplicate, without_key
+from tallyhouse.operators.dedup import deduplicate, survivor_order, without_key
 from tallyhouse.operators.dense_key import with_dense_key
 from tallyhouse.operators.reconcile import match
 from tallyhouse.operators.standardize import ensure_column, standardize
 from tallyhouse.plans import dimensions, facts
 from tallyhouse.plans.bronze_load import BronzeLoader, Source
 from tallyhouse.plans.daily_run import star_layer
-from tallyhouse.plans.warehouse import DIMENSIONS, FACTS, Warehouse
+from tallyhouse.plans.warehouse import DIMENSIONS, FACTS, Warehouse, together
 from tallyhouse.sources.bronze import LOADED_AT, PARTITION, union_by_name
 from tallyhouse.sources.buckets import BucketedTable, among, remove_folder
 from tallyhouse.sources.gold import CLUSTERING, MONTH, month_of, write_fact
@@ -44,6 +44,7 @@ from tallyhouse.sources.storage import Stored, TableStore, if_present
 
 _LOAD_COLUMNS = (LOADED_AT, "pipeline_run_id", PARTITION)
 _DETAILS = ("refunds", "chargebacks")
+_NEW, _STATE = "__new", "__state"
 FACT_ENTITIES = {"fact_transaction": "transactions", "fact_refund": "refunds", "fact_chargeback": "chargebacks"}
 CODED = tuple(name for name in DIMENSIONS if name != "dim_date")
 
@@ -51,10 +52,9 @@ CODED = tuple(name for name in DIMENSIONS if name != "dim_date")
 class Change(NamedTuple):
     """What new loads do to an entity."""
 
-    keys: DataFrame  # every key loaded
-    buckets: list[int]  # of these keys
-    after: DataFrame  # surviving rows of these keys
-    changed: Stored  # keys whose surviving row differs in more than when it was loaded
+    buckets: list[int]  # of the keys loaded
+    merged: DataFrame  # surviving rows of these buckets
+    changed: DataFrame  # keys whose surviving row differs in more than when it was loaded
     was: DataFrame  # their rows before
     now: DataFrame  # their rows after
 
@@ -156,25 +156,35 @@ class Refresh:
         key, table = ENTITY_KEYS[entity][1], self.silver[entity]
         typed = standardize(loaded, entity)
         self.scratch.save(without_key(typed, entity), f"rejected/{entity}")
-        new = self._staged(table.conformed(typed.where(F.col(key).isNotNull())), f"new/{entity}")
-        keys = self._staged(new.select(key).distinct(), f"keys/{entity}")
-        buckets = table.touched(keys)
-        before = self._staged(table.read(buckets).join(keys, key, "left_semi"), f"before/{entity}")
-        after = self._staged(deduplicate(union_by_name([before, new]), entity), f"after/{entity}")
-        compared = [name for name in after.columns if name not in _LOAD_COLUMNS]
-
-        def content(df: DataFrame, name: str) -> DataFrame:
-            listed = (F.col(column) if column in df.columns else F.lit(None).alias(column) for column in compared)
-            return df.select(key, F.to_json(F.struct(*listed)).alias(name))
-
-        both = content(after, "now").join(content(before, "was"), key, "left")
-        changed = self.scratch.save(both.where(~F.col("now").eqNullSafe(F.col("was"))).select(key), f"changed/{entity}")
-        was, now = (df.join(changed.df, key, "left_semi") for df in (before, after))
-        return Change(keys, buckets, after, changed, self._staged(was, f"was/{entity}"), self._staged(now, f"now/{entity}"))
+        new = table.conformed(typed.where(F.col(key).isNotNull()))
+        buckets = table.touched(new)
+        both = union_by_name(
+            [table.read(buckets).withColumn(_NEW, F.lit(False)), deduplicate(new, entity).withColumn(_NEW, F.lit(True))]
+        )
+        # One shuffle by key tells everything: a key has at most its stored row and its best new one.
+        # It comes first, so that the texts that are compared do not travel.
+        both, plain = both.repartition(F.col(key)), both.drop(_NEW)
+        best_first = Window.partitionBy(key).orderBy(*survivor_order(plain, entity), F.asc(_NEW))
+        all_rows = best_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        content = F.to_json(F.struct(*(name for name in plain.columns if name not in _LOAD_COLUMNS)))
+        compared = both.withColumns(
+            {
+                "__first": F.row_number().over(best_first) == 1,
+                "__loaded": F.max(_NEW).over(all_rows),
+                "__now": F.first(content).over(all_rows),
+                "__was": F.max(F.when(~F.col(_NEW), content)).over(all_rows),
+            }
+        )
+        differs = F.col("__loaded") & ~F.col("__now").eqNullSafe(F.col("__was"))
+        state = F.when(F.col("__first"), F.when(differs, "now").otherwise("same")).when(differs & ~F.col(_NEW), "was")
+        told = compared.withColumn(_STATE, state).where(F.col(_STATE).isNotNull()).select(*plain.columns, _STATE)
+        rows = self.scratch.save(told, f"change/{entity}", [_STATE]).df
+        was, now = (rows.where(F.col(_STATE) == name).drop(_STATE) for name in ("was", "now"))
+        return Change(buckets, rows.where(F.col(_STATE) != "was").drop(_STATE), now.select(key), was, now)
 
     def _transactions(self, changes: dict[str, Change]) -> DataFrame:
         """Ids of the transactions that are changed or that a changed row belongs to, or belonged to."""
-        parts = [changes["transactions"].changed.df]
+        parts = [changes["transactions"].changed]
         for entity in _DETAILS:
             parts += [rows.select("transaction_id") for rows in (changes[entity].was, changes[entity].now)]
         ids = reduce(DataFrame.union, parts).where(F.col("transaction_id").isNotNull())
@@ -229,13 +239,14 @@ class Refresh:
         buckets = self.silver["transactions"].touched(ids)
         was = self._staged(self.silver["transactions"].read(buckets).join(ids, "transaction_id", "left_semi"), "was_matched")
         change = changes["transactions"]
-        now = union_by_name([was.join(change.changed.df, "transaction_id", "left_anti"), change.now])
+        now = union_by_name([was.join(change.changed, "transaction_id", "left_anti"), change.now])
         lines = []
         for entity in _DETAILS:
             key, change = ENTITY_KEYS[entity][1], changes[entity]
-            stored = self.lines[entity].read(buckets).join(ids, "transaction_id", "left_semi")
+            stored = self.lines[entity].read(buckets).join(change.changed, key, "left_anti")
             fresh = change.now.where(F.col("transaction_id").isNotNull()).select(*_line_columns(entity))
-            lines.append(stored.join(change.changed.df, key, "left_anti").unionByName(fresh))
+            # Last, so that the totals are added up where this shuffle has put the lines.
+            lines.append(stored.unionByName(fresh).join(ids, "transaction_id", "left_semi"))
         return was, self._staged(match(now.select(*facts.TRANSACTION_COLUMNS), *lines), "matched")
 
     def _details(self, entity: str, change: Change, added: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -245,7 +256,7 @@ class Refresh:
             stored = self.silver[entity].read()
             if dimension in added and column in stored.columns:
                 codes = added[dimension].select(F.col(code).alias(column))
-                parts.append(stored.join(codes, column, "left_semi").join(change.changed.df, key, "left_anti"))
+                parts.append(stored.join(codes, column, "left_semi").join(change.changed, key, "left_anti"))
         if not parts:
             return change.was, change.now
         resolved = self._staged(union_by_name(parts).dropDuplicates([key]), f"resolved/{entity}")
@@ -281,11 +292,8 @@ class Refresh:
 
     def _merge(self, entity: str, change: Change) -> None:
         """Put the surviving rows into their buckets."""
-        key, table = ENTITY_KEYS[entity][1], self.silver[entity]
-        if not change.buckets:
-            return
-        others = table.read(change.buckets).join(change.keys, key, "left_anti")
-        table.replace(self._staged(union_by_name([others, change.after]), f"merged/{entity}"), change.buckets)
+        if change.buckets:
+            self.silver[entity].replace(change.merged, change.buckets)
 
     def _merge_lines(self, entity: str, change: Change) -> None:
         key, table, columns = ENTITY_KEYS[entity][1], self.lines[entity], _line_columns(entity)
@@ -293,13 +301,19 @@ class Refresh:
         moved = change.was.where(F.col("transaction_id").isNotNull()).select("transaction_id").union(fresh.select("transaction_id"))
         buckets = table.touched(moved)
         if buckets:
-            others = table.read(buckets).join(change.changed.df, key, "left_anti")
+            others = table.read(buckets).join(change.changed, key, "left_anti")
             table.replace(self._staged(others.unionByName(fresh), f"merged_lines/{entity}"), buckets)
 
     def update(self, loaded: dict[str, DataFrame]) -> None:
         """Merge new loads and refresh what they touch."""
-        changes = {entity: self.change(entity, rows) for entity, rows in loaded.items()}
-        if any(change.changed.rows for change in changes.values()):
+        changes: dict[str, Change] = {}
+
+        def compare(entity: str) -> None:
+            changes[entity] = self.change(entity, loaded[entity])
+
+        together(self.spark, (lambda entity=entity: compare(entity) for entity in loaded))
+        changes = {entity: changes[entity] for entity in loaded}
+        if any(not change.changed.isEmpty() for change in changes.values()):
             added = self._add_codes(changes)
             self._extend_calendar(changes)
             dims = self._dims()
@@ -308,10 +322,8 @@ class Refresh:
             for entity, name, build in zip(_DETAILS, FACTS[1:], (facts.fact_refund, facts.fact_chargeback), strict=True):
                 was, now = self._details(entity, changes[entity], added)
                 self._write_fact(name, was, now, build(ensure_column(now, "currency", "string"), dims))
-        for entity in _DETAILS:
-            self._merge_lines(entity, changes[entity])
-        for entity, change in changes.items():
-            self._merge(entity, change)
+        together(self.spark, (lambda entity=entity: self._merge_lines(entity, changes[entity]) for entity in _DETAILS))
+        together(self.spark, (lambda entity=entity: self._merge(entity, changes[entity]) for entity in changes))
         for entity in changes:
             rejected = self.scratch.read(f"rejected/{entity}")
             rejected.write.mode("append").parquet(f"{self.lake}/silver/rejected_{entity}")

@@ -28,11 +28,12 @@ def among(column: str, values: Iterable) -> Column:
 def replace_partitions(content: DataFrame, path: str, column: str, touched: Iterable) -> None:
     """Replace the touched partitions by `content`; all others stay as they are, file by file.
 
-    `content` must not be read from `path`. Touched partitions that it has no rows for
+    Large partitions become several files, small ones one. `content` must not be read from `path`. Touched partitions that it has no rows for
     are removed once the others are in place.
     """
     spark = content.sparkSession
-    content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    dealt = content.hint("rebalance", column)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     kept = {row[column] for row in content.select(column).distinct().collect()}  # at most the touched ones
     for value in set(touched) - kept:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
@@ -86,8 +87,8 @@ class BucketedTable:
         """Write some buckets anew, or the whole table. Large buckets become several files, small ones one."""
         content = self.conformed(content)
         remember_schema(self.spark, self._schemas, content.schema)
-        dealt = content.withColumn(BUCKET, self._bucket(self.key)).hint("rebalance", BUCKET)
+        dealt = content.withColumn(BUCKET, self._bucket(self.key))
         if buckets is None:
-            dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(self.path)
+            dealt.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.path)
         else:
             replace_partitions(dealt, self.path, BUCKET, buckets)

@@ -210,3 +210,18 @@ def test_untouched_buckets_are_not_read(spark, store):
     # A column keeps its first type.
     table.replace(spark.sql("SELECT 3L AS id, 'many' AS twice"), bucket)
     assert rows(table.read(bucket)) == [(3, None, None)]
+
+
+def test_a_refresh_compares_an_entity_with_its_buckets_in_one_pass(spark, store, monkeypatch):
+    lake, loads = store.path("lake"), first_load()
+    bring(spark, lake, source_of(spark, loads), "one")
+    reads, saved = [], []
+    read, save = BucketedTable.read, plan_module.TableStore.save
+    monkeypatch.setattr(BucketedTable, "read", lambda self, *rest: reads.append(self.path.split("/")[-1]) or read(self, *rest))
+    monkeypatch.setattr(plan_module.TableStore, "save", lambda self, df, name, *rest: saved.append(name) or save(self, df, name, *rest))
+    more = {"refunds": [(*row[:4], row[4] + 1, *row[5:7], 2) for row in loads["refunds"][:20]]}
+    bring(spark, lake, source_of(spark, loads, more), "two")
+    assert reads.count("refunds") == 1  # not once more to merge
+    assert [name for name in saved if name.endswith("/refunds")] == ["rejected/refunds", "change/refunds", "merged_lines/refunds"]
+    monkeypatch.undo()
+    assert_like_a_rebuild(spark, lake)
