@@ -91,57 +91,65 @@ def _breaks(check: Check) -> Column:
     }[check.rule]()
 
 
-def _entries(df: DataFrame, numbers: dict[Check, int], table: str) -> DataFrame:
-    """(check, key, n) from one scan of a table: its keys, each row once per key, and the rules its rows break."""
-    keyed = [check for check in numbers if check.table_name == table and check.rule in _KEYED]
-    plain = [check for check in numbers if check.table_name == table and check.rule not in _KEYED]
+def _entries(df: DataFrame, places: dict[Check, tuple[int, int]], table: str) -> DataFrame:
+    """(target, slot, key) from one scan of a table: its keys, each row once per key, and the rules its rows break."""
+    keyed = [check for check in places if check.table_name == table and check.rule in _KEYED]
+    plain = [check for check in places if check.table_name == table and check.rule not in _KEYED]
     none = F.lit(None).cast("bigint")
-    found = [
-        F.struct(F.lit(numbers[check]).alias("check"), F.col(check.column_name).cast("bigint").alias("key")) for check in keyed
-    ] + [F.when(_breaks(check), F.struct(F.lit(numbers[check]).alias("check"), none.alias("key"))) for check in plain]
-    return df.select(F.explode(F.array_compact(F.array(*found))).alias("found")).select("found.check", "found.key")
+
+    def entry(check: Check, key: Column) -> Column:
+        target, slot = places[check]
+        return F.struct(F.lit(target).alias("target"), F.lit(slot).alias("slot"), key.alias("key"))
+
+    found = [entry(check, F.col(check.column_name).cast("bigint")) for check in keyed]
+    found += [F.when(_breaks(check), entry(check, none)) for check in plain]
+    return df.select(F.explode(F.array_compact(F.array(*found))).alias("found")).select("found.*")
 
 
 def _violations(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One row per check with the number of rows that break it, zeros included.
 
-    Every table is scanned once. Keys are counted first, inside the map tasks, so a hot
-    key weighs as much as any other; the counts of a dimension's own keys tell which keys
-    of the facts are known, so neither facts nor dimensions are joined.
+    Every table is scanned once. Keys are counted inside the map tasks, so a hot key weighs
+    as much as any other, and shuffled once: the counts of a dimension's own keys and of the
+    facts' references to them lie in slots of one row per key. So neither facts nor
+    dimensions are joined.
     """
     owner = {check: Check(target, "primary_key", GOLD_TABLES[target][0].name) for check in checks for target in [_target(check)] if target}
-    everything = list(dict.fromkeys([*checks, *owner.values()]))
-    numbers = {check: number for number, check in enumerate(everything)}
-    targets = {numbers[check]: numbers[owner.get(check, check)] for check in everything}
+    everything = list(dict.fromkeys([*owner.values(), *checks]))
+    sharing: dict[Check, list[Check]] = {}
+    for check in everything:
+        sharing.setdefault(owner.get(check, check), []).append(check)
+    # The slot of a target's own keys, or of the rows that break a plain rule, is the first.
+    places = {check: (number, slot) for number, alike in enumerate(sharing.values()) for slot, check in enumerate(alike)}
+    width = max(map(len, sharing.values()))
     names = list(dict.fromkeys(check.table_name for check in everything))
-    counted = (
-        reduce(DataFrame.unionByName, (_entries(tables[name], numbers, name) for name in names))
-        .groupBy("check", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    own = F.col("check") == F.col("target")
+    counts = (F.count_if(F.col("slot") == slot).alias(f"n{slot}") for slot in range(width))
     per_key = (
-        counted.withColumn("target", mapped("check", targets))
+        reduce(DataFrame.unionByName, (_entries(tables[name], places, name) for name in names))
         .groupBy("target", "key")
-        .agg(F.bool_or(own).alias("known"), F.collect_list(F.struct("check", "n")).alias("counts"))
-        .select("target", "key", "known", F.explode("counts").alias("one"))
-        .select("target", "key", "known", "one.check", "one.n")
-    )
-    rules = {number: check.rule for check, number in numbers.items()}
-    missing = F.col("key").isNotNull() & ~F.col("known")
-    broken = (
-        F.when(mapped("check", rules) == "primary_key", F.col("n") - 1)
-        .when(mapped("check", rules) == "foreign_key", F.when(missing, F.col("n")).otherwise(0))
-        .otherwise(F.col("n"))
+        .agg(*counts)
     )
+    unique = [places[check][0] for check in everything if check.rule == "primary_key"]
+    own = F.col("n0")
+    repeated = F.when(F.col("target").isin(unique) & (own > 0), own - 1).otherwise(own)
+    missing = F.col("key").isNotNull() & (own == 0)
+    broken = [repeated] + [F.when(missing, F.col(f"n{slot}")).otherwise(0) for slot in range(1, width)]
+    number = {check: target * width + slot for check, (target, slot) in places.items()}
     spark = tables[names[0]].sparkSession
-    listed = [numbers[check] for check in checks]
+    listed = [number[check] for check in checks]
     zeros = spark.range(1).select(F.explode(F.array(*map(F.lit, listed))).alias("check"), F.lit(0).cast("bigint").alias("broken"))
-    total = per_key.select("check", broken.alias("broken")).union(zeros).where(F.col("check").isin(listed))
+    found = (
+        per_key.groupBy("target")
+        .agg(F.array(*(F.sum(value) for value in broken)).alias("sums"))
+        .select("target", F.posexplode("sums").alias("slot", "broken"))
+        .select((F.col("target") * width + F.col("slot")).alias("check"), "broken")
+    )
     return (
-        total.groupBy("check")
+        found.union(zeros)
+        .where(F.col("check").isin(listed))
+        .groupBy("check")
         .agg(F.sum("broken").alias("violations"))
-        .select(*(mapped("check", {numbers[c]: c[at] for c in checks}).alias(name) for at, name in enumerate(Check._fields)), "violations")
+        .select(*(mapped("check", {number[c]: c[at] for c in checks}).alias(name) for at, name in enumerate(Check._fields)), "violations")
     )
 
 

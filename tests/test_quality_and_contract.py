@@ -1,6 +1,7 @@
 """Checks and the table contract on hand-made rows."""
 
 import datetime as dt
+import re
 
 import pytest
 
@@ -193,6 +194,38 @@ def test_contract_violations_are_counted_per_column(spark):
     assert ("fact_refund", "refund_key", 1) in rows(primary_key_violations(tables).select(*columns))
 
 
+def test_contract_keys_are_shuffled_once(spark):
+    keys = "refund_key bigint, refund_date_key int, merchant_key int, currency_key int, refund_reason_key int"
+    data = [(1, 1, 5, 1, 1), (1, 1, 5, 1, 1), (None, None, 1, 2, 1), (None, 2, None, 2, 1), (None, 3, 1, 1, 7)]
+    fields = {field.name: field.kind for field in GOLD_TABLES["fact_refund"]}
+    facts = spark.createDataFrame(data, keys).selectExpr(
+        *(name if name.endswith("_key") else f"CAST(NULL AS {kind}) AS {name}" for name, kind in fields.items())
+    )
+    tables = {
+        "dim_date": spark.sql("SELECT explode(array(1, 1, 3, NULL, NULL)) AS date_key"),
+        "dim_merchant": spark.sql("SELECT 1 AS merchant_key"),
+        "dim_currency": spark.sql("SELECT 1 AS currency_key"),
+        "dim_refund_reason": spark.sql("SELECT 1 AS refund_reason_key"),
+        "fact_refund": facts,
+    }
+    columns = ("table_name", "column_name", "violations")
+    found = foreign_key_violations(tables)
+    assert rows(found.select(*columns)) == [
+        ("fact_refund", "currency_key", 2),
+        ("fact_refund", "merchant_key", 2),
+        ("fact_refund", "refund_date_key", 1),
+        ("fact_refund", "refund_reason_key", 1),
+    ]
+    assert rows(primary_key_violations(tables).select(*columns)) == [
+        ("dim_currency", "currency_key", 0),
+        ("dim_date", "date_key", 2),
+        ("dim_merchant", "merchant_key", 0),
+        ("dim_refund_reason", "refund_reason_key", 0),
+        ("fact_refund", "refund_key", 3),
+    ]
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*\bkey#", plan(found))) == 1
+
+
 def test_rules_of_empty_tables_are_listed(spark):
     tables = {
         name: spark.createDataFrame([], ", ".join(f"{field.name} {field.kind}" for field in fields))
