@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import ENTITY_KEYS, ENTITY_MEASURES
+from tallyhouse.operators.standardize import standardize
 from tallyhouse.sources.bronze import LOADED_AT
 
 _RANK = "__rank"
@@ -44,6 +45,19 @@ def deduplicate(df: DataFrame, entity: str) -> DataFrame:
     return keep_first(df.where(F.col(key).isNotNull()), key, survivor_order(df, entity))
 
 
+def cleaned(df: DataFrame, entity: str) -> DataFrame:
+    """Typed surviving rows of a raw entity.
+
+    Where the published date is the raw `date`, already a date, one of the two equal
+    columns is enough to tell rows apart, so the other is added after the shuffle.
+    """
+    day = ENTITY_MEASURES[entity][0]
+    typed = standardize(df, entity)
+    if day in df.columns or dict(df.dtypes).get("date") != "date":
+        return deduplicate(typed, entity)
+    return deduplicate(typed.drop("date"), entity).withColumn("date", F.col(day)).select(*typed.columns)
+
+
 def without_key(df: DataFrame, entity: str) -> DataFrame:
     """Rows whose primary key is null: they cannot be matched and are kept apart."""
     return df.where(F.col(ENTITY_KEYS[entity][1]).isNull())

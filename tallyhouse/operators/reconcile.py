@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,15 +27,18 @@ def rollup(df: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def match(transactions: DataFrame, refunds: DataFrame, chargebacks: DataFrame) -> DataFrame:
+def match(transactions: DataFrame, refunds: DataFrame, chargebacks: DataFrame, large: Collection[str] = ()) -> DataFrame:
     """Every transaction with both rollups beside it; nulls where there is none.
 
     All three inputs are unique per transaction when joined, so rows can neither
     multiply nor pile up on a key. Facts and the published base share this table.
+    Rollups of entities named in `large` are not broadcast, however small their
+    compressed files look.
     """
     paired = transactions
     for entity, df in (("refunds", refunds), ("chargebacks", chargebacks)):
-        paired = paired.join(rollup(df, entity), "transaction_id", "left")
+        totals = rollup(df, entity)
+        paired = paired.join(totals.hint("merge") if entity in large else totals, "transaction_id", "left")
     return paired
 
 

@@ -15,7 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.fixed_values import ENTITY_KEYS, GOLD_TABLES
-from tallyhouse.operators.dedup import deduplicate, without_key
+from tallyhouse.operators.dedup import cleaned, without_key
 from tallyhouse.operators.dense_key import PLACE, numbered, placed
 from tallyhouse.operators.lookup import BROADCAST_ROWS
 from tallyhouse.operators.quality import quality_report
@@ -90,7 +90,7 @@ class Warehouse:
     def _build_silver(self, entity: str) -> Stored:
         if entity not in ENTITY_KEYS:
             raise KeyError(entity)
-        return self.store.save(deduplicate(standardize(self.bronze[entity], entity), entity), f"silver/{entity}")
+        return self.store.save(cleaned(self.bronze[entity], entity), f"silver/{entity}")
 
     def rejects(self, entity: str) -> DataFrame:
         """Rows that cannot be matched because their primary key is null."""
@@ -106,7 +106,8 @@ class Warehouse:
     def _build_match(self, name: str) -> Stored:
         self.build_silver()
         transactions = self.silver["transactions"].select(*facts.TRANSACTION_COLUMNS)
-        matched = match(transactions, self.silver["refunds"], self.silver["chargebacks"])
+        large = [entity for entity, stored in self.stored_silver.items() if stored.rows > self.broadcast_rows]
+        matched = match(transactions, self.silver["refunds"], self.silver["chargebacks"], large)
         return self.store.save(matched, f"silver/{name}")
 
     @property

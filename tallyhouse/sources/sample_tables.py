@@ -35,12 +35,18 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _returned_lines(spark: SparkSession, folder: str, condition: Column) -> DataFrame:
-    """Line items with their order's merchant. Orders are unique here, lines per order are not: AQE splits hot orders."""
+def _returned_lines(spark: SparkSession, folder: str, condition: Column, factor: Column) -> DataFrame:
+    """Day and amount of line items with their order's merchant, worked out before both sides are shuffled.
+
+    Orders are unique here, lines per order are not: AQE splits hot orders.
+    """
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), _merchant(F.col("o_custkey")).alias("merchant_id")
     )
-    return table(spark, folder, "lineitem").where(condition).join(orders, "l_orderkey")
+    lines = table(spark, folder, "lineitem").where(condition).select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("date"), _price_times(factor).alias("amount")
+    )
+    return lines.join(orders, "l_orderkey")
 
 
 def _line_id() -> Column:
@@ -64,24 +70,24 @@ def refunds(spark: SparkSession, folder: str) -> DataFrame:
         "goodwill",
         "duplicate__charge",
     )
-    return _returned_lines(spark, folder, F.col("l_returnflag") == "R").select(
+    return _returned_lines(spark, folder, F.col("l_returnflag") == "R", F.lit(1) - discount).select(
         _line_id().alias("refund_id"),
         (F.col("l_orderkey") + orphan).cast("string").alias("transaction_id"),
         "merchant_id",
-        F.col("l_shipdate").cast("date").alias("date"),
-        _price_times(F.lit(1) - discount).alias("refund_amount"),
+        "date",
+        F.col("amount").alias("refund_amount"),
         F.try_element_at(F.array(*map(F.lit, reasons)), F.col("l_linenumber")).alias("reason"),
     )
 
 
 def chargebacks(spark: SparkSession, folder: str) -> DataFrame:
     condition = (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")
-    return _returned_lines(spark, folder, condition).select(
+    return _returned_lines(spark, folder, condition, F.col("l_discount").cast("decimal(4,2)")).select(
         _line_id().alias("chargeback_id"),
         F.col("l_orderkey").cast("string").alias("transaction_id"),
         "merchant_id",
-        F.col("l_shipdate").cast("date").alias("date"),
-        _price_times(F.col("l_discount").cast("decimal(4,2)")).alias("chargeback_amount"),
+        "date",
+        F.col("amount").alias("chargeback_amount"),
         F.concat(F.lit("10."), F.col("l_linenumber").cast("string")).alias("reason_code"),
     )
 

@@ -73,7 +73,7 @@ class TableStore:
         path = self.path(name)
 
         def write(rows: DataFrame) -> None:
-            writer = rows.write.mode(mode).option("compression", "snappy")
+            writer = rows.write.mode(mode).option("compression", "zstd")
             (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
         rows = observed_write(df, write)["rows"]

@@ -5,9 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.dedup import deduplicate, keep_first, survivor_order, without_key
+from tallyhouse.operators.dedup import cleaned, deduplicate, keep_first, survivor_order, without_key
 from tallyhouse.operators.reconcile import match, reconciliation_base, rollup
 from tallyhouse.operators.standardize import ensure_column, standardize
+from tallyhouse.sources import sample_tables
 from tests.conftest import plan, rows
 
 DAY = dt.date(2024, 1, 5)
@@ -103,6 +104,44 @@ def test_duplicates_are_trimmed_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
 
 
+def shuffled_columns(df, node):
+    """Columns that enter the first side of the uppermost `node` of the optimized plan."""
+    at = df._jdf.queryExecution().optimizedPlan()
+    while at.nodeName() != node:
+        at = at.children().head()
+    output = at.children().head().output()
+    return {output.apply(i).name() for i in range(output.size())}
+
+
+@pytest.mark.parametrize("kind", ["date", "string", "timestamp"])
+def test_cleaned_rows_equal_typed_survivors(spark, kind):
+    raw = refunds(spark, ("a", "1", DAY, 1.0, "x"), ("a", "1", DAY, 2.0, "y"), ("a", "2", None, 9.0, "z"), (None, "1", DAY, 1.0, ""), ("b", "1", None, None, ""))
+    raw = raw.withColumn("date", F.col("refund_date").cast(kind)).drop("refund_date")
+    usual = deduplicate(standardize(raw, "refunds"), "refunds")
+    found = cleaned(raw, "refunds")
+    assert found.dtypes == usual.dtypes
+    assert rows(found) == rows(usual)
+    assert ("date" in shuffled_columns(found, "Window")) == (kind != "date")
+
+
+def test_a_published_date_beside_the_raw_one_is_cleaned_as_it_is(spark):
+    raw = refunds(spark, ("a", "1", DAY, 1.0, "x"), ("a", "1", DAY, 1.0, "w")).withColumn("date", F.date_add("refund_date", F.length("note")))
+    usual = deduplicate(standardize(raw, "refunds"), "refunds")
+    found = cleaned(raw, "refunds")
+    assert found.dtypes == usual.dtypes and rows(found) == rows(usual)
+
+
+def test_amounts_of_lines_are_worked_out_before_the_shuffle(spark, tmp_path):
+    spark.sql("SELECT 7L AS o_orderkey, 53L AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = "7L AS l_orderkey, 1 AS l_linenumber, 10.05D AS l_extendedprice, 0.1D AS l_discount, DATE '2024-01-05' AS l_shipdate"
+    spark.sql(f"SELECT {lines}, 'R' AS l_returnflag, 'F' AS l_linestatus UNION ALL SELECT {lines}, 'A', 'F'").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found, disputed = (sample_tables.ENTITIES[name](spark, str(tmp_path)) for name in ("refunds", "chargebacks"))
+    assert rows(found) == [("7-1", "7", "M003", DAY, 9.05, "fraud_suspected")]
+    assert rows(disputed) == [("7-1", "7", "M003", DAY, 1.01, "10.1")]
+    for df in (found, disputed):
+        assert shuffled_columns(df, "Join") == {"l_orderkey", "l_linenumber", "date", "amount"}
+
+
 @pytest.fixture
 def entities(spark):
     transactions = spark.createDataFrame(
@@ -147,3 +186,9 @@ def test_every_transaction_appears_once_in_the_base(entities):
         ("3", None, DAY, None, None, 3.0, DAY),
         ("4", 10.0, None, None, None, None, None),
     ]
+
+
+def test_large_rollups_are_not_broadcast(entities):
+    usual, large = match(*entities), match(*entities, large=("refunds", "chargebacks"))
+    assert "BroadcastHashJoin" not in plan(large)
+    assert rows(large) == rows(usual)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,6 +123,11 @@ def test_a_warehouse_without_broadcasts_builds_the_same_facts(spark, store):
         assert rows(shuffled.gold(name)) == rows(usual.gold(name))
 
 
+def test_stored_tables_are_packed_tightly(tiny):
+    stored = Path(tiny.stored_silver["refunds"].path).glob("*.parquet")
+    assert all(file.name.endswith(".zstd.parquet") for file in stored)
+
+
 def test_rejected_rows_are_counted(spark, tiny):
     keyless = spark.createDataFrame([(None, "1", "m1", DAY, 1.0, "x", "USD")], tiny.bronze["refunds"].drop("load_timestamp", "pipeline_run_id", "source_system").schema)
     tiny.bronze["refunds"] = tiny.bronze["refunds"].unionByName(add_audit_columns(keyless, "run", "CARDS"))
