@@ -11,16 +11,24 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import RISK_CATEGORIES
 from tallyhouse.functions.calendar import date_key
 from tallyhouse.functions.money import rate_pct, total
+from tallyhouse.plans.warehouse import together
 
 Gold = Callable[[str], DataFrame]
 
 
+def _side_by_side(gold: Gold, names: Sequence[str]) -> dict[str, DataFrame]:
+    """Several tables of a report; those that are not built yet are built at the same time."""
+    found: dict[str, DataFrame] = {}
+    together(SparkSession.active(), (lambda name=name: found.update({name: gold(name)}) for name in names))
+    return found
+
+
 def _count() -> Column:
     return F.count(F.lit(1))
 
@@ -198,12 +206,12 @@ def status_breakdown(gold: Gold) -> DataFrame:
 
 def refund_vs_chargeback(gold: Gold) -> DataFrame:
     """Refunds and chargebacks per day, zero where only the other kind occurred."""
-    parts = []
+    facts, parts = _side_by_side(gold, ("fact_refund", "fact_chargeback")), []
     for name, key, column in (
         ("fact_refund", "refund_date_key", "refund_count"),
         ("fact_chargeback", "chargeback_date_key", "chargeback_count"),
     ):
-        counts = gold(name).groupBy(F.col(key).alias("date_key")).agg(_count().alias(column))
+        counts = facts[name].groupBy(F.col(key).alias("date_key")).agg(_count().alias(column))
         parts.append(counts)
     refunds, chargebacks = parts
     both = (
@@ -260,7 +268,8 @@ def sliced_summary(gold: Gold, **slicers) -> DataFrame:
 
 def row_counts(gold: Gold, tables: Sequence[str]) -> DataFrame:
     """Rows per table."""
-    first, *rest = (gold(name).agg(_count().alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name in tables)
+    built = _side_by_side(gold, tables)
+    first, *rest = (built[name].agg(_count().alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name in tables)
     for counted in rest:
         first = first.union(counted)
     return first

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,17 @@ def test_stored_tables_are_packed_tightly(tiny):
     assert all(file.name.endswith(".zstd.parquet") for file in stored)
 
 
+def test_facts_of_one_report_are_built_side_by_side(tiny):
+    both = Barrier(2)
+
+    def gold(name):
+        if name in ("fact_refund", "fact_chargeback"):
+            both.wait(60)  # breaks when the other fact is asked for only afterwards
+        return tiny.gold(name)
+
+    assert rows(reports.refund_vs_chargeback(gold)) == [(DAY, 2, 0), (LATER, 1, 1)]
+
+
 def test_rejected_rows_are_counted(spark, tiny):
     keyless = spark.createDataFrame([(None, "1", "m1", DAY, 1.0, "x", "USD")], tiny.bronze["refunds"].drop("load_timestamp", "pipeline_run_id", "source_system").schema)
     tiny.bronze["refunds"] = tiny.bronze["refunds"].unionByName(add_audit_columns(keyless, "run", "CARDS"))
