@@ -65,8 +65,12 @@ def drop_staged(spark: SparkSession) -> None:
         _STAGED.remove(entry)
 
 
-#: Whether Spark removes the shuffle files of a query when it has ended.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: Spark removes the shuffle files of the query when it has ended, and
+#: Arrow batches for Python workers are cut by bytes, not only by rows; both sides hold them whole.
+_WHILE_STAGED = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+}
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -76,12 +80,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     chain of stages never holds more than one stage's shuffles on disk.
     """
     spark = df.sparkSession
-    path, before = scratch(spark, name), spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    path, before = scratch(spark, name), {key: spark.conf.get(key, None) for key in _WHILE_STAGED}
     try:
+        for key, value in _WHILE_STAGED.items():
+            spark.conf.set(key, value)
         df.write.mode("overwrite").parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     folder, system = _folder(spark, path)
     system.deleteOnExit(folder)
     _STAGED.append((spark.sparkContext.applicationId, path))
@@ -114,7 +120,8 @@ def slices(
         for at, size in enumerate(sizes):
             if (total + size > limit or at - start == rows) and at > start:
                 yield batch.slice(start, at - start)
+                give_back()
                 start, total = at, 0
             total += size
         yield batch.slice(start)
-    give_back()
+        give_back()

@@ -145,35 +145,38 @@ def _file(docs: DataFrame, like: Similarity, buckets: int) -> DataFrame:
     def file(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in slices(batches, "text", 8 << 20, _NEXT):
-            facts, first, keys, places = [], {}, [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                elements = shingles(text, like.words, known)
-                digest = (int(elements.sum(dtype=_U)), int(mix(elements + _U(1)).sum(dtype=_U)))
-                facts.append((doc_id, len(elements), *map(_signed, digest), 0, 0))
-                if not len(elements) or digest in first:
-                    continue
-                place = first[digest] = len(facts) - 1
-                found, slack = filing_keys(elements, like.percent)
-                facts[-1] = (*facts[-1][:4], *slack)
-                keys += found
-                places += [np.full(len(k), place + next_, np.uint16) for k, next_ in zip(found, (0, _NEXT))]
-            facts_ = np.array(facts, "<i8")
-            yield _filed([-1 - int(facts_[0, 0]) % buckets], [b""], [b""], [b""], [facts_.tobytes()])
-            if not keys:
+            yield from one(batch, known)  # whose arrays are gone before the next slice
+
+    def one(batch: pa.RecordBatch, known: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        facts, first, keys, places = [], {}, [], []
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            elements = shingles(text, like.words, known)
+            digest = (int(elements.sum(dtype=_U)), int(mix(elements + _U(1)).sum(dtype=_U)))
+            facts.append((doc_id, len(elements), *map(_signed, digest), 0, 0))
+            if not len(elements) or digest in first:
                 continue
-            keys_, places_ = np.concatenate(keys), np.concatenate(places)
-            bucket = (keys_ >> _U(40)) % _U(buckets)
-            order = np.argsort(bucket, kind="stable")
-            keys_, places_ = keys_[order], places_[order]
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=_U))
-            some = np.flatnonzero(np.diff(cuts))
-            rows = []
-            for b in some:
-                here = slice(cuts[b], cuts[b + 1])
-                used, local = np.unique(places_[here] % _NEXT, return_inverse=True)
-                local += places_[here] // _NEXT * _NEXT
-                rows.append((int(b), keys_[here].tobytes(), local.astype("<u2").tobytes(), facts_[used, 0].tobytes(), b""))
-            yield _filed(*zip(*rows))
+            place = first[digest] = len(facts) - 1
+            found, slack = filing_keys(elements, like.percent)
+            facts[-1] = (*facts[-1][:4], *slack)
+            keys += found
+            places += [np.full(len(k), place + next_, np.uint16) for k, next_ in zip(found, (0, _NEXT))]
+        facts_ = np.array(facts, "<i8")
+        yield _filed([-1 - int(facts_[0, 0]) % buckets], [b""], [b""], [b""], [facts_.tobytes()])
+        if not keys:
+            return
+        keys_, places_ = np.concatenate(keys), np.concatenate(places)
+        bucket = (keys_ >> _U(40)) % _U(buckets)
+        order = np.argsort(bucket, kind="stable")
+        keys_, places_ = keys_[order], places_[order]
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=_U))
+        some = np.flatnonzero(np.diff(cuts))
+        rows = []
+        for b in some:
+            here = slice(cuts[b], cuts[b + 1])
+            used, local = np.unique(places_[here] % _NEXT, return_inverse=True)
+            local += places_[here] // _NEXT * _NEXT
+            rows.append((int(b), keys_[here].tobytes(), local.astype("<u2").tobytes(), facts_[used, 0].tobytes(), b""))
+        yield _filed(*zip(*rows))
 
     def _filed(*columns: Iterable) -> pa.RecordBatch:
         kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
@@ -226,33 +229,37 @@ def _meet(filed: DataFrame, buckets: int) -> DataFrame:
     shares = buckets // 4
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, nexts = [], [], []
+        bucket, parts, pairs = None, [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["facts"]:
                     yield from _dealt("facts", np.frombuffer(row["facts"], "<i8").reshape(-1, 6))
                     continue
+                if row["bucket"] != bucket:  # rows of a bucket stand together: a task holds one at a time
+                    yield from _hot(parts, pairs)
+                    bucket = row["bucket"]
                 place = np.frombuffer(row["places"], "<u2")
-                keys.append(np.frombuffer(row["keys"], "<u8"))
-                nodes.append(np.frombuffer(row["docs"], "<i8")[place % _NEXT])
-                nexts.append(place >= _NEXT)
-        if not keys:
+                parts.append((np.frombuffer(row["keys"], "<u8"), np.frombuffer(row["docs"], "<i8")[place % _NEXT], place >= _NEXT))
+        yield from _hot(parts, pairs)
+        if pairs:
+            yield from _dealt("pairs", summed(np.concatenate(pairs)))
+
+    def _hot(parts: list[tuple], pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Who is in hot parts of one bucket, whose list is emptied; pairs that met there are added to `pairs`."""
+        if not parts:
             return
-        key, node, next_ = np.concatenate(keys), np.concatenate(nodes), np.concatenate(nexts).astype(np.int64)
-        keys.clear(), nodes.clear(), nexts.clear()
+        key, node, next_ = (np.concatenate(x) for x in zip(*parts))
+        parts.clear()
         order = np.lexsort((node, key))
-        key, node, next_ = key[order], node[order], next_[order]
+        key, node, next_ = key[order], node[order], next_[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         hot = np.repeat(np.diff(np.concatenate([first, [len(key)]])) > HOT, np.diff(np.concatenate([first, [len(key)]])))
         if hot.any():
             yield from _dealt("hot", np.stack([key[hot].view(np.int64), node[hot], next_[hot]], axis=1))
-        pairs = []
         for step in range(1, HOT):  # a part that is not hot holds at most HOT sets
             left = np.flatnonzero((key[step:] == key[:-step]) & ~hot[step:] & (node[step:] != node[:-step]))
-            pairs.append(np.stack([node[left], node[left + step], 2 * next_[left] + next_[left + step]], axis=1))
-        met = np.concatenate([*pairs, np.zeros((0, 3), np.int64)])
-        if len(met):
-            yield from _dealt("pairs", summed(np.column_stack([met, np.ones(len(met), np.int64)])))
+            if len(left):
+                pairs.append(np.stack([node[left], node[left + step], 2 * next_[left] + next_[left + step], np.ones(len(left), np.int64)], axis=1))
 
     def _dealt(kind: str, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
         share = (mix(numbers[:, _PACKED[kind][1]].astype("<i8").view(_U)) % _U(shares)).astype(np.int64)
@@ -265,7 +272,7 @@ def _meet(filed: DataFrame, buckets: int) -> DataFrame:
             [pa.array(some, pa.int32()), pa.array([kind] * len(some)), pa.array(data, pa.binary())], ["bucket", "kind", "packed"]
         )
 
-    return filed.mapInArrow(meet, _FOUND)
+    return filed.sortWithinPartitions("bucket").mapInArrow(meet, _FOUND)
 
 
 def _tally(found: DataFrame, shares: int) -> DataFrame:

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm._shared import shuffle_width, slices, staged
+from tallyhouse.llm._shared import BATCH_BYTES, shuffle_width, slices, staged
 from tallyhouse.llm.ngram_join import mix
 
 _U = np.uint64
@@ -49,6 +49,8 @@ _LETTER = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _BASE = 0x9FB21C651E98DF25
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
+#: A piece as its slice of the documents is looked at; `doc` is its row there.
+FOUND = np.dtype([("anchor", "<u8"), ("body", "<u8"), ("start", "<u4"), ("doc", "<u2"), ("n", "u1")])
 #: A piece on its way to its anchor's bucket.
 PIECE = np.dtype([("h", "<u4"), ("c", "<u4"), ("c2", "<u2"), ("doc", "<u2"), ("start", "<u4"), ("n", "u1")])
 #: A row of the documents: its `doc_id`, and the hash of its text, which tells rows of one `doc_id` apart.
@@ -141,6 +143,19 @@ def _marks_by_bucket(marks: np.ndarray, buckets: int) -> pa.RecordBatch:
     return _batch({"bucket": pa.array(bucket[first], pa.int32()), "marks": pa.array(rows, pa.binary())})
 
 
+def _gathered(found: Iterable[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed marks of many small finds, a bounded number at a time."""
+    parts, held = [], 0
+    for marks in found:
+        parts.append(marks)
+        held += marks.nbytes
+        if held >= BATCH_BYTES:
+            yield _marks_by_bucket(np.concatenate(parts), buckets)
+            parts, held = [], 0
+    if held:
+        yield _marks_by_bucket(np.concatenate(parts), buckets)
+
+
 def _doc_bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(doc.astype(np.int64).view(_U)) % _U(buckets)).astype(np.int32)
 
@@ -176,57 +191,67 @@ def _file(docs: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
 
     def file(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 8 << 20, 60_000):
-            names = np.empty(batch.num_rows, ROW)
-            for field, column in (("doc", "doc_id"), ("key", "key")):
-                names[field] = batch.column(column).to_numpy(zero_copy_only=False)
-            found = []
-            for data, ends, rows, offsets in _stretches(batch, rule.width):
-                start, count, anchor, body = pieces_of(data, ends, rule)
-                text = np.searchsorted(ends, start, "right")
-                begin = np.concatenate([[0], ends[:-1]])[text]
-                found.append((rows[text], start - begin + offsets[text], count, anchor, body))
-            if not found:
-                continue
-            row, start, count, anchor, body = (np.concatenate(x) for x in zip(*found))
-            found.clear()
-            doc = names["doc"][row]
-            # Of equal pieces only those in the smallest document travel; the others are decided.
-            order = np.lexsort((doc, body))
-            ranked, ranked_doc = body[order], doc[order]
-            head = np.maximum.accumulate(np.where(np.concatenate([[True], ranked[1:] != ranked[:-1]]), np.arange(len(order)), 0))
-            later = ranked_doc > ranked_doc[head]
-            yield from local_spans(names, row, start, count, order[later])
-            go = order[~later]
-            bucket = (anchor[go] & _U(0xFFFFFFFF)) % _U(buckets)
-            go = go[np.argsort(bucket, kind="stable")]
-            bucket = np.sort(bucket)
-            piece = np.empty(len(go), PIECE)
-            piece["h"] = anchor[go] >> _U(32)
-            piece["c"] = body[go] >> _U(32)
-            piece["c2"] = body[go] & _U(0xFFFF)
-            piece["doc"], piece["start"], piece["n"] = row[go], start[go], count[go]
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=_U))
-            out = {"bucket": [], "pieces": [], "docs": [], "marks": []}
-            for b in np.flatnonzero(np.diff(cuts)):
-                part = piece[cuts[b] : cuts[b + 1]].copy()
-                used, local = np.unique(part["doc"], return_inverse=True)
-                part["doc"] = local
-                out["bucket"].append(int(b))
-                out["pieces"].append(part.tobytes())
-                out["docs"].append(names[used].tobytes())
-                out["marks"].append(b"")
+            yield from filed(batch)  # whose arrays are gone before the next slice
+
+    def filed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        names = np.empty(batch.num_rows, ROW)
+        for field, column in (("doc", "doc_id"), ("key", "key")):
+            names[field] = batch.column(column).to_numpy(zero_copy_only=False)
+        parts = []
+        for data, ends, rows, offsets in _stretches(batch, rule.width):
+            start, count, anchor, body = pieces_of(data, ends, rule)
+            text = np.searchsorted(ends, start, "right")
+            begin = np.concatenate([[0], ends[:-1]])[text]
+            part = np.empty(len(start), FOUND)
+            part["doc"], part["start"], part["n"] = rows[text], start - begin + offsets[text], count
+            part["anchor"], part["body"] = anchor, body
+            parts.append(part)
+        if not parts:
+            return
+        found = np.concatenate(parts)
+        parts.clear()
+        doc = names["doc"][found["doc"]]
+        # Of equal pieces only those in the smallest document travel; the others are decided.
+        order = np.lexsort((doc, found["body"]))
+        ranked, ranked_doc = found["body"][order], doc[order]
+        head = np.maximum.accumulate(np.where(np.concatenate([[True], ranked[1:] != ranked[:-1]]), np.arange(len(order)), 0))
+        later = ranked_doc > ranked_doc[head]
+        del doc, ranked, ranked_doc, head
+        yield from local_spans(names, found[order[later]])
+        found = found[order[~later]]
+        del order, later
+        bucket = (found["anchor"] & _U(0xFFFFFFFF)) % _U(buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=_U))
+        out, held = {"bucket": [], "pieces": [], "docs": [], "marks": []}, 0
+        for b in np.flatnonzero(np.diff(cuts)):
+            own = found[order[cuts[b] : cuts[b + 1]]]
+            piece = np.empty(len(own), PIECE)
+            piece["h"] = own["anchor"] >> _U(32)
+            piece["c"] = own["body"] >> _U(32)
+            piece["c2"] = own["body"] & _U(0xFFFF)
+            piece["start"], piece["n"] = own["start"], own["n"]
+            used, piece["doc"] = np.unique(own["doc"], return_inverse=True)
+            out["bucket"].append(int(b))
+            out["pieces"].append(piece.tobytes())
+            out["docs"].append(names[used].tobytes())
+            out["marks"].append(b"")
+            held += piece.nbytes + len(out["docs"][-1])
+            if held >= BATCH_BYTES:
+                yield packed(out)
+                out, held = {name: [] for name in out}, 0
+        if held:
             yield packed(out)
 
-    def local_spans(
-        names: np.ndarray, row: np.ndarray, start: np.ndarray, count: np.ndarray, which: np.ndarray
-    ) -> Iterator[pa.RecordBatch]:
-        which = which[np.lexsort((start[which], row[which]))]
+    def local_spans(names: np.ndarray, which: np.ndarray) -> Iterator[pa.RecordBatch]:
+        which = which[np.lexsort((which["start"], which["doc"]))]
         if not len(which):
             return
+        row, start = which["doc"], which["start"].astype(np.int64)
         # Texts end to end, far enough apart that spans of two never touch.
-        shift = np.cumsum(np.concatenate([[0], (row[which][1:] != row[which][:-1])])) << 33
-        low, high = merged(start[which] + shift, start[which] + count[which] + rule.width - 1 + shift)
-        of = names[row[which][np.searchsorted(shift, low >> 33 << 33)]]
+        shift = np.cumsum(np.concatenate([[0], (row[1:] != row[:-1])])) << 33
+        low, high = merged(start + shift, start + which["n"] + rule.width - 1 + shift)
+        of = names[row[np.searchsorted(shift, low >> 33 << 33)]]
         marks = np.zeros(len(low), MARK)
         marks["doc"], marks["key"] = of["doc"], of["key"]
         marks["start"], marks["end"] = low & ((1 << 33) - 1), high & ((1 << 33) - 1)
@@ -240,32 +265,40 @@ def _file(docs: DataFrame, rule: Repeats, buckets: int) -> DataFrame:
 
 
 def _meet(filed: DataFrame, rule: Repeats, doc_buckets: int) -> DataFrame:
-    """Per bucket of anchors: spans of equal pieces, and requests for the text of unequal ones."""
+    """Per bucket of anchors: spans of equal pieces, and requests for the text of unequal ones.
+
+    Rows of a bucket stand together, so a task holds the pieces of one bucket at a time.
+    """
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, names, places, buckets, held = [], [], [], [], 0
+        return _gathered(decided(batches), doc_buckets)
+
+    def decided(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        bucket, pieces, names = None, [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["marks"]:
-                    yield _marks_by_bucket(np.frombuffer(row["marks"], MARK), doc_buckets)
+                    yield np.frombuffer(row["marks"], MARK)
                     continue
-                part = np.frombuffer(row["pieces"], PIECE)
-                pieces.append(part)
+                if row["bucket"] != bucket:
+                    if pieces:
+                        yield met(bucket, pieces, names)
+                    bucket = row["bucket"]
+                pieces.append(np.frombuffer(row["pieces"], PIECE))
                 names.append(np.frombuffer(row["docs"], ROW))
-                places.append(part["doc"] + np.uint32(held))
-                held += len(names[-1])
-                buckets.append(np.full(len(part), row["bucket"], np.uint32))
-        if not pieces:
-            return
-        piece, place, name = np.concatenate(pieces), np.concatenate(places), np.concatenate(names)
-        doc = name["doc"][place]
-        # The bucket is part of the anchor's name: several buckets may share a task.
-        anchor = piece["h"].astype(_U) << _U(32) | np.concatenate(buckets).astype(_U)
+        if pieces:
+            yield met(bucket, pieces, names)
+
+    def met(bucket: int, pieces: list[np.ndarray], names: list[np.ndarray]) -> np.ndarray:
+        """Marks of one bucket, whose lists are emptied."""
+        held = np.cumsum([0, *map(len, names[:-1])])
+        place = np.concatenate([part["doc"] + np.uint32(at) for part, at in zip(pieces, held.tolist())])
+        piece, name = np.concatenate(pieces), np.concatenate(names)
+        pieces.clear(), names.clear()
         body = piece["c"].astype(_U) << _U(16) | piece["c2"].astype(_U)
-        start, count = piece["start"], piece["n"]
-        pieces.clear(), names.clear(), places.clear(), buckets.clear()
-        order = np.lexsort((doc, body, anchor))
-        anchor, body, doc, place, start, count = (x[order] for x in (anchor, body, doc, place, start, count))
+        order = np.lexsort((name["doc"][place], body, piece["h"]))
+        piece, body, place = piece[order], body[order], place[order]
+        doc, anchor = name["doc"][place], piece["h"]
         at = np.arange(len(order))
         new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         new_body = new_anchor | np.concatenate([[True], body[1:] != body[:-1]])
@@ -278,14 +311,14 @@ def _meet(filed: DataFrame, rule: Repeats, doc_buckets: int) -> DataFrame:
         fetch = ~later & (shared & (bodies > 1))[group]
         marks = np.zeros(int(later.sum() + fetch.sum()), MARK)
         which = np.concatenate([np.flatnonzero(later), np.flatnonzero(fetch)])
-        marks["doc"], marks["key"], marks["start"] = doc[which], name["key"][place[which]], start[which]
-        marks["end"] = start[which] + count[which].astype(np.uint32) + np.uint32(rule.width - 1)
+        marks["doc"], marks["key"], marks["start"] = doc[which], name["key"][place[which]], piece["start"][which]
+        marks["end"] = marks["start"] + piece["n"][which].astype(np.uint32) + np.uint32(rule.width - 1)
         marks["kind"][int(later.sum()) :] = np.where((bodies > rule.group)[group[fetch]], 2, 1)
-        marks["h"][int(later.sum()) :] = anchor[fetch]
-        if len(marks):
-            yield _marks_by_bucket(marks, doc_buckets)
+        # The bucket is part of the anchor's name.
+        marks["h"][int(later.sum()) :] = anchor[fetch].astype(_U) << _U(32) | _U(bucket)
+        return marks
 
-    return filed.mapInArrow(meet, "bucket int, marks binary")
+    return filed.sortWithinPartitions("bucket").mapInArrow(meet, "bucket int, marks binary")
 
 
 #: Rows after the texts have met their marks: finished documents, open ones, packed pieces or windows.

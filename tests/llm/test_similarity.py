@@ -1,11 +1,15 @@
 """N-gram join, suffix arrays and the flat graph against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import ngram_join
+from tallyhouse.llm import ngram_join, suffix_dedup as suffixes
+from tallyhouse.llm._shared import BATCH_BYTES, staged
 from tallyhouse.llm.components import components
 from tallyhouse.llm import flat_graph
 from tallyhouse.llm.flat_graph import Graph, Mutual, audit_recall, near_duplicates
@@ -278,3 +282,72 @@ def test_agreements_are_added_up_before_they_become_rows(spark, monkeypatch):
     found = {row["doc_id"]: row["component_id"] for row in ngram_join.ngram_components(docs).collect()}
     assert found == {**{i: i for i in range(80)}, 80: 80, 81: 80}
     assert sum(df.count() for width, df in seen if width == 4) <= 4  # the one near pair, at most at every two levels
+
+
+class Caught:
+    """Stands for a table and keeps the function that its partitions would go through."""
+
+    def sortWithinPartitions(self, column):
+        return self
+
+    def mapInArrow(self, function, schema):
+        self.function = function
+        return self
+
+
+def _pieces(bucket, n):
+    piece = np.zeros(n, suffixes.PIECE)
+    piece["h"], piece["doc"], piece["n"] = np.arange(n), np.arange(n) % 1000, 5
+    names = np.zeros(1000, suffixes.ROW)
+    names["doc"] = np.arange(1000)
+    row = {"bucket": [bucket], "pieces": [piece.tobytes()], "docs": [names.tobytes()], "marks": [b""]}
+    return pa.RecordBatch.from_pydict(row, pa.schema([("bucket", pa.int32()), *[(k, pa.binary()) for k in ("pieces", "docs", "marks")]]))
+
+
+def _keys(bucket, n):
+    keys = (np.arange(n, dtype=np.uint64) + np.uint64(bucket * n)).tobytes()
+    row = {"bucket": [bucket], "keys": [keys], "places": [(np.arange(n) % 1000).astype("<u2").tobytes()]}
+    row |= {"docs": [np.arange(1000).astype("<i8").tobytes()], "facts": [b""]}
+    kinds = [("keys", pa.binary()), ("places", pa.binary()), ("docs", pa.binary()), ("facts", pa.binary())]
+    return pa.RecordBatch.from_pydict(row, pa.schema([("bucket", pa.int32()), *kinds]))
+
+
+@pytest.mark.parametrize(
+    "meet, rows",
+    [(lambda table: suffixes._meet(table, Repeats(), 8), _pieces), (lambda table: ngram_join._meet(table, 8), _keys)],
+)
+def test_a_task_holds_one_bucket_at_a_time(meet, rows):
+    function = meet(Caught()).function
+
+    def most_held(buckets):
+        tracemalloc.start()
+        for _ in function(rows(b, 30_000) for b in range(buckets)):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    most_held(1)
+    assert most_held(16) < 2 * most_held(2)
+
+
+def test_filed_pieces_leave_a_bounded_number_at_a_time():
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(97, 123, 50_000))) for _ in range(120)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(n), pa.int64()), "key": pa.array(range(n), pa.int64()), "text": texts})
+    out = list(suffixes._file(Caught(), Repeats(), 64).function([batch]))
+    assert sum(b.num_rows for b in out) == 64 and max(b.nbytes for b in out) < 2 * BATCH_BYTES
+
+
+def test_staged_tables_meet_python_in_batches_cut_by_bytes(spark):
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    large = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    sizes = [r.n for r in staged(large.mapInArrow(size, "n long"), "sizes").collect()]
+    assert sum(sizes) >= 30_000_000 and max(sizes) < 2 * BATCH_BYTES
+    assert spark.conf.get(name) == before
