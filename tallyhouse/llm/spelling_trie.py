@@ -57,6 +57,8 @@ HELD, HELD_BYTES = 200_000, 16 << 20
 PIECE = 1 << 20
 #: A level's edges are sent to all tasks up to this many of them and bytes of their labels: some 30 MB.
 SENT_EDGES, SENT_BYTES = 300_000, 8 << 20
+#: Characters after the first that a state looks ahead.
+AHEAD = 3
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
@@ -140,63 +142,81 @@ def _common(left: Column, right: Column) -> Column:
 
 
 def _edges(exact: DataFrame) -> DataFrame:
-    """(node, label, child, lengths) of the words still on their way at the nodes of one level.
+    """(node, label, child, lengths, ahead) of the words still on their way at the nodes of one level.
 
     The common beginning of a group is that of its smallest and its largest member, and both
-    are found in the map tasks. `lengths` has a bit for every length left below the label.
+    are found in the map tasks. `lengths` has a bit for every length left at the node, and
+    `ahead` one for what follows the first character.
     """
-    ways = exact.where(F.length("rest") > 0).groupBy("node", _character(F.col("rest"), 1).alias("way"))
-    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(F.col("rest"))))
-    found = ways.agg(F.min("rest").alias("low"), F.max("rest").alias("high"), bits.alias("lengths"))
+    rest = F.col("rest")
+    ways = exact.where(F.length("rest") > 0).groupBy("node", _character(rest, 1).alias("way"))
+    found = ways.agg(
+        F.min("rest").alias("low"), F.max("rest").alias("high"),
+        F.bit_or(_length_bit(F.length("rest"))).alias("lengths"), F.bit_or(_ahead_bit(rest, 2)).alias("ahead"),
+    )
     label = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
         F.substr("low", F.lit(1), _common(F.col("low"), F.col("high")))
     )
-    return found.select("node", label.alias("label"), F.monotonically_increasing_id().alias("child"), "lengths")
+    return found.select("node", label.alias("label"), F.monotonically_increasing_id().alias("child"), "lengths", "ahead")
+
+
+def _one_bit(number: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), number.cast("int"))
 
 
-def _bit(rest: Column) -> Column:
-    """The bit for the length of `rest`; all beyond 61 characters share one."""
-    return F.least(F.length(rest), F.lit(62)).cast("int")
+def _length_bit(length: Column) -> Column:
+    """The bit for a length; all beyond 61 characters share one."""
+    return _one_bit(F.least(length, F.lit(62)))
 
 
-def _fits(rest: Column, lengths: Column) -> Column:
-    """Whether a word of as many characters as `rest` may be below the edge."""
-    return F.call_function("shiftright", lengths, _bit(rest)).bitwiseAND(F.lit(1).cast("bigint")) == 1
+def _ahead_bit(text: Column, at: int) -> Column:
+    """The bit for the up to `AHEAD` characters from `at`; different ones may share it."""
+    return _one_bit(F.pmod(F.xxhash64(F.substr(text, F.lit(at), F.lit(AHEAD))), F.lit(63)))
 
 
-def _advance(joined: DataFrame) -> DataFrame:
+def _has(bits: str, bit: Column) -> Column:
+    return F.col(bits).bitwiseAND(bit) != 0
+
+
+def _advance(states: DataFrame, edges: Stored, label_bytes: int) -> DataFrame:
     """States after one edge: straight on, with a character replaced by a larger one, or with one left out.
 
-    An edit is where word and label first differ. Leaving out any of a run of equal
-    characters gives the same word, and only the last of them differs from what follows.
+    The label of a word's own edge is a beginning of its rest, and all words below have it; so
+    an edit is always of the first character at a node, and leads to another edge. Leaving out
+    any of a run of equal characters gives the same word, and only the last of them differs
+    from what follows. With its edit made, a state goes on only where a word as long, with
+    the same characters ahead, may be below.
     """
-    rest, label, size = F.col("rest"), F.col("label"), F.col("size")
-    straight = F.startswith(rest, label)
-    # Where the first characters differ, as they mostly do, nothing has to be searched.
-    shared = F.when(F.col("first") != F.col("way"), F.lit(0)).otherwise(_common(rest, label))
-    on = joined.withColumn("m", F.when(~straight & (F.col("edits") == 0), shared))
-    m = F.col("m")
-    may_edit = m.isNotNull() & (m < size) & (F.col("position") + m >= F.col("first_edit"))
-    tail = _after(label, m + 1)
-    longer = F.length(rest) >= size
-    replaced = (
-        may_edit & longer & (_character(rest, m + 1) < _character(label, m + 1))
-        & (F.substr(rest, m + 2, size - m - 1) == tail) & _fits(rest, F.col("lengths"))
+    rest, first, way, size = F.col("rest"), F.col("first"), F.col("way"), F.col("size")
+    # What a pair of state and edge is judged by is worked out once per state and once per edge.
+    on_way = states.where(F.length("rest") > 0).withColumns(
+        {
+            "first": _character(rest, 1),
+            "may_edit": (F.col("edits") == 0) & (F.col("length") - F.length("rest") >= F.col("first_edit")),
+            "as_long": _length_bit(F.length("rest")),
+            "as_ahead": _ahead_bit(rest, 2),
+        }
     )
-    # One character more is used up than the label has.
-    left_out = may_edit & (F.length(rest) > size) & (F.substr(rest, m + 2, size - m) == _after(label, m))
-    left_out &= _fits(_after(rest, F.lit(1)), F.col("lengths"))
-    ways = F.array_compact(
-        F.array(
-            F.when(straight & ((F.col("edits") == 0) | _fits(rest, F.col("lengths"))), F.struct(size.alias("used"), F.col("edits"))),
-            F.when(replaced, F.struct(size.alias("used"), F.lit(1).alias("edits"))),
-            F.when(left_out, F.struct((size + 1).alias("used"), F.lit(1).alias("edits"))),
-        )
+    label = F.col("label")
+    ways = edges.df.withColumns({"way": _character(label, 1), "size": F.length("label")})
+    if edges.rows <= SENT_EDGES and label_bytes <= SENT_BYTES:
+        joined = on_way.join(F.broadcast(ways), "node")
+    else:
+        joined = join_unique(on_way, ways, "node", ["word", "rest"], "inner")
+    fits = _has("lengths", F.col("as_long")) & _has("ahead", F.col("as_ahead"))
+    straight = (first == way) & ((F.col("edits") == 0) | (fits & F.startswith(rest, label)))
+    replaced = F.col("may_edit") & (first < way) & fits & (F.substr(rest, F.lit(2), size - 1) == _after(label, F.lit(1)))
+    left_out = F.col("may_edit") & (first != way) & (_character(rest, 2) == way)
+    left_out &= _has("lengths", _length_bit(F.length("rest") - 1)) & _has("ahead", _ahead_bit(rest, 3))
+    left_out &= F.startswith(_after(rest, F.lit(1)), label)
+    # One character more than the label has is used up where one is left out.
+    used = F.array(F.when(straight | replaced, size), F.when(left_out, size + 1))
+    edited = F.when(first == way, F.col("edits")).otherwise(1).alias("edits")
+    moved = joined.where(straight | replaced | left_out).select(
+        "word", "length", "first_edit", "rest", "child", edited, F.explode(used).alias("used")
     )
-    moved = on.select("word", "length", "first_edit", "rest", "child", F.explode(ways).alias("way"))
-    return moved.select(
-        "word", "length", "first_edit", F.col("child").alias("node"), _after(F.col("rest"), F.col("way.used")).alias("rest"),
-        F.col("way.edits").alias("edits"),
+    return moved.where(F.col("used").isNotNull()).select(
+        "word", "length", "first_edit", F.col("child").alias("node"), _after(rest, F.col("used")).alias("rest"), "edits"
     )
 
 
@@ -210,24 +230,6 @@ def _met(states: DataFrame) -> DataFrame:
     return arrived.select("level", "node", F.col("word").alias("a")).join(ends, ["level", "node"]).select("a", "b")
 
 
-def _join_edges(states: DataFrame, edges: Stored, label_bytes: int) -> DataFrame:
-    """Every state with the edge of its node that goes straight on, or, where an edit is still allowed, with any.
-
-    A node has as many edges as the alphabet has letters, so states do not multiply without bound.
-    """
-    # What the condition needs is worked out once per state and once per edge, not for every two of them.
-    on_way = states.where(F.length("rest") > 0).withColumns(
-        {"first": _character(F.col("rest"), 1), "position": F.col("length") - F.length("rest")}
-    )
-    ways = edges.df.withColumns({"way": _character(F.col("label"), 1), "size": F.length("label")})
-    if edges.rows <= SENT_EDGES and label_bytes <= SENT_BYTES:
-        joined = on_way.join(F.broadcast(ways), "node")
-    else:
-        joined = join_unique(on_way, ways, "node", ["word", "rest"], "inner")
-    may_edit = (F.col("edits") == 0) & (F.col("position") + F.col("size") > F.col("first_edit"))
-    return joined.where((F.col("first") == F.col("way")) | may_edit)
-
-
 def near_pairs(words: DataFrame, store: TableStore) -> DataFrame:
     """(a, b), both ways round, of all words (id, word) that differ by one inserted, left out or replaced code point."""
     length, half = F.length("word").cast("int"), F.call_function("div", F.length("word"), F.lit(2)).cast("int")
@@ -247,7 +249,7 @@ def near_pairs(words: DataFrame, store: TableStore) -> DataFrame:
         if not edges.rows:
             break
         size = edges.df.agg(F.sum(F.octet_length("label")).alias("n")).first()["n"]
-        states = store.save(_advance(_join_edges(states.df, edges, size)), f"states/level={level}")
+        states = store.save(_advance(states.df, edges, size), f"states/level={level}")
     found = store.save(_met(store.read("states")), "pairs").df
     return found.union(found.select("b", "a")).distinct()
 

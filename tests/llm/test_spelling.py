@@ -2,6 +2,7 @@
 
 import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -101,6 +102,25 @@ def test_long_words_with_a_common_beginning_need_few_levels(spark, monkeypatch):
     assert len([name for name in saved if name.startswith("edges")]) < 8
 
 
+def test_edits_that_lead_to_no_word_are_not_stored(spark, monkeypatch):
+    letters = string.ascii_lowercase
+    # Two words below every letter: each is as long as all others, but hardly one goes on like another.
+    words = [f"stems{c}{letters[(i + k) % 26]}{letters[(7 * i + k) % 26]}" for i, c in enumerate(letters) for k in (3, 8)]
+    edited = []
+    save = spelling_trie.TableStore.save
+
+    def saved(self, df, name, *rest, **more):
+        stored = save(self, df, name, *rest, **more)
+        if name.startswith("states"):
+            edited.append(stored.df.where("edits = 1").count())
+        return stored
+
+    monkeypatch.setattr(spelling_trie.TableStore, "save", saved)
+    texts = [(None, " ".join(words))] * 3
+    assert found(spark, texts) == brute(texts)
+    assert sum(edited) < 100
+
+
 def test_chains_of_forms_lead_to_the_last(spark):
     chain = {"wordaaaa": 3, "wordaaab": 6, "wordaabb": 12, "wordabbb": 24, "wordbbbb": 48}
     texts = [(None, " ".join([word] * n)) for word, n in chain.items()]
